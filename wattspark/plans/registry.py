@@ -12,7 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+# Shown digits. The nudge is far below the last of them: it decides exact halves, which
+# engines otherwise round either way after adding up in a different order.
 DIGITS = 6
+NUDGE = "3e-9"
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -21,7 +24,7 @@ def tidy(df: DataFrame) -> DataFrame:
     for field in df.schema:
         col = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            col = F.round(col, DIGITS) + F.lit(0.0)
+            col = F.round(col + F.lit(float(NUDGE)), DIGITS) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             col = col.cast("long")
         elif isinstance(field.dataType, T.TimestampType):
@@ -39,7 +42,7 @@ def oracle(body: str, doubles: str = "", *ctes: str) -> str:
     prefix = "WITH " + ",\n".join([*used, *ctes]) + "\n" if used or ctes else ""
     if not doubles:
         return prefix + body
-    rounded = ", ".join(f"round({c}, {DIGITS}) + 0.0 AS {c}" for c in doubles.split())
+    rounded = ", ".join(f"round({c} + {NUDGE}, {DIGITS}) + 0.0 AS {c}" for c in doubles.split())
     return f"{prefix}SELECT * REPLACE ({rounded}) FROM (\n{body}\n) AS answer"
 
 

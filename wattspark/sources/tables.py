@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattspark.schemas import BASELINE, EDGE_WIND, READINGS, WIND_CURVE
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """The readings table, with its partition column ``event_date`` for pruning."""
-    schema = READINGS.add("event_date", "date") if "event_date" not in READINGS.names else READINGS
-    return spark.read.schema(schema).parquet(path)
+    dated = T.StructType([*READINGS.fields, T.StructField("event_date", T.DateType())])
+    return spark.read.schema(dated).parquet(path)
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:

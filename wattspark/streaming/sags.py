@@ -9,8 +9,6 @@ named by batch and overwritten by a retry, which makes every step repeatable.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -68,7 +66,7 @@ class SagState:
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.min_duration_seconds = min_duration_seconds
-        self.delay = timedelta(seconds=delay_seconds)
+        self.delay_seconds = delay_seconds
         self.slice_seconds = slice_seconds
 
     def _folder(self, kind: str, batch_id: int) -> str:
@@ -85,21 +83,20 @@ class SagState:
         pending = self._carried(spark, "pending", batch_id - 1)
         open_runs = self._carried(spark, "open", batch_id - 1)
 
-        # one row: the watermark so far and the newest reading of this batch
+        # one row each: the watermark so far and the newest reading of this batch
         last = mark.first() if mark is not None else None
-        newest = fresh.agg(F.max("event_ts")).first()[0]
+        newest = fresh.agg(F.max(F.unix_micros("event_ts"))).first()[0]
         seen = [t for t in (newest, last["newest"] if last else None) if t is not None]
         if not seen:
             return
         high = max(seen)
-        cutoff = high - self.delay
-        rows = fresh
-        if last:
-            # late: a window of order that is closed already
-            rows = rows.filter(F.col("event_ts") > F.lit(last["cutoff"]))
+        cutoff = high - self.delay_seconds * 1_000_000
+        time_us = F.unix_micros("event_ts")
+        # late readings, older than what was evaluated before, are dropped
+        rows = fresh.filter(time_us > last["cutoff"]) if last else fresh
         if pending is not None:
             rows = rows.unionByName(pending)
-        ready = rows.filter(F.col("event_ts") <= F.lit(cutoff)).withColumn(
+        ready = rows.filter(time_us <= cutoff).withColumn(
             "_hit", F.coalesce(is_sag(F.col("voltage_v"), self.threshold), F.lit(False))
         )
 
@@ -134,11 +131,11 @@ class SagState:
         placed.filter(~F.col("_over")).select(*RUN).write.mode("overwrite").parquet(
             self._folder("open", batch_id)
         )
-        rows.filter(F.col("event_ts") > F.lit(cutoff)).write.mode("overwrite").parquet(
+        rows.filter(time_us > cutoff).write.mode("overwrite").parquet(
             self._folder("pending", batch_id)
         )
         spark.range(1).select(
-            F.lit(high).alias("newest"), F.lit(cutoff).alias("cutoff")
+            F.lit(high).cast("long").alias("newest"), F.lit(cutoff).cast("long").alias("cutoff")
         ).write.mode("overwrite").parquet(self._folder("mark", batch_id))
         for kind in ("runs", "open", "pending", "mark"):
             if sinks.exists(spark, self._folder(kind, batch_id - 2)):
