@@ -10,6 +10,7 @@ def make_session(cpus: int | str = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("wattspark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")

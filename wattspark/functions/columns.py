@@ -41,6 +41,14 @@ def strict_greatest(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
 
 
+def round_stable(value: Column, digits: int = 0) -> Column:
+    """Half-up rounding that does not depend on the order a sum was added up in.
+
+    Rounding to nine digits first removes the noise that would tip an exact half.
+    """
+    return F.round(F.round(value, 9), digits)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Whole elapsed seconds, as an elapsed-time difference and not a count of boundaries."""
     return F.timestamp_diff("SECOND", start, end)
@@ -67,7 +75,7 @@ def time_of_day(hour: Column, minute: Column) -> Column:
 
 def share_pct(part: Column, whole: Column, digits: int | None = None) -> Column:
     pct = safe_divide(part, whole) * 100
-    return pct if digits is None else F.round(pct, digits)
+    return pct if digits is None else round_stable(pct, digits)
 
 
 def power_factor(active: Column, reactive: Column) -> Column:

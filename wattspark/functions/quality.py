@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from wattspark.functions.columns import safe_divide, strict_greatest, strict_least
+from wattspark.functions.columns import (
+    round_stable,
+    safe_divide,
+    strict_greatest,
+    strict_least,
+)
 
 # Volts.
 SAG_V = 220.0
@@ -51,7 +56,7 @@ def normal_share_gauge(voltage: Column) -> Column:
 def normal_share_score(voltage: Column) -> Column:
     """Aggregate: like the gauge, by counting the bad readings, to one decimal."""
     bad = F.count_if(is_sag(voltage) | is_swell(voltage))
-    return F.round((1 - safe_divide(bad, F.count(F.lit(1)))) * 100, 1)
+    return round_stable((1 - safe_divide(bad, F.count(F.lit(1)))) * 100, 1)
 
 
 def composite_score(
@@ -64,7 +69,7 @@ def composite_score(
     completeness = strict_least(safe_divide(readings, expected), F.lit(1.0)) * 25
     in_band = (1 - safe_divide(bad_readings, readings)) * 50
     stability = strict_greatest(F.lit(0.0), 1 - voltage_stddev / 10) * 25
-    return F.round(completeness + in_band + stability, 1)
+    return round_stable(completeness + in_band + stability, 1)
 
 
 def alert_level(score: Column) -> Column:

@@ -12,6 +12,7 @@ from wattspark.functions.columns import (
     hour_of_day,
     instant,
     minute_bucket,
+    round_stable,
     safe_divide,
     time_of_day,
 )
@@ -66,7 +67,7 @@ def baseline(
             F.avg(load).alias("baseline_avg_kw"),
             quantiles.alias("_q"),
             F.stddev(load).alias("baseline_stddev_kw"),
-            F.round(F.avg("meter_count")).cast("long").alias("avg_meter_count"),
+            round_stable(F.avg("meter_count")).cast("long").alias("avg_meter_count"),
             # one row per slot and day, so counting rows counts days
             F.count("event_date").alias("baseline_days_count"),
         )
@@ -166,7 +167,7 @@ def compute_event(
     )
 
     def shown(column: Column, digits: int) -> Column:
-        return F.round(F.coalesce(column, F.lit(0.0)), digits)
+        return round_stable(F.coalesce(column, F.lit(0.0)), digits)
 
     return totals.select(
         "pole_id",
@@ -184,5 +185,5 @@ def event_total(per_pole: DataFrame) -> DataFrame:
     """Total over poles of the energies as shown, to three decimals."""
     total = F.coalesce(F.sum("total_reduction_kwh"), F.lit(0.0))
     return per_pole.agg(
-        F.count(F.lit(1)).alias("poles"), F.round(total, 3).alias("total_reduction_kwh")
+        F.count(F.lit(1)).alias("poles"), round_stable(total, 3).alias("total_reduction_kwh")
     )

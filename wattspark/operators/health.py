@@ -6,7 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattspark.functions.columns import hour_of_day, power_factor, safe_divide, share_pct
+from wattspark.functions.columns import (
+    hour_of_day,
+    power_factor,
+    round_stable,
+    safe_divide,
+    share_pct,
+)
 from wattspark.functions.quality import (
     alert_level,
     composite_score,
@@ -50,7 +56,7 @@ def with_expected_readings(metrics: DataFrame, sample_interval_seconds: float =
     """Readings an hour should hold at the sampling interval, as a column of the same row."""
     per_hour = 3600 / sample_interval_seconds
     expected = F.col("active_meters") * F.lit(per_hour)
-    return metrics.withColumn("expected_readings", F.round(expected).cast("long"))
+    return metrics.withColumn("expected_readings", round_stable(expected).cast("long"))
 
 
 def with_expected_readings_joined(
@@ -110,7 +116,7 @@ def daily_health(hourly: DataFrame) -> DataFrame:
         F.avg("active_meters").alias("avg_active_meters"),
         total.alias("total_readings"),
         expected.alias("expected_readings"),
-        F.round(safe_divide(total, expected) * 100, 2).alias("data_completeness_pct"),
+        round_stable(safe_divide(total, expected) * 100, 2).alias("data_completeness_pct"),
         F.avg("avg_voltage_v").alias("daily_avg_voltage_v"),
         F.min("min_voltage_v").alias("daily_min_voltage_v"),
         F.max("max_voltage_v").alias("daily_max_voltage_v"),

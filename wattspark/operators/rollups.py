@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wattspark.functions.columns import (
     day_of_week,
     hour_of_day,
+    instant,
     minute_bucket,
+    round_stable,
     share_pct,
-    instant,
 )
 from wattspark.functions.quality import SAG_V, is_sag, normal_share_score
 from wattspark.operators import filters
@@ -136,13 +137,13 @@ def pole_summary(
         *_measures(
             meter_count=_meters(),
             reading_count=total,
-            avg_voltage_v=F.round(F.avg("voltage_v"), 2),
-            min_voltage_v=F.round(F.min("voltage_v"), 2),
-            max_voltage_v=F.round(F.max("voltage_v"), 2),
-            voltage_stddev=F.round(F.coalesce(F.stddev("voltage_v"), F.lit(0.0)), 2),
-            total_power_kw=F.round(F.sum("power_kw"), 2),
-            avg_power_kw=F.round(F.avg("power_kw"), 3),
-            peak_power_kw=F.round(F.max("power_kw"), 3),
+            avg_voltage_v=round_stable(F.avg("voltage_v"), 2),
+            min_voltage_v=round_stable(F.min("voltage_v"), 2),
+            max_voltage_v=round_stable(F.max("voltage_v"), 2),
+            voltage_stddev=round_stable(F.coalesce(F.stddev("voltage_v"), F.lit(0.0)), 2),
+            total_power_kw=round_stable(F.sum("power_kw"), 2),
+            avg_power_kw=round_stable(F.avg("power_kw"), 3),
+            peak_power_kw=round_stable(F.max("power_kw"), 3),
             low_voltage_pct=share_pct(F.count_if(is_sag(F.col("voltage_v"))), total, 2),
             health_score=normal_share_score(F.col("voltage_v")),
         )
@@ -171,10 +172,10 @@ def stats_by_pole(readings: DataFrame, as_of: str | datetime, hours: int = 1) ->
             *_measures(
                 meters=_meters(),
                 readings=_readings(),
-                avg_voltage=F.round(F.avg("voltage_v"), 2),
-                min_voltage=F.round(F.min("voltage_v"), 2),
-                max_voltage=F.round(F.max("voltage_v"), 2),
-                total_power_kw=F.round(F.sum("power_kw"), 2),
+                avg_voltage=round_stable(F.avg("voltage_v"), 2),
+                min_voltage=round_stable(F.min("voltage_v"), 2),
+                max_voltage=round_stable(F.max("voltage_v"), 2),
+                total_power_kw=round_stable(F.sum("power_kw"), 2),
             )
         )
         .orderBy("pole_id")
@@ -239,8 +240,8 @@ def newest_readings_rounded(readings: DataFrame, limit: int = 5) -> DataFrame:
             "event_ts",
             "meter_id",
             "pole_id",
-            F.round("voltage_v", 2).alias("voltage_v"),
-            F.round("power_kw", 3).alias("power_kw"),
+            round_stable(F.col("voltage_v"), 2).alias("voltage_v"),
+            round_stable(F.col("power_kw"), 3).alias("power_kw"),
         )
     )
 
@@ -252,7 +253,7 @@ def newest_low_voltage(
         readings.filter(is_sag(F.col("voltage_v"), threshold))
         .orderBy(F.desc("event_ts"), "meter_id", "seq")
         .limit(limit)
-        .select("meter_id", "pole_id", "event_ts", F.round("voltage_v", 2).alias("voltage_v"))
+        .select("meter_id", "pole_id", "event_ts", round_stable(F.col("voltage_v"), 2).alias("voltage_v"))
     )
 
 

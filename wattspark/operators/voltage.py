@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattspark.functions.columns import instant, seconds_between
+from wattspark.functions.columns import instant, round_stable, seconds_between
 from wattspark.functions.quality import (
     CRITICAL_V,
     SAG_V,
@@ -157,8 +157,8 @@ def anomalies(
         "event_start",
         "event_end",
         "duration_seconds",
-        F.round("min_voltage_v", 2).alias("min_voltage_v"),
-        F.round("avg_voltage_v", 2).alias("avg_voltage_v"),
+        round_stable(F.col("min_voltage_v"), 2).alias("min_voltage_v"),
+        round_stable(F.col("avg_voltage_v"), 2).alias("avg_voltage_v"),
         "severity",
     )
 

@@ -115,10 +115,10 @@ def event_performance(spark, sf_dir):
 
 POLES = ("pole_0", "pole_2", "pole_5", "pole_9")
 COMPUTED = """computed AS (
-  SELECT pole_id, round(avg(actual_power_kw), 2) AS avg_actual_kw, round(avg(kw), 2) AS avg_baseline_kw,
-    round(avg(kw - actual_power_kw), 2) AS avg_reduction_kw,
-    round(coalesce(avg(kw - actual_power_kw) / nullif(avg(kw), 0) * 100, 0), 2) AS reduction_percent,
-    round(sum(kw - actual_power_kw) / 12, 3) AS total_reduction_kwh
+  SELECT pole_id, CAST(round(CAST(avg(actual_power_kw) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_actual_kw, CAST(round(CAST(avg(kw) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_baseline_kw,
+    CAST(round(CAST(avg(kw - actual_power_kw) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_reduction_kw,
+    CAST(round(CAST(coalesce(avg(kw - actual_power_kw) / nullif(avg(kw), 0) * 100, 0) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS reduction_percent,
+    CAST(round(CAST(sum(kw - actual_power_kw) / 12 AS DECIMAL(28, 9)), 3) AS DOUBLE) AS total_reduction_kwh
   FROM (SELECT *, coalesce(baseline_avg_kw, 0) AS kw FROM actual
     LEFT JOIN baseline USING (pole_id, hour_of_day, minute_bucket)) AS filled
   WHERE pole_id IN ('pole_0', 'pole_2', 'pole_5', 'pole_9') GROUP BY pole_id)"""
@@ -152,7 +152,7 @@ def zero_filled(spark, sf_dir):
 
 @query(
     "a16_event_total",
-    "SELECT count(*) AS poles, round(coalesce(sum(total_reduction_kwh), 0), 3) AS total_reduction_kwh FROM computed",
+    "SELECT count(*) AS poles, CAST(round(CAST(coalesce(sum(total_reduction_kwh), 0) AS DECIMAL(28, 9)), 3) AS DOUBLE) AS total_reduction_kwh FROM computed",
     "",
     (*CTES, COMPUTED),
 )
@@ -183,17 +183,17 @@ METRICS = """metrics AS (
 HEALTH = """health AS (
   SELECT pole_id, event_date, hour_of_day, active_meters, total_readings,
     active_meters * 3600 AS expected_readings,
-    round(total_readings / (active_meters * 3600) * 100, 2) AS data_completeness_pct,
+    CAST(round(CAST(total_readings / (active_meters * 3600) * 100 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS data_completeness_pct,
     active_meters * 3600 - total_readings AS missing_readings, avg_voltage_v, min_voltage_v, max_voltage_v,
-    voltage_stddev AS voltage_volatility, round(low_voltage_count / total_readings * 100, 2) AS low_voltage_pct,
-    round(high_voltage_count / total_readings * 100, 2) AS high_voltage_pct, total_power_kw,
+    voltage_stddev AS voltage_volatility, CAST(round(CAST(low_voltage_count / total_readings * 100 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS low_voltage_pct,
+    CAST(round(CAST(high_voltage_count / total_readings * 100 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS high_voltage_pct, total_power_kw,
     avg_power_per_meter_kw, peak_meter_power_kw,
     total_power_kw / nullif(sqrt(total_power_kw ** 2 + total_reactive_kvar ** 2), 0) AS estimated_power_factor,
     avg_freq_hz, max_freq_hz - min_freq_hz AS freq_range_hz,
-    CASE WHEN voltage_stddev IS NOT NULL THEN round(
+    CASE WHEN voltage_stddev IS NOT NULL THEN CAST(round(CAST(
       CASE WHEN total_readings >= active_meters * 3600 THEN 25 ELSE total_readings / (active_meters * 3600) * 25 END
       + (1 - (low_voltage_count + high_voltage_count) / total_readings) * 50
-      + CASE WHEN voltage_stddev > 10 THEN 0 ELSE (1 - voltage_stddev / 10) * 25 END, 1) END AS health_score
+      + CASE WHEN voltage_stddev > 10 THEN 0 ELSE (1 - voltage_stddev / 10) * 25 END AS DECIMAL(28, 9)), 1) AS DOUBLE) END AS health_score
   FROM metrics)"""
 METRIC_DOUBLES = (
     "avg_voltage_v min_voltage_v max_voltage_v voltage_stddev total_power_kw avg_power_per_meter_kw "
@@ -241,7 +241,7 @@ def hourly_health_last_day(spark, sf_dir):
     "a19_daily_health",
     "SELECT pole_id, event_date, max(active_meters) AS max_active_meters, avg(active_meters) AS avg_active_meters, "
     "CAST(sum(total_readings) AS BIGINT) AS total_readings, CAST(sum(expected_readings) AS BIGINT) AS expected_readings, "
-    "round(sum(total_readings) / nullif(sum(expected_readings), 0) * 100, 2) AS data_completeness_pct, "
+    "CAST(round(CAST(sum(total_readings) / nullif(sum(expected_readings), 0) * 100 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS data_completeness_pct, "
     "avg(avg_voltage_v) AS daily_avg_voltage_v, min(min_voltage_v) AS daily_min_voltage_v, "
     "max(max_voltage_v) AS daily_max_voltage_v, avg(low_voltage_pct) AS avg_low_voltage_pct, "
     "max(low_voltage_pct) AS peak_low_voltage_hour_pct, sum(total_power_kw) / 24 AS avg_hourly_power_kw, "
@@ -288,7 +288,7 @@ def view_over_health(spark, sf_dir):
 @query(
     "f12_scores_side_by_side",
     "SELECT pole_id, count(*) FILTER (voltage_v BETWEEN 220 AND 260) / count(*) * 100 AS gauge_score, "
-    "round((1 - count(*) FILTER (voltage_v < 220 OR voltage_v > 260) / count(*)) * 100, 1) AS summary_score "
+    "CAST(round(CAST((1 - count(*) FILTER (voltage_v < 220 OR voltage_v > 260) / count(*)) * 100 AS DECIMAL(28, 9)), 1) AS DOUBLE) AS summary_score "
     "FROM readings WHERE event_ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-06' GROUP BY pole_id",
     "gauge_score",
 )

@@ -167,12 +167,12 @@ def pole_window_stats(spark, sf_dir):
 @query(
     "a20_pole_summary",
     "SELECT 'pole_3' AS pole_id, TIMESTAMP '2024-01-10' AS start_time, TIMESTAMP '2024-01-20' AS end_time, "
-    "count(DISTINCT meter_id) AS meter_count, count(*) AS reading_count, round(avg(voltage_v), 2) AS avg_voltage_v, "
-    "round(min(voltage_v), 2) AS min_voltage_v, round(max(voltage_v), 2) AS max_voltage_v, "
-    "round(coalesce(stddev_samp(voltage_v), 0), 2) AS voltage_stddev, round(sum(power_kw), 2) AS total_power_kw, "
-    "round(avg(power_kw), 3) AS avg_power_kw, round(max(power_kw), 3) AS peak_power_kw, "
-    "round(100.0 * count(*) FILTER (voltage_v < 220) / count(*), 2) AS low_voltage_pct, "
-    "round(100.0 * count(*) FILTER (voltage_v BETWEEN 220 AND 260) / count(*), 1) AS health_score "
+    "count(DISTINCT meter_id) AS meter_count, count(*) AS reading_count, CAST(round(CAST(avg(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_voltage_v, "
+    "CAST(round(CAST(min(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS min_voltage_v, CAST(round(CAST(max(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS max_voltage_v, "
+    "CAST(round(CAST(coalesce(stddev_samp(voltage_v), 0) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS voltage_stddev, CAST(round(CAST(sum(power_kw) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS total_power_kw, "
+    "CAST(round(CAST(avg(power_kw) AS DECIMAL(28, 9)), 3) AS DOUBLE) AS avg_power_kw, CAST(round(CAST(max(power_kw) AS DECIMAL(28, 9)), 3) AS DOUBLE) AS peak_power_kw, "
+    "CAST(round(CAST(100.0 * count(*) FILTER (voltage_v < 220) / count(*) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS low_voltage_pct, "
+    "CAST(round(CAST(100.0 * count(*) FILTER (voltage_v BETWEEN 220 AND 260) / count(*) AS DECIMAL(28, 9)), 1) AS DOUBLE) AS health_score "
     "FROM readings WHERE pole_id = 'pole_3' AND event_ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20' "
     "HAVING count(*) > 0",
 )
@@ -194,9 +194,9 @@ def count_all(spark, sf_dir):
 
 @query(
     "a22_stats_by_pole",
-    "SELECT pole_id, count(DISTINCT meter_id) AS meters, count(*) AS readings, round(avg(voltage_v), 2) AS avg_voltage, "
-    "round(min(voltage_v), 2) AS min_voltage, round(max(voltage_v), 2) AS max_voltage, "
-    "round(sum(power_kw), 2) AS total_power_kw FROM readings "
+    "SELECT pole_id, count(DISTINCT meter_id) AS meters, count(*) AS readings, CAST(round(CAST(avg(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_voltage, "
+    "CAST(round(CAST(min(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS min_voltage, CAST(round(CAST(max(voltage_v) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS max_voltage, "
+    "CAST(round(CAST(sum(power_kw) AS DECIMAL(28, 9)), 2) AS DOUBLE) AS total_power_kw FROM readings "
     "WHERE event_ts >= TIMESTAMP '2024-01-30 23:00:00' GROUP BY pole_id ORDER BY pole_id",
 )
 def stats_by_pole(spark, sf_dir):
@@ -259,7 +259,7 @@ def newest(spark, sf_dir):
 
 @query(
     "t04_newest_readings_rounded",
-    "SELECT event_ts, meter_id, pole_id, round(voltage_v, 2) AS voltage_v, round(power_kw, 3) AS power_kw "
+    "SELECT event_ts, meter_id, pole_id, CAST(round(CAST(voltage_v AS DECIMAL(28, 9)), 2) AS DOUBLE) AS voltage_v, CAST(round(CAST(power_kw AS DECIMAL(28, 9)), 3) AS DOUBLE) AS power_kw "
     "FROM readings ORDER BY event_ts DESC, meter_id, seq LIMIT 5",
 )
 def newest_rounded(spark, sf_dir):
@@ -268,7 +268,7 @@ def newest_rounded(spark, sf_dir):
 
 @query(
     "t05_newest_low_voltage",
-    "SELECT meter_id, pole_id, event_ts, round(voltage_v, 2) AS voltage_v FROM readings "
+    "SELECT meter_id, pole_id, event_ts, CAST(round(CAST(voltage_v AS DECIMAL(28, 9)), 2) AS DOUBLE) AS voltage_v FROM readings "
     "WHERE voltage_v < 220 ORDER BY event_ts DESC, meter_id, seq LIMIT 10",
 )
 def newest_low(spark, sf_dir):

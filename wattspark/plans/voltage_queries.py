@@ -54,7 +54,7 @@ def recent_sags(spark, sf_dir):
 @query(
     "a06_anomalies",
     "SELECT meter_id, pole_id, event_start, event_end, duration_seconds, "
-    "round(min_voltage_v, 2) AS min_voltage_v, round(avg_voltage_v, 2) AS avg_voltage_v, severity FROM ("
+    "CAST(round(CAST(min_voltage_v AS DECIMAL(28, 9)), 2) AS DOUBLE) AS min_voltage_v, CAST(round(CAST(avg_voltage_v AS DECIMAL(28, 9)), 2) AS DOUBLE) AS avg_voltage_v, severity FROM ("
     + events_sql(
         "voltage_v < 220",
         60,
