@@ -144,25 +144,37 @@ def validate(parsed: DataFrame, observed_at: str | datetime | Column | None = No
         .when(F.col("_bad_time"), TIMESTAMP_ERROR)
         .when(F.size("_bad_types") > 0, TYPE_ERROR)
     )
-    kind = F.col("error_type")
-    classified = checked.withColumn("error_type", error_type).withColumns(
-        {
-            "status": F.when(kind.isNull(), "success").otherwise("error"),
-            "error_message": F.when(kind == JSON_ERROR, F.lit("body is not valid JSON"))
-            .when((kind == PARSE_ERROR) & F.col("raw").isNull(), F.lit("body is not valid UTF-8"))
-            .when(kind == PARSE_ERROR, F.lit("body is not a JSON object"))
-            .when(kind == TIMESTAMP_ERROR, F.concat(F.lit(BAD_TIME), F.coalesce(_text("event_ts"), F.lit("?")))),
-            "error_messages": F.when(kind == VALIDATION_ERROR, F.col("_missing")).when(
-                kind == TYPE_ERROR, F.col("_bad_types")
-            ),
-            "raw_data": F.when(kind == JSON_ERROR, F.substring("raw", 1, RAW_KEPT)),
-            "record": F.when(
-                kind.isin(VALIDATION_ERROR, TIMESTAMP_ERROR, TYPE_ERROR), F.col("raw")
-            ),
-            "error_ts": F.current_timestamp() if observed_at is None else instant(observed_at),
-        }
+    # explode keeps the verdict together: a filter on it is not pushed below and the
+    # checks, which read the message, are not repeated for every column they feed
+    judged = checked.withColumn("_kind", error_type).select(
+        "*", F.explode(F.array(_verdict(observed_at))).alias("_verdict")
+    )
+    return judged.select(*parsed.columns, "_verdict.*")
+
+
+def _verdict(observed_at: str | datetime | Column | None) -> Column:
+    kind = F.col("_kind")
+    bad_time = F.concat(F.lit(BAD_TIME), F.coalesce(_text("event_ts"), F.lit("?")))
+    message = (
+        F.when(kind == JSON_ERROR, F.lit("body is not valid JSON"))
+        .when((kind == PARSE_ERROR) & F.col("raw").isNull(), F.lit("body is not valid UTF-8"))
+        .when(kind == PARSE_ERROR, F.lit("body is not a JSON object"))
+        .when(kind == TIMESTAMP_ERROR, bad_time)
+    )
+    messages = F.when(kind == VALIDATION_ERROR, F.col("_missing")).when(
+        kind == TYPE_ERROR, F.col("_bad_types")
+    )
+    with_record = kind.isin(VALIDATION_ERROR, TIMESTAMP_ERROR, TYPE_ERROR)
+    seen = F.current_timestamp() if observed_at is None else instant(observed_at)
+    return F.struct(
+        F.when(kind.isNull(), "success").otherwise("error").alias("status"),
+        kind.alias("error_type"),
+        message.alias("error_message"),
+        messages.alias("error_messages"),
+        F.when(kind == JSON_ERROR, F.substring("raw", 1, RAW_KEPT)).alias("raw_data"),
+        F.when(with_record, F.col("raw")).alias("record"),
+        seen.alias("error_ts"),
     )
-    return classified.drop("_missing", "_bad_time", "_bad_types")
 
 
 def successes(validated: DataFrame) -> DataFrame:

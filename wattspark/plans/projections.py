@@ -178,7 +178,7 @@ def batteries(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_device("battery"),
         F.round(value % 100, 1).alias("capacity"),
         F.round(value, 1).alias("power_output"),
-        F.round(3 + value % 2, 1).alias("run_time"),
+        (3 + (event % 20) / 10).alias("run_time"),
         (1500 + event % 500).alias("cycle_life"),
         (event % 4 != 0).alias("dischargable"),
     )
@@ -233,7 +233,7 @@ fleet AS (
       ELSE CASE WHEN event_id % 7 = 0
         THEN round(round(c.kw * CAST(50 AS DOUBLE) / 95, 1) * CAST(0.6 AS DOUBLE), 1)
         ELSE round(c.kw * CAST(50 AS DOUBLE) / 95, 1) END END AS power_output,
-    CASE WHEN kind = 'battery' THEN round(3 + value % CAST(2 AS DOUBLE), 1) END AS run_time,
+    CASE WHEN kind = 'battery' THEN 3 + (event_id % 20) / CAST(10 AS DOUBLE) END AS run_time,
     CASE WHEN kind = 'battery' THEN 1500 + event_id % 500 END AS cycle_life,
     CASE WHEN kind = 'battery' THEN event_id % 4 <> 0 END AS dischargable,
     CASE WHEN kind = 'PV' THEN CAST(25 AS DOUBLE) END AS nominal_power,
