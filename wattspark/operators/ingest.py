@@ -27,126 +27,134 @@ RAW_KEPT = 1000
 ISO_TIME = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
-# Number spellings the JVM reads but that are no numbers in a message.
-JVM_ONLY_NUMBER = r"(?i)^\s*(.*[0-9.][df]|[+-]?0x.*)\s*$"
+NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+BOOLEANS = ("true", "false")
 
 ERROR_COLUMNS = (
     "error_type", "error_message", "error_messages", "raw_data", "record", "error_ts",
 )
 
 
-def _field(name: str) -> Column:
+def _text(name: str) -> Column:
+    """Text of a member: NULL where it is absent or a JSON null."""
     return F.col("fields")[name]
 
 
-def _present(name: str) -> Column:
-    return F.coalesce(F.map_contains_key("fields", name), F.lit(False))
+def _names(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(name) for name in names])
 
 
-def _given(name: str) -> Column:
-    """Present and not a JSON null."""
-    return _present(name) & ~F.coalesce(F.is_variant_null(_field(name)), F.lit(True))
+def _json_type(name: str | Column) -> Column:
+    """JSON type of a member. Parses the body again, so only for texts that leave it open."""
+    members = F.try_variant_get(F.try_parse_json("raw"), "$", "map<string,variant>")
+    return F.schema_of_variant(members[name])
 
 
-def _text(name: str) -> Column:
-    return F.try_variant_get(_field(name), "$", "string")
+# The checks below are CASE expressions: their branches, unlike the sides of AND and OR,
+# are left alone by common-subexpression elimination, so the rare ones stay rare.
+
+
+def _is_number(name: Column) -> Column:
+    """Numbers and text that spells one; JSON booleans count as numbers too."""
+    text = F.col("fields")[name]
+    return (
+        F.when(text.rlike(NUMBER_TEXT), True)
+        .when(text.isin(*BOOLEANS), _json_type(name) == "BOOLEAN")
+        .otherwise(False)
+    )
 
 
-def _is_text(name: str) -> Column:
-    return F.coalesce(F.schema_of_variant(_field(name)) == "STRING", F.lit(False))
+def _bad_time() -> Column:
+    text = _text("event_ts")
+    iso = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
+    return (
+        F.when(text.isNull(), False)
+        .when(iso.isNotNull(), False)
+        .otherwise(_json_type("event_ts") == "STRING")
+    )
+
+
+def _bad_fields() -> list[Column]:
+    """Arrays of fields that are given but not numeric, and of required ones that are null."""
+    measures = _names(tuple(f for f in NUMERIC_FIELDS if f != "seq"))
+    given = lambda f: F.col("fields")[f].isNotNull()
+    not_numeric = F.filter(measures, lambda f: F.when(given(f), ~_is_number(f)).otherwise(False))
+    none = F.array().cast("array<string>")
+    seq = _text("seq")
+    bad_seq = (
+        F.when(seq.isNull(), none)
+        .when(seq.rlike(INTEGER_TEXT), none)
+        .when(~seq.rlike(NUMBER_TEXT) & ~seq.isin(*BOOLEANS), F.array(F.lit("seq")))
+        .when(_json_type("seq") == "STRING", F.array(F.lit("seq")))
+        .otherwise(none)
+    )
+    nulls = F.filter(_names(REQUIRED_FIELDS), lambda f: F.col("fields")[f].isNull())
+    return [not_numeric, bad_seq, nulls]
 
 
 def _number(name: str) -> Column:
-    value = F.try_variant_get(_field(name), "$", "double")
-    odd = _is_text(name) & _text(name).rlike(JVM_ONLY_NUMBER)
-    return F.when(~F.coalesce(odd, F.lit(False)), value)
+    """Value of a validated numeric field."""
+    text = _text(name)
+    return F.coalesce(text.try_cast("double"), (text == BOOLEANS[0]).cast("double"))
 
 
 def _whole_number(name: str) -> Column:
-    """Text must spell an integer; a JSON number is truncated."""
-    return F.when(
-        _is_text(name), F.when(_text(name).rlike(INTEGER_TEXT), F.trim(_text(name)).try_cast("long"))
-    ).otherwise(_number(name).try_cast("long"))
+    """Value of a validated integer field; a JSON number with a fraction is truncated."""
+    return F.coalesce(F.trim(_text(name)).try_cast("long"), _number(name).try_cast("long"))
 
 
 def _event_time() -> Column:
     """ISO text, or a JSON number of epoch seconds."""
     text = _text("event_ts")
-    iso = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
-    micros = (F.try_variant_get(_field("event_ts"), "$", "double") * 1_000_000).try_cast("long")
-    return F.when(_is_text("event_ts"), iso).otherwise(F.timestamp_micros(micros))
+    micros = (text.try_cast("double") * 1_000_000).try_cast("long")
+    return F.when(text.rlike(ISO_TIME), text.try_cast("timestamp")).otherwise(
+        F.timestamp_micros(micros)
+    )
 
 
 def parse(messages: DataFrame) -> DataFrame:
     """Decode the message body.
 
     Adds ``raw`` (the text, NULL for invalid UTF-8), ``fields`` (the members of
-    the JSON object) and ``parse_error``. The body is parsed as the only element
-    of an array, so that text after the object makes it malformed.
+    the JSON object, as text) and ``parse_error``. The body is parsed as the only
+    element of an array, so that text after the object makes it malformed.
     """
     text = F.col("data").cast("string")
     decoded = messages.withColumn("raw", F.when(F.is_valid_utf8(text), text))
-    boxed = decoded.withColumn(
-        "_box", F.try_parse_json(F.concat(F.lit("["), F.col("raw"), F.lit("]")))
-    )
-    single = (
-        F.try_variant_get("_box", "$[0]", "variant").isNotNull()
-        & F.try_variant_get("_box", "$[1]", "variant").isNull()
-    )
-    parsed = boxed.withColumn(
-        "fields", F.when(single, F.try_variant_get("_box", "$[0]", "map<string,variant>"))
-    )
-    error = (
-        F.when(F.col("raw").isNull(), PARSE_ERROR)
-        .when(F.col("_box").isNull() | ~F.coalesce(single, F.lit(False)), JSON_ERROR)
-        .when(F.col("fields").isNull(), PARSE_ERROR)
+    boxed = F.concat(F.lit("["), F.col("raw"), F.lit("]"))
+    parsed = decoded.withColumn("_box", F.from_json(boxed, "array<map<string,string>>"))
+    fields = F.when(F.size("_box") == 1, F.col("_box")[0])
+    parsed = parsed.withColumn("fields", fields).drop("_box")
+    error = F.when(F.col("raw").isNull(), PARSE_ERROR).when(
+        F.col("fields").isNull(),
+        F.when(F.json_array_length(boxed) == 1, PARSE_ERROR).otherwise(JSON_ERROR),
     )
-    return parsed.withColumn("parse_error", error).drop("_box")
-
-
-def _validation_messages() -> Column:
-    return F.array_compact(
-        F.array(*[F.when(~_present(f), F.lit(MISSING_FIELD + f)) for f in REQUIRED_FIELDS])
-    )
-
-
-def _type_messages() -> Column:
-    problems = []
-    for name in NUMERIC_FIELDS:
-        value = _whole_number(name) if name == "seq" else _number(name)
-        bad = _given(name) & value.isNull()
-        problems.append(
-            F.when(bad, F.concat(F.lit(f"{BAD_NUMBER}{name}: "), F.coalesce(_text(name), F.lit("?"))))
-        )
-    for name in REQUIRED_FIELDS:
-        problems.append(F.when(_present(name) & ~_given(name), F.lit(f"{BAD_NUMBER}{name}: null")))
-    return F.array_compact(F.array(*problems))
+    return parsed.withColumn("parse_error", error)
 
 
 def validate(parsed: DataFrame, observed_at: str | datetime | Column | None = None) -> DataFrame:
     """Classify parsed messages; the first class that applies wins.
 
-    Adds ``status`` (``success`` or ``error``) and the columns of the error record.
+    Adds ``status`` (``success`` or ``error``) and the columns of the error
+    record. The checks keep names of offending fields; texts are only built for
+    messages that have an error.
     """
-    checked = parsed.withColumns(
+    found = parsed.withColumns(
         {
-            "_missing": F.when(F.col("parse_error").isNull(), _validation_messages()),
-            "_bad_time": F.col("parse_error").isNull()
-            & _given("event_ts")
-            & _event_time().isNull(),
-            "_bad_types": F.when(F.col("parse_error").isNull(), _type_messages()),
+            "_missing": F.array_except(_names(REQUIRED_FIELDS), F.map_keys("fields")),
+            "_bad": F.concat(*_bad_fields()),
         }
     )
-    error_type = (
+    kind = (
         F.when(F.col("parse_error").isNotNull(), F.col("parse_error"))
         .when(F.size("_missing") > 0, VALIDATION_ERROR)
-        .when(F.col("_bad_time"), TIMESTAMP_ERROR)
-        .when(F.size("_bad_types") > 0, TYPE_ERROR)
+        .when(_bad_time(), TIMESTAMP_ERROR)
+        .when(F.size("_bad") > 0, TYPE_ERROR)
     )
     # explode keeps the verdict together: a filter on it is not pushed below and the
     # checks, which read the message, are not repeated for every column they feed
-    judged = checked.withColumn("_kind", error_type).select(
+    judged = found.withColumn("_kind", kind).select(
         "*", F.explode(F.array(_verdict(observed_at))).alias("_verdict")
     )
     return judged.select(*parsed.columns, "_verdict.*")
@@ -154,16 +162,20 @@ def validate(parsed: DataFrame, observed_at: str | datetime | Column | None = No
 
 def _verdict(observed_at: str | datetime | Column | None) -> Column:
     kind = F.col("_kind")
-    bad_time = F.concat(F.lit(BAD_TIME), F.coalesce(_text("event_ts"), F.lit("?")))
     message = (
         F.when(kind == JSON_ERROR, F.lit("body is not valid JSON"))
         .when((kind == PARSE_ERROR) & F.col("raw").isNull(), F.lit("body is not valid UTF-8"))
         .when(kind == PARSE_ERROR, F.lit("body is not a JSON object"))
-        .when(kind == TIMESTAMP_ERROR, bad_time)
+        .when(kind == TIMESTAMP_ERROR, F.concat(F.lit(BAD_TIME), _text("event_ts")))
     )
-    messages = F.when(kind == VALIDATION_ERROR, F.col("_missing")).when(
-        kind == TYPE_ERROR, F.col("_bad_types")
+    missing = F.transform("_missing", lambda f: F.concat(F.lit(MISSING_FIELD), f))
+    bad = F.transform(
+        "_bad",
+        lambda f: F.concat(
+            F.lit(BAD_NUMBER), f, F.lit(": "), F.coalesce(F.col("fields")[f], F.lit("null"))
+        ),
     )
+    messages = F.when(kind == VALIDATION_ERROR, missing).when(kind == TYPE_ERROR, bad)
     with_record = kind.isin(VALIDATION_ERROR, TIMESTAMP_ERROR, TYPE_ERROR)
     seen = F.current_timestamp() if observed_at is None else instant(observed_at)
     return F.struct(
@@ -206,7 +218,7 @@ def enrich(valid: DataFrame, ingest_ts: str | datetime | Column | None = None) -
     The network profile comes from the message attributes only; missing quality
     flags become an empty list.
     """
-    flags = F.try_variant_get(_field("quality_flags"), "$", "array<string>")
+    flags = F.from_json(_text("quality_flags"), "array<string>")
     columns = {
         "event_ts": _event_time(),
         "ingest_ts": F.current_timestamp() if ingest_ts is None else instant(ingest_ts),

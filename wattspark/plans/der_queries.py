@@ -47,7 +47,7 @@ def minute_timestamps(spark, sf_dir):
 
 @query(
     "p29_edge_messages",
-    "SELECT make_timestamp(epoch_ms(ts) * 1000) AS ts, CAST(42.5 AS DOUBLE) AS nameplate_capacity, "
+    "SELECT date_trunc('millisecond', ts) AS ts, CAST(42.5 AS DOUBLE) AS nameplate_capacity, "
     "CAST(5 + event_id % 20 AS BIGINT) AS wind_speed, value AS power_output, "
     "CAST(48 + user_id % 100 / 100.0 AS DOUBLE) AS longitude, CAST(11 + user_id % 100 / 100.0 AS DOUBLE) AS latitude FROM events",
     "power_output longitude latitude",
@@ -152,9 +152,9 @@ def fleet_slots_by_type(spark, sf_dir):
 
 @query(
     "a30_inventory",
-    "SELECT device_type, declared, count(DISTINCT device_id) AS seen, count(DISTINCT device_id) - declared AS difference "
-    "FROM (VALUES ('battery', CAST(2 AS BIGINT)), ('PV', 2), ('wind', 1), ('hydro', 1)) AS t(device_type, declared) "
-    "LEFT JOIN fleet USING (device_type) GROUP BY ALL",
+    "SELECT device_type, any_value(declared) AS declared, count(DISTINCT device_id) AS seen, "
+    "count(DISTINCT device_id) - any_value(declared) AS difference FROM (VALUES ('battery', CAST(2 AS BIGINT)), ('PV', 2), ('wind', 1), ('hydro', 1)) AS t(device_type, declared) "
+    "LEFT JOIN fleet USING (device_type) GROUP BY device_type",
 )
 def inventory(spark, sf_dir):
     declared = spark.createDataFrame(
