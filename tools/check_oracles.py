@@ -81,7 +81,7 @@ def main() -> int:
             problems.append(f"{len(a)} vs {len(b)} rows, first differences {diff}")
         if problems:
             bad += 1
-            print(f"DIFF {name}: " + "; ".join(problems))
+            print(f"DIFF {name} {took:.1f}s: " + "; ".join(problems))
         else:
             print(f"ok   {name}: {len(a)} rows, {took:.1f}s")
     print("bad:", bad)

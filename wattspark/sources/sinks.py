@@ -99,6 +99,12 @@ def archive_columns(readings: DataFrame) -> DataFrame:
 
 
 ARCHIVE_FOLDERS = ("pole_id", "dt", "hr", "min")
+# Archive format; microseconds are spelled out.
+ARCHIVE_OPTIONS = {
+    "ignoreNullFields": "false",
+    "compression": "gzip",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
 
 
 def write_archive(readings: DataFrame, path: str, mode: str = "append") -> None:
@@ -107,8 +113,7 @@ def write_archive(readings: DataFrame, path: str, mode: str = "append") -> None:
         archive_columns(readings)
         .repartitionByRange(*ARCHIVE_FOLDERS, "event_ts")
         .write.mode(mode)
-        .option("ignoreNullFields", "false")
-        .option("compression", "gzip")
+        .options(**ARCHIVE_OPTIONS)
         .partitionBy(*ARCHIVE_FOLDERS)
         .json(path)
     )

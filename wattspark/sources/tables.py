@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattspark.schemas import BASELINE, EDGE_WIND, READINGS, WIND_CURVE
+from wattspark.sources.sinks import ARCHIVE_OPTIONS
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +23,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     The pole is a folder of the archive and comes from partition discovery.
     """
-    rows = spark.read.schema(READINGS).json(path)
+    rows = spark.read.schema(READINGS).options(**ARCHIVE_OPTIONS).json(path)
     return rows.select(*READINGS.names)
 
 

@@ -32,8 +32,7 @@ def start_archive(
         sinks.archive_columns(readings)
         .writeStream.format("json")
         .partitionBy(*sinks.ARCHIVE_FOLDERS)
-        .option("compression", "gzip")
-        .option("ignoreNullFields", "false")
+        .options(**sinks.ARCHIVE_OPTIONS)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
