@@ -31,6 +31,10 @@ from wattspark.sources import sinks, streams, tables
 from wattspark.streaming import pipeline, sags, windows
 
 
+# The events hold a few readings per meter and day: daily archive folders fit them.
+DAILY = ("pole_id", "dt")
+
+
 def _staged(spark: SparkSession, df: DataFrame) -> str:
     path = scratch_dir(spark, "staged")
     df.write.parquet(path)
@@ -111,7 +115,11 @@ def archive_and_replay(spark, sf_dir):
     out = scratch_dir(spark, "raw")
     _finish(
         pipeline.start_archive(
-            _readings_stream(spark, sf_dir), out, scratch_dir(spark, "checkpoint"), once=True
+            _readings_stream(spark, sf_dir),
+            out,
+            scratch_dir(spark, "checkpoint"),
+            once=True,
+            folders=DAILY,
         )
     )
     return tables.read_archive(spark, out).select(
@@ -379,6 +387,7 @@ def whole_pipeline(spark, sf_dir):
         metrics=True,
         metrics_window_seconds=86_400,
         once=True,
+        archive_folders=DAILY,
     )
     _finish(*started.values())
     columns = {

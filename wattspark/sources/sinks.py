@@ -107,13 +107,20 @@ ARCHIVE_OPTIONS = {
 }
 
 
-def write_archive(readings: DataFrame, path: str, mode: str = "append") -> None:
-    """Compressed JSON lines under ``pole_id=/dt=/hr=/min=``."""
+def write_archive(
+    readings: DataFrame,
+    path: str,
+    mode: str = "append",
+    folders: tuple[str, ...] = ARCHIVE_FOLDERS,
+) -> None:
+    """Compressed JSON lines under ``pole_id=/dt=/hr=/min=``, or under fewer of these."""
+    unused = [c for c in ARCHIVE_FOLDERS[1:] if c not in folders]
     (
         archive_columns(readings)
-        .repartitionByRange(*ARCHIVE_FOLDERS, "event_ts")
+        .drop(*unused)
+        .repartitionByRange(*folders, "event_ts")
         .write.mode(mode)
         .options(**ARCHIVE_OPTIONS)
-        .partitionBy(*ARCHIVE_FOLDERS)
+        .partitionBy(*folders)
         .json(path)
     )
