@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattspark.functions.columns import safe_divide
 from wattspark.operators.sliced import consecutive_pairs, with_running
-from wattspark.schemas import DER_METRICS, der_wide_schema
+from wattspark.schemas import DER_METRICS, WIND_CURVE as WIND_CURVE_SCHEMA, der_wide_schema
 
 # Market rules.
 SLOT_MINUTES = 5
@@ -17,6 +17,8 @@ WIND_CURVE = (
     0.0, 0.0, 1.2, 7.2, 14.5, 24.7, 37.9, 58.7, 74.8, 85.1, 90.2, 94.7, 95.3,
     95.1, 94.2, 92.9, 91.2, 88.9, 87.1, 84.1, 81.3, 78.6, 75.1, 74.3, 71.7,
 )
+# A curve has one row per whole metre per second; storms end well below this.
+MAX_CURVE_ROWS = 200
 DAY = 86_400
 
 
@@ -178,21 +180,19 @@ def pv_performance(fleet: DataFrame) -> DataFrame:
     )
 
 
-def wind_curve(spark) -> DataFrame:
+def wind_curve(spark: SparkSession) -> DataFrame:
     """The speed-to-power curve as a table."""
-    from wattspark.schemas import WIND_CURVE as schema
-
-    return spark.createDataFrame(
-        [(speed, kw) for speed, kw in enumerate(WIND_CURVE, start=1)], schema
-    )
+    return spark.createDataFrame(list(enumerate(WIND_CURVE, start=1)), WIND_CURVE_SCHEMA)
 
 
 def with_curve_power(fleet: DataFrame, curve: DataFrame) -> DataFrame:
     """Wind telemetry with the output the curve promises at the reported speed.
 
-    The curve has one row per whole metre per second of wind, so it is sent to
-    every executor. Speeds off the curve get NULL.
+    The curve is sent to every executor, after a check that it is as small as
+    curves are. Speeds off the curve get NULL.
     """
+    if curve.limit(MAX_CURVE_ROWS + 1).count() > MAX_CURVE_ROWS:
+        raise ValueError(f"a wind curve has at most {MAX_CURVE_ROWS} rows")
     lookup = F.broadcast(
         curve.select(
             F.col("WindSpeed").cast("long").alias("_speed"), F.col("PowerOutput").alias("_kw")

@@ -31,7 +31,7 @@ def _series(spark, sf_dir):
     return gauges.to_series(gauges.pole_gauges(readings(spark, sf_dir), 60))
 
 
-@query("a02_pole_gauges", "SELECT * FROM gauges", DOUBLES, (MINUTE, "pad AS (SELECT 1 FROM readings LIMIT 0)"))
+@query("a02_pole_gauges", "SELECT * FROM gauges", DOUBLES, (MINUTE,))
 def pole_gauges(spark, sf_dir):
     return gauges.pole_gauges(readings(spark, sf_dir), 60)
 
@@ -122,8 +122,7 @@ def meters_tile(spark, sf_dir):
 
 @query(
     "d05_voltage_distribution",
-    "SELECT end_time AS period_start, pole_id, voltage_min, voltage_avg, voltage_max FROM gauges "
-    "WHERE EXISTS (SELECT 1 FROM readings)",
+    "SELECT end_time AS period_start, pole_id, voltage_min, voltage_avg, voltage_max FROM gauges",
     "voltage_min voltage_avg voltage_max",
     (MINUTE,),
 )
@@ -204,8 +203,7 @@ def backlog_state(spark, sf_dir):
 @query(
     "d08_voltage_band",
     "SELECT pole_id, end_time AS period_start, CASE WHEN voltage_avg < 220 THEN 'BELOW_LIMIT' "
-    "WHEN voltage_avg < 240 THEN 'BELOW_NOMINAL' ELSE 'NOMINAL' END AS band FROM gauges "
-    "WHERE EXISTS (SELECT 1 FROM readings)",
+    "WHEN voltage_avg < 240 THEN 'BELOW_NOMINAL' ELSE 'NOMINAL' END AS band FROM gauges",
     "",
     (MINUTE,),
 )

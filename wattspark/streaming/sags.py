@@ -77,8 +77,14 @@ class SagState:
         return spark.read.parquet(path) if sinks.exists(spark, path) else None
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.select(*COLUMNS)
+        fresh = batch.select(*COLUMNS).persist()
+        try:
+            self._advance(fresh, batch_id)
+        finally:
+            fresh.unpersist()
+
+    def _advance(self, fresh: DataFrame, batch_id: int) -> None:
+        spark = fresh.sparkSession
         mark = self._carried(spark, "mark", batch_id - 1)
         pending = self._carried(spark, "pending", batch_id - 1)
         open_runs = self._carried(spark, "open", batch_id - 1)
