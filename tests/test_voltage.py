@@ -7,6 +7,16 @@ from tests.build import reading, readings, rows
 from wattspark.operators import sliced, voltage
 
 
+@pytest.fixture(params=["plain", "heavy", "all"])
+def slicing(request, monkeypatch):
+    """No key heavy, only the busy one, or too many to list."""
+    if request.param != "plain":
+        monkeypatch.setattr(sliced, "ROWS_PER_TASK", 100 if request.param == "heavy" else 1)
+    if request.param == "all":
+        monkeypatch.setattr(sliced, "MAX_HEAVY_KEYS", 0)
+    return request.param
+
+
 def brute_runs(rows_, low=220.0):
     """Runs of low readings per meter, split by pole, found one reading at a time."""
     found = {}
@@ -38,8 +48,8 @@ def noisy(seed=7, hot=600):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 10, 600, 3600, 10**7])
-def test_runs_do_not_depend_on_the_slice(spark, width):
+@pytest.mark.parametrize("width", [1, 600, 10**7])
+def test_runs_do_not_depend_on_the_slice(spark, slicing, width):
     data = noisy()
     got = voltage.sag_events(readings(spark, *data), 220.0, 1, width)
     shown = rows(got, "meter_id", "pole_id", "reading_count", "min_voltage_v", "max_voltage_v")
@@ -93,7 +103,7 @@ def test_every_low_reading_is_in_exactly_one_run(spark):
 
 
 @pytest.mark.parametrize("width", [5, 3600])
-def test_row_numbers_equal_plain_windows(spark, width):
+def test_row_numbers_equal_plain_windows(spark, slicing, width):
     df = readings(spark, *noisy(5))
     plain = Window.partitionBy("meter_id").orderBy("event_ts", "seq")
     low = F.col("voltage_v") < 220
@@ -106,8 +116,8 @@ def test_row_numbers_equal_plain_windows(spark, width):
     assert rows(got, *cols) == rows(want, *cols)
 
 
-@pytest.mark.parametrize("width", [1, 60, 10**6])
-def test_pairs_equal_plain_lag(spark, width):
+@pytest.mark.parametrize("width", [1, 60])
+def test_pairs_equal_plain_lag(spark, slicing, width):
     df = readings(spark, *noisy(11))
     plain = Window.partitionBy("meter_id").orderBy("event_ts", "seq")
     want = df.withColumn("prev_seq", F.lag("seq").over(plain)).filter("prev_seq IS NOT NULL")
@@ -117,7 +127,7 @@ def test_pairs_equal_plain_lag(spark, width):
 
 
 @pytest.mark.parametrize("seconds", [4, 50])
-def test_trailing_count_equals_range_frame(spark, seconds):
+def test_trailing_count_equals_range_frame(spark, slicing, seconds):
     df = readings(spark, *noisy(13))
     df.createOrReplaceTempView("trailing_input")
     want = spark.sql(
@@ -130,12 +140,13 @@ def test_trailing_count_equals_range_frame(spark, seconds):
     assert rows(got, *cols) == rows(want, *cols)
 
 
-def test_no_window_takes_a_whole_meter(spark):
-    """Readings are only ever windowed by meter and slice; per meter only slice totals are."""
-    plan = voltage.sag_events(readings(spark, reading()))._jdf.queryExecution().optimizedPlan().toString()
-    for line in plan.splitlines():
-        if "Window [" in line and "event_ts" in line:
-            assert "[meter_id" in line and "_slice" in line.rsplit("], [", 2)[-2]
+def test_heavy_meters_are_found_and_listed(spark, monkeypatch):
+    df = readings(spark, *noisy())
+    assert sliced.plan_slices(df, ["meter_id"]).heavy == ()
+    monkeypatch.setattr(sliced, "ROWS_PER_TASK", 100)
+    assert sliced.plan_slices(df, ["meter_id"]).heavy == ("hot",)
+    monkeypatch.setattr(sliced, "MAX_HEAVY_KEYS", 0)
+    assert sliced.plan_slices(df, ["meter_id"]).heavy is None
 
 
 def test_event_rows_layout(spark):

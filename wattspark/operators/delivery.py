@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspark.functions.columns import line_current, reactive_power, safe_divide
 from wattspark.functions.quality import voltage_flags
-from wattspark.operators.sliced import HOUR, consecutive_pairs, with_running
+from wattspark.operators.sliced import HOUR, consecutive_pairs, plan_slices, with_running
 
 # Declared backhaul latency in milliseconds (lowest, highest, jitter).
 LATENCY_BANDS = {
@@ -47,8 +47,9 @@ def delivery_stats(readings: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
     when one of its meter with a higher sequence number arrived earlier.
     """
     slim = readings.select("meter_id", "event_ts", "ingest_ts", "seq", PROFILE)
+    slicing = plan_slices(slim, ["meter_id"], slice_seconds)
     pairs = consecutive_pairs(
-        slim, ["meter_id"], ["event_ts", "seq"], ["seq", PROFILE], slice_seconds
+        slim, ["meter_id"], ["event_ts", "seq"], ["seq", PROFILE], slicing=slicing
     )
     gap = F.greatest(F.col("seq") - F.col("prev_seq") - 1, F.lit(0))
     arrivals = with_running(
@@ -56,8 +57,8 @@ def delivery_stats(readings: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
         ["meter_id"],
         ["ingest_ts", "event_ts", "seq"],
         {"_highest": ("max", F.col("seq"))},
-        slice_seconds,
         inclusive=False,
+        slicing=slicing,
     )
     reordered = F.count_if(F.col("seq") < F.col("_highest"))
     none = F.lit(0).cast("long")
