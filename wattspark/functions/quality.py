@@ -32,11 +32,10 @@ def low_voltage_flag(voltage: Column, threshold: float = SAG_V) -> Column:
 
 def voltage_flags(voltage: Column, sag: float = SAG_V, swell: float = SWELL_V) -> Column:
     """Quality flags a reading earns by its voltage alone."""
-    return F.array_compact(
-        F.array(
-            F.when(is_sag(voltage, sag), F.lit("voltage_sag")),
-            F.when(is_swell(voltage, swell), F.lit("voltage_swell")),
-        )
+    return (
+        F.when(is_sag(voltage, sag), F.array(F.lit("voltage_sag")))
+        .when(is_swell(voltage, swell), F.array(F.lit("voltage_swell")))
+        .otherwise(F.array().cast("array<string>"))
     )
 
 
