@@ -152,12 +152,13 @@ def validate(parsed: DataFrame, observed_at: str | datetime | Column | None = No
         .when(_bad_time(), TIMESTAMP_ERROR)
         .when(F.size("_bad") > 0, TYPE_ERROR)
     )
-    # explode keeps the verdict together: a filter on it is not pushed below and the
-    # checks, which read the message, are not repeated for every column they feed
+    # explode keeps the verdict and the members together: a filter on them is not pushed
+    # below, where the parse and the checks would be repeated for every column they feed
     judged = found.withColumn("_kind", kind).select(
         "*", F.explode(F.array(_verdict(observed_at))).alias("_verdict")
     )
-    return judged.select(*parsed.columns, "_verdict.*")
+    carried = [c for c in parsed.columns if c != "fields"]
+    return judged.select(*carried, "_verdict.*")
 
 
 def _verdict(observed_at: str | datetime | Column | None) -> Column:
@@ -179,6 +180,7 @@ def _verdict(observed_at: str | datetime | Column | None) -> Column:
     with_record = kind.isin(VALIDATION_ERROR, TIMESTAMP_ERROR, TYPE_ERROR)
     seen = F.current_timestamp() if observed_at is None else instant(observed_at)
     return F.struct(
+        F.col("fields"),
         F.when(kind.isNull(), "success").otherwise("error").alias("status"),
         kind.alias("error_type"),
         message.alias("error_message"),
