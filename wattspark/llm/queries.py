@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattspark.llm import decontaminate, langid, mixing, sharding, simhash
-from wattspark.llm.common import table
+from wattspark.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_rollup,
+    toxicity,
+)
+from wattspark.llm.common import table, written
+from wattspark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +71,14 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("containment", F.round("containment", 6))
 
 
+# 2 ---------------------------------------------------------------------------------------------
+
+
+@query("op2_substring_dedup")
+def substring_dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"), length=35).drop("kept")
+
+
 # 3 ---------------------------------------------------------------------------------------------
 
 
@@ -74,6 +94,82 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+# 4 ---------------------------------------------------------------------------------------------
+
+
+@query("op4_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
+# 5 ---------------------------------------------------------------------------------------------
+
+
+@query("op5_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels train only where the remainder is not 0, and are never inputs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs.join(labels.where(remainder(5) != 0), "doc_id"))
+    found = toxicity.scores(docs, model)
+    return found.select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+# 6 ---------------------------------------------------------------------------------------------
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_QUALITY_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_sql_text(quality.WORD)}) AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, {_sql_text(quality.WORD)})) AS filled
+  FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(words[i + 1 : i + 5], ' ') AS w
+  FROM (SELECT r, words, unnest(range(0, len(words) - 4)) AS i FROM d WHERE len(words) >= 5)),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) >= 2),
+repeated AS (
+  SELECT r, count(DISTINCT i + j)::BIGINT AS n FROM twice, (SELECT unnest(range(0, 5)) AS j) GROUP BY r),
+lines AS (
+  SELECT r, line, trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS bare
+  FROM (SELECT r, unnest(filled) AS line FROM d)),
+counted AS (
+  SELECT *, len(regexp_extract_all(bare, {_sql_text(quality.WORD)})) AS n,
+         length(regexp_replace(line, {_sql_text(quality.BLANK)}, '', 'g')) AS shown,
+         regexp_matches(bare, {_sql_text(quality.SENTENCE_END)}) AS ended,
+         len(regexp_extract_all(bare, {_sql_text(quality.SEPARATORS)})) AS seps FROM lines),
+judged AS (
+  SELECT *, (NOT ended AND n < 5) OR len(regexp_extract_all(bare, {_sql_text(quality.ODD)})) > 0.25 * shown
+         OR (seps >= 2 AND n <= 4 * (seps + 1))
+         OR (regexp_matches(bare, {_sql_text(quality.CONTROLS)}) AND n <= 10 AND NOT ended)
+         OR regexp_matches(bare, {_sql_text(quality.NOTICES)}) AS bad FROM counted),
+lost AS (
+  SELECT r, count(*) FILTER (bad) AS n_bad_lines, coalesce(sum(shown) FILTER (bad), 0)::BIGINT AS lost_chars
+  FROM judged GROUP BY r),
+base AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(filled) - len(list_distinct(filled)))::BIGINT AS n_dup_lines,
+         coalesce(repeated.n, 0) AS n_repeat_words, len(filled)::BIGINT AS n_lines,
+         coalesce(n_bad_lines, 0)::BIGINT AS n_bad_lines, coalesce(lost_chars, 0)::BIGINT AS lost_chars
+  FROM d LEFT JOIN repeated USING (r) LEFT JOIN lost USING (r))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND lost_chars <= 0.5 * word_chars AS kept
+FROM base
+"""
+
+
+@query("op6_quality_rules", _QUALITY_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 # 7 ---------------------------------------------------------------------------------------------
 
 
@@ -107,6 +203,39 @@ def sharding_by_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# 9 ---------------------------------------------------------------------------------------------
+
+
+@query("op9_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup after a load, the removal of exact copies and a revised word count.
+
+    All documents are inserted under two tokenizer versions. Then copies go: of equal texts that
+    of the smallest id stays. Then the remaining counts of ``words`` are revised to leave out runs
+    of mere punctuation. Two batches are committed twice, which changes nothing.
+    """
+    counters = {
+        "bpe": token_rollup.Bpe.from_file(token_rollup.VOCABULARY),
+        "words": token_rollup.words,
+        "letter_words": token_rollup.letter_words,
+    }
+    counted = written(token_rollup.counts(table(spark, sf_dir, "documents"), counters), "token_counts")
+    first = counted.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
+    marked = counted.join(first, "text_hash")
+    copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
+    copies, kept = marked.where(copy), marked.where(~copy)
+    rollup = token_rollup.Rollup(spark, scratch_dir(spark, "token_rollup"))
+    versions = (("byte_bpe_50k", "bpe"), ("words", "words"))
+    load = [token_rollup.inserted(counted, v, c) for v, c in versions]
+    removal = [token_rollup.deleted(copies, v, c) for v, c in versions]
+    rollup.commit("load", *load)
+    rollup.commit("removal", *removal)
+    rollup.commit("load", *load)
+    rollup.commit("recount", token_rollup.revised(kept, "words", "words", "letter_words"))
+    rollup.commit("removal", *removal)
+    return rollup.totals()
+
+
 # 10 --------------------------------------------------------------------------------------------
 
 MIX = {"entropy_share": 0.97, "max_repeats": 4.0, "seed": 11}
