@@ -25,6 +25,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from wattspark.llm.common import bit_map, bytes_of, in_map, scrambled, written
@@ -241,20 +242,31 @@ def _fetched(rows: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
     return both.mapInArrow(run, _CUT).repartition("key", "salt")
 
 
+def _windows(fetched: DataFrame) -> DataFrame:
+    """The windows of hot keys. A plain filter would be pushed below the exchange, which could then
+    not be shared with the contents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.filter(pc.is_valid(batch.column("window")))
+            yield rows.select(["key", "window", "n", "doc", "sub", "start"])
+
+    return fetched.mapInArrow(run, "key long, window long, n long, doc long, sub long, start int")
+
+
 _SPAN = "doc long, sub long, start int, windows int"
 SHARD_BYTES = 1 << 20
 
 
 def _compared(fetched: DataFrame, m: Method) -> DataFrame:
     """Flagged windows of the contents of keys that are not hot, shard by shard."""
-    rows = fetched.where("bytes IS NOT NULL").select("key", "n", "doc", "sub", "start", "windows", "bytes")
-    rows = rows.sortWithinPartitions("key")
+    rows = fetched.sortWithinPartitions("key")
 
     def shard(held: list[tuple]) -> pa.RecordBatch:
-        contents = [r[6] for r in held]
-        windows = np.array([r[5] for r in held], np.int64)
-        counts = np.array([r[1] for r in held], np.int64)
-        places = [(r[2], r[3], r[4]) for r in held]
+        contents = [r[8] for r in held]
+        windows = np.array([r[7] for r in held], np.int64)
+        counts = np.array([r[3] for r in held], np.int64)
+        places = [r[4:7] for r in held]
         found = m.compare(contents, windows, counts, places)
         columns = [
             pa.array([places[r][0] for r, _, _ in found], pa.int64()),
@@ -268,12 +280,14 @@ def _compared(fetched: DataFrame, m: Method) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r[8] is None:
+                    continue
                 if size > SHARD_BYTES and r[0] != held[-1][0]:  # a shard holds whole keys
                     yield shard(held)
                     held, size = [], 0
                 held.append(r)
-                size += len(r[6])
+                size += len(r[8])
         if held:
             yield shard(held)
 
@@ -310,7 +324,7 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
         "first.doc", "first.sub", "first.start", "windows", "key", "n", "hot"
     )
     fetched = _fetched(rows, wanted, m)
-    parts = fetched.where("window IS NOT NULL").select("key", "window", "n", "doc", "sub", "start")
+    parts = _windows(fetched)
     same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
     same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
     hot = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
