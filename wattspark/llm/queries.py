@@ -110,7 +110,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels train only where the remainder is not 0, and are never inputs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    model = toxicity.fit(docs.join(labels.where(remainder(5) != 0), "doc_id"))
+    model = toxicity.fit(docs, labels.where(remainder(5) != 0))
     found = toxicity.scores(docs, model)
     return found.select(
         "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")

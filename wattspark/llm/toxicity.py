@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattspark.llm.common import PLAIN, bytes_of, hashes, scrambled
 
+DRAWN = 3  # ids drawn for each document that is to train
+
 Params = dict[str, np.ndarray]
 
 
@@ -294,29 +296,31 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray, prior: float) -> tuple[fl
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def fit(labelled: DataFrame, settings: Settings | None = None) -> Model:
-    """Train on a bounded sample of rows ``(doc_id, text, label)`` with label 0 or 1.
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
+    """Train on a bounded sample of ``docs`` (doc_id, text) that ``labels`` (doc_id, label) marks 0 or 1.
 
-    Of each label a share is drawn by the hash of the id that leaves ``docs_per_label`` documents
-    on average; longer texts than ``max_chars`` and rows with nulls do not train.
+    Of each label a share is drawn by the hash of the id that leaves ``DRAWN * docs_per_label`` ids on
+    average; so few are sent to the documents, and the texts need not be shuffled. Of those found,
+    texts up to ``max_chars`` train, ``docs_per_label`` per label. Rows with nulls do not train.
     """
     s = settings or Settings()
-    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("label").cast("int").alias("label"))
-    rows = rows.where("text IS NOT NULL AND doc_id IS NOT NULL AND label IN (0, 1)")
-    counts = rows.groupBy("label").agg(
-        F.count("*").alias("n"), F.count_if(F.length("text") <= s.max_chars).alias("short")
-    )
-    sizes = {r["label"]: r for r in counts.collect()}
+    marked = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("label").cast("int").alias("label"))
+    marked = marked.where("id IS NOT NULL AND label IN (0, 1)")
+    sizes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return train([], s, float(next(iter(sizes), 0)))
-    prior = sizes[1]["n"] / (sizes[0]["n"] + sizes[1]["n"])
-    share = F.when(F.col("label") == 1, s.docs_per_label / max(sizes[1]["short"], 1)).otherwise(
-        s.docs_per_label / max(sizes[0]["short"], 1)
-    )
-    drawn = F.pmod(F.xxhash64(F.lit(s.seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.where((F.length("text") <= s.max_chars) & (drawn < share)).limit(4 * s.docs_per_label)
-    samples = [(r["doc_id"], r["label"], r["text"].encode()) for r in picked.toLocalIterator()]
-    return train(samples, s, prior)
+    wanted = DRAWN * s.docs_per_label
+    share = F.when(F.col("label") == 1, wanted / sizes[1]).otherwise(wanted / sizes[0])
+    drawn = F.pmod(F.xxhash64(F.lit(s.seed), "id"), F.lit(1 << 30)) / float(1 << 30)
+    few = marked.where(drawn < share).limit(4 * wanted)  # the bound that the broadcast rests on
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.length("text") <= s.max_chars)
+    found = rows.join(F.broadcast(few), F.col("doc_id") == F.col("id"))
+    order = F.xxhash64("doc_id", F.lit(s.seed + 1))
+    samples = []
+    for label in (0, 1):  # a top list, so each task hands over no more than is wanted
+        best = found.where(F.col("label") == label).orderBy(order, "doc_id").limit(s.docs_per_label)
+        samples += [(r["doc_id"], r["label"], r["text"].encode()) for r in best.collect()]
+    return train(samples, s, sizes[1] / (sizes[0] + sizes[1]))
 
 
 def scores(docs: DataFrame, model: Model, docs_at_once: int = 256) -> DataFrame:
