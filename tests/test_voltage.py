@@ -7,16 +7,6 @@ from tests.build import reading, readings, rows
 from wattspark.operators import sliced, voltage
 
 
-@pytest.fixture(params=["plain", "heavy", "all"])
-def slicing(request, monkeypatch):
-    """No key heavy, only the busy one, or too many to list."""
-    if request.param != "plain":
-        monkeypatch.setattr(sliced, "ROWS_PER_TASK", 100 if request.param == "heavy" else 1)
-    if request.param == "all":
-        monkeypatch.setattr(sliced, "MAX_HEAVY_KEYS", 0)
-    return request.param
-
-
 def brute_runs(rows_, low=220.0):
     """Runs of low readings per meter, split by pole, found one reading at a time."""
     found = {}
@@ -49,7 +39,7 @@ def noisy(seed=7, hot=600):
 
 
 @pytest.mark.parametrize("width", [1, 600, 10**7])
-def test_runs_do_not_depend_on_the_slice(spark, slicing, width):
+def test_runs_do_not_depend_on_the_slice(spark, width):
     data = noisy()
     got = voltage.sag_events(readings(spark, *data), 220.0, 1, width)
     shown = rows(got, "meter_id", "pole_id", "reading_count", "min_voltage_v", "max_voltage_v")
@@ -103,7 +93,7 @@ def test_every_low_reading_is_in_exactly_one_run(spark):
 
 
 @pytest.mark.parametrize("width", [5, 3600])
-def test_row_numbers_equal_plain_windows(spark, slicing, width):
+def test_row_numbers_equal_plain_windows(spark, width):
     df = readings(spark, *noisy(5))
     plain = Window.partitionBy("meter_id").orderBy("event_ts", "seq")
     low = F.col("voltage_v") < 220
@@ -117,7 +107,7 @@ def test_row_numbers_equal_plain_windows(spark, slicing, width):
 
 
 @pytest.mark.parametrize("width", [1, 60])
-def test_pairs_equal_plain_lag(spark, slicing, width):
+def test_pairs_equal_plain_lag(spark, width):
     df = readings(spark, *noisy(11))
     plain = Window.partitionBy("meter_id").orderBy("event_ts", "seq")
     want = df.withColumn("prev_seq", F.lag("seq").over(plain)).filter("prev_seq IS NOT NULL")
@@ -127,7 +117,7 @@ def test_pairs_equal_plain_lag(spark, slicing, width):
 
 
 @pytest.mark.parametrize("seconds", [4, 50])
-def test_trailing_count_equals_range_frame(spark, slicing, seconds):
+def test_trailing_count_equals_range_frame(spark, seconds):
     df = readings(spark, *noisy(13))
     df.createOrReplaceTempView("trailing_input")
     want = spark.sql(
@@ -140,13 +130,14 @@ def test_trailing_count_equals_range_frame(spark, slicing, seconds):
     assert rows(got, *cols) == rows(want, *cols)
 
 
-def test_heavy_meters_are_found_and_listed(spark, monkeypatch):
-    df = readings(spark, *noisy())
-    assert sliced.plan_slices(df, ["meter_id"]).heavy == ()
-    monkeypatch.setattr(sliced, "ROWS_PER_TASK", 100)
-    assert sliced.plan_slices(df, ["meter_id"]).heavy == ("hot",)
-    monkeypatch.setattr(sliced, "MAX_HEAVY_KEYS", 0)
-    assert sliced.plan_slices(df, ["meter_id"]).heavy is None
+@pytest.mark.parametrize("width", [1, 86_400])
+def test_null_keys_are_a_key_of_their_own(spark, width):
+    data = [reading(i * 7, 210.0 if i % 2 else 240.0, "none" if i % 3 else "m", seq=i) for i in range(60)]
+    df = readings(spark, *data).withColumn("meter_id", F.nullif("meter_id", F.lit("none")))
+    plain = Window.partitionBy("meter_id").orderBy("event_ts", "seq")
+    want = df.withColumn("rn", F.row_number().over(plain))
+    got = voltage.number_readings(df, slice_seconds=width)
+    assert sorted((r.seq, r.rn) for r in got.collect()) == sorted((r.seq, r.rn) for r in want.collect())
 
 
 def test_event_rows_layout(spark):

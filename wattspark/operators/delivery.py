@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattspark.functions.columns import line_current, reactive_power, safe_divide
 from wattspark.functions.quality import voltage_flags
-from wattspark.operators.sliced import HOUR, consecutive_pairs, plan_slices, with_running
+from wattspark.operators.quantiles import exact_quantiles
+from wattspark.operators.sliced import DAY, consecutive_pairs, with_running
 
 # Declared backhaul latency in milliseconds (lowest, highest, jitter).
 LATENCY_BANDS = {
@@ -40,16 +41,15 @@ def sequence_gaps(readings: DataFrame) -> DataFrame:
     )
 
 
-def delivery_stats(readings: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
+def delivery_stats(readings: DataFrame, slice_seconds: int = DAY) -> DataFrame:
     """Received, lost and reordered readings and the receive rate per network profile.
 
     A loss is charged to the reading that reveals it. A reading is reordered
     when one of its meter with a higher sequence number arrived earlier.
     """
     slim = readings.select("meter_id", "event_ts", "ingest_ts", "seq", PROFILE)
-    slicing = plan_slices(slim, ["meter_id"], slice_seconds)
     pairs = consecutive_pairs(
-        slim, ["meter_id"], ["event_ts", "seq"], ["seq", PROFILE], slicing=slicing
+        slim, ["meter_id"], ["event_ts", "seq"], ["seq", PROFILE], slice_seconds
     )
     gap = F.greatest(F.col("seq") - F.col("prev_seq") - 1, F.lit(0))
     arrivals = with_running(
@@ -57,8 +57,8 @@ def delivery_stats(readings: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
         ["meter_id"],
         ["ingest_ts", "event_ts", "seq"],
         {"_highest": ("max", F.col("seq"))},
+        slice_seconds,
         inclusive=False,
-        slicing=slicing,
     )
     reordered = F.count_if(F.col("seq") < F.col("_highest"))
     none = F.lit(0).cast("long")
@@ -106,18 +106,23 @@ def out_of_band(latency: Column) -> Column:
 
 def latency_by_profile(readings: DataFrame) -> DataFrame:
     ms = F.col("latency_ms")
-    return (
-        readings.select(PROFILE, latency_ms().alias("latency_ms"))
-        .groupBy(PROFILE)
+    slim = readings.select(PROFILE, latency_ms().alias("latency_ms"))
+    p95 = exact_quantiles(slim, [PROFILE], "latency_ms", {"p95_latency_ms": 0.95}, width=10.0)
+    p95 = p95.withColumnRenamed(PROFILE, "_profile")
+    stats = (
+        slim.groupBy(PROFILE)
         .agg(
             F.count(F.lit(1)).alias("readings"),
             F.avg(ms).alias("avg_latency_ms"),
             F.min(ms).alias("min_latency_ms"),
             F.max(ms).alias("max_latency_ms"),
-            F.percentile_approx(ms, 0.95, 10_000).alias("p95_latency_ms"),
             F.count_if(out_of_band(ms)).alias("out_of_band"),
         )
     )
+    joined = stats.join(p95, F.col(PROFILE).eqNullSafe(F.col("_profile")), "left")
+    return joined.select(
+        PROFILE, "readings", "avg_latency_ms", "min_latency_ms", "max_latency_ms", "p95_latency_ms", "out_of_band"
+    )
 
 
 def meter_day_completeness(readings: DataFrame, preset: str = "high_frequency") -> DataFrame:
@@ -137,7 +142,7 @@ def reading_gaps(
     readings: DataFrame,
     interval_seconds: int = 30,
     tolerance: float = 2.0,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Silences longer than ``tolerance`` sampling intervals, with the readings missed in each."""
     pairs = consecutive_pairs(

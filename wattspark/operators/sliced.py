@@ -1,65 +1,38 @@
 """Ordered calculations per key that never put an unbounded key into one task.
 
-A window partitioned by ``meter_id`` alone puts all rows of a meter into one
-task, however many there are. Keys are therefore counted first, on their column
-alone. Ordinary keys keep the plain window. Heavy keys are cut into time slices:
-windows run within ``(key, slice)``, one small row per slice carries totals
-forward, and the totals are joined back on the same ``(key, slice)`` hash
-partitioning, so the rows are shuffled once. The short list of heavy keys is
-part of the plan; where it is not short, every key is sliced. Results are the
-same in all three cases and for every slice length.
+A window partitioned by ``meter_id`` alone puts all rows of a meter into one task, however many
+there are. Every key is therefore cut into time slices: windows run within ``(key, slice)``, one
+small row per slice carries totals forward, and the totals are joined back on the same hash
+partitioning, so the rows are shuffled once. There is one plan for every size. Results are those of
+a plain window for every slice length, also for NULL keys, which form a key of their own.
+
+``slice_seconds`` bounds a task: the default of a day holds at most 86,400 readings of a meter that
+reports once a second. What runs per key without a slice sees one or two rows per slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE = "_slice"
-HOUR = 3600
-# Rows of one key that a task sorts comfortably, and the longest list of heavier keys.
-ROWS_PER_TASK = 5_000_000
-MAX_HEAVY_KEYS = 1000
+KEY = "_key"
+DAY = 86_400
 
 
-@dataclass(frozen=True)
-class Slicing:
-    """Slice length and the keys to slice; ``heavy=None`` means all of them."""
-
-    seconds: int
-    heavy: tuple | None
-
-    @property
-    def needed(self) -> bool:
-        return self.heavy is None or bool(self.heavy)
-
-    def sliced_key(self, keys: Sequence[str]) -> Column:
-        if self.heavy is None:
-            return F.lit(True)
-        return F.col(keys[0]).isin(*self.heavy) if self.heavy else F.lit(False)
-
-    def slice_of(self, keys: Sequence[str], ts: str) -> Column:
-        return F.when(self.sliced_key(keys), time_slice(ts, self.seconds)).otherwise(
-            F.lit(0).cast("long")
-        )
-
-
-def plan_slices(df: DataFrame, keys: Sequence[str], seconds: int = HOUR) -> Slicing:
-    """Find the heavy keys: a partial count per key, of which only the heavy ones return."""
+def time_slice(ts: str, seconds: int) -> Column:
     if seconds < 1:
         raise ValueError("slice_seconds must be at least 1")
-    if len(keys) != 1:
-        return Slicing(seconds, None)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = counted.filter(F.col("_n") > ROWS_PER_TASK).select(*keys)
-    heavy = [row[0] for row in found.limit(MAX_HEAVY_KEYS + 1).collect()]
-    return Slicing(seconds, tuple(heavy) if len(heavy) <= MAX_HEAVY_KEYS else None)
+    return F.floor(F.unix_seconds(F.col(ts)) / F.lit(seconds)).cast("long")
 
 
-def time_slice(ts: str, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts)) / F.lit(seconds)).cast("long")
+def _key(keys: Sequence[str]) -> Column:
+    """The key as one value that is never NULL, so that it joins where its parts are.
+
+    Without keys all rows are one key; callers do that only with a row per day or less.
+    """
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
 
 
 def with_running(
@@ -67,9 +40,8 @@ def with_running(
     keys: Sequence[str],
     order: Sequence[str],
     totals: dict[str, tuple[str, Column]],
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
     inclusive: bool = True,
-    slicing: Slicing | None = None,
 ) -> DataFrame:
     """Add running aggregates over ``order`` (first entry: the time column).
 
@@ -77,40 +49,35 @@ def with_running(
     ``inclusive=False`` the current row is left out, so a maximum is NULL and a
     sum 0 on the first row of a key.
     """
-    slicing = slicing or plan_slices(df, keys, slice_seconds)
     agg = {"sum": F.sum, "max": F.max}
-    sliced = df.withColumn(SLICE, slicing.slice_of(keys, order[0]))
-    per_slice = [*keys, SLICE]
-    within = Window.partitionBy(*per_slice).orderBy(*order).rowsBetween(
+    sliced = df.withColumns({SLICE: time_slice(order[0], slice_seconds), KEY: _key(keys)})
+    within = Window.partitionBy(KEY, SLICE).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1
     )
     local = sliced.withColumns(
         {f"_l_{name}": agg[kind](col).over(within) for name, (kind, col) in totals.items()}
     )
-    if slicing.needed:
-        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            sliced.filter(slicing.sliced_key(keys))
-            .groupBy(*per_slice)
-            .agg(*[agg[kind](col).alias(f"_c_{name}") for name, (kind, col) in totals.items()])
-            .select(
-                *per_slice,
-                *[
-                    agg[kind](f"_c_{name}").over(before).alias(f"_c_{name}")
-                    for name, (kind, _) in totals.items()
-                ],
-            )
+    before = Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        sliced.groupBy(KEY, SLICE)
+        .agg(*[agg[kind](col).alias(f"_c_{name}") for name, (kind, col) in totals.items()])
+        .select(
+            KEY,
+            # a row without a time is in no slice, which has to join like any other
+            F.coalesce(F.col(SLICE), F.lit(-(1 << 62))).alias(SLICE),
+            *[agg[kind](f"_c_{name}").over(before).alias(f"_c_{name}") for name, (kind, _) in totals.items()],
         )
-        local = local.join(carried, per_slice, "left")
+    )
+    local = local.withColumn(SLICE, F.coalesce(F.col(SLICE), F.lit(-(1 << 62))))
+    joined = local.join(carried, [KEY, SLICE], "left")
 
     def merged(name: str, kind: str) -> Column:
         here = F.col(f"_l_{name}")
         if kind == "max":
-            return F.greatest(here, F.col(f"_c_{name}")) if slicing.needed else here
-        here = F.coalesce(here, F.lit(0))
-        return here + F.coalesce(f"_c_{name}", F.lit(0)) if slicing.needed else here
+            return F.greatest(here, F.col(f"_c_{name}"))
+        return F.coalesce(here, F.lit(0)) + F.coalesce(f"_c_{name}", F.lit(0))
 
-    return local.select(
+    return joined.select(
         *df.columns, *[merged(name, kind).alias(name) for name, (kind, _) in totals.items()]
     )
 
@@ -120,17 +87,17 @@ def consecutive_pairs(
     keys: Sequence[str],
     order: Sequence[str],
     columns: Sequence[str],
-    slice_seconds: int = HOUR,
-    slicing: Slicing | None = None,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Every row of a key next to the row before it, as ``prev_<column>``.
 
     The first row of a key has no predecessor and is not returned.
     """
-    slicing = slicing or plan_slices(df, keys, slice_seconds)
     wanted = list(dict.fromkeys([*order, *columns]))
-    sliced = df.select(*keys, *wanted, slicing.slice_of(keys, order[0]).alias(SLICE))
-    within = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    sliced = df.select(
+        *keys, *wanted, time_slice(order[0], slice_seconds).alias(SLICE), _key(keys).alias(KEY)
+    )
+    within = Window.partitionBy(KEY, SLICE).orderBy(*order)
     record = F.struct(*wanted)
     marked = sliced.withColumns(
         {
@@ -147,15 +114,12 @@ def consecutive_pairs(
         )
 
     inner = as_pairs(marked.filter(F.col("_prev").isNotNull()))
-    if not slicing.needed:
-        return inner
     # At most two rows per slice reach this window: the first and the last.
-    ends = F.col("_prev").isNull() | F.col("_is_last")
-    edges = marked.filter(slicing.sliced_key(keys) & ends).drop("_prev")
-    along = Window.partitionBy(*keys).orderBy(*order)
+    edges = marked.filter(F.col("_prev").isNull() | F.col("_is_last")).drop("_prev")
+    along = Window.partitionBy(KEY).orderBy(*order)
     seams = edges.withColumns(
         {"_prev": F.lag(record).over(along), "_prev_slice": F.lag(SLICE).over(along)}
-    ).filter(F.col("_prev").isNotNull() & (F.col("_prev_slice") != F.col(SLICE)))
+    ).filter(F.col("_prev").isNotNull() & ~F.col("_prev_slice").eqNullSafe(F.col(SLICE)))
     return inner.unionByName(as_pairs(seams))
 
 
@@ -166,29 +130,27 @@ def with_trailing_count(
     condition: Column,
     seconds: int,
     name: str,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Rows meeting ``condition`` within the trailing range ``[ts - seconds, ts]``.
 
-    Rows of a heavy key near the end of a slice are copied into the next one as
-    context. A slice is at least four times the range: one copy at most.
+    Rows near the end of a slice are copied into the next one as context. A
+    slice is at least four times the range: one copy at most.
     """
-    slicing = plan_slices(df, keys, max(slice_seconds, 4 * seconds))
-    reach = F.floor((F.unix_seconds(F.col(ts)) + seconds) / F.lit(slicing.seconds)).cast("long")
+    width = max(slice_seconds, 4 * seconds)
+    reach = F.floor((F.unix_seconds(F.col(ts)) + seconds) / F.lit(width)).cast("long")
     marked = df.withColumns(
         {
-            "_home": slicing.slice_of(keys, ts),
+            KEY: _key(keys),
+            "_home": F.coalesce(time_slice(ts, width), F.lit(-(1 << 62))),
             "_hit": condition.cast("int"),
             "_us": F.unix_micros(F.col(ts)),
         }
     )
-    if slicing.needed:
-        last = F.when(slicing.sliced_key(keys), reach).otherwise(F.col("_home"))
-        marked = marked.withColumn(SLICE, F.explode(F.sequence(F.col("_home"), last)))
-    else:
-        marked = marked.withColumn(SLICE, F.col("_home"))
+    slices = F.sequence(F.col("_home"), F.coalesce(reach, F.col("_home")))
+    marked = marked.withColumn(SLICE, F.explode(slices))
     trailing = (
-        Window.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
+        Window.partitionBy(KEY, SLICE).orderBy("_us").rangeBetween(-seconds * 1_000_000, 0)
     )
     counted = marked.withColumn(name, F.coalesce(F.sum("_hit").over(trailing), F.lit(0)).cast("long"))
     return counted.filter(F.col(SLICE) == F.col("_home")).select(*df.columns, name)

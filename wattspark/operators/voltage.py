@@ -17,14 +17,14 @@ from wattspark.functions.quality import (
     sag_severity,
 )
 from wattspark.operators import filters
-from wattspark.operators.sliced import HOUR, with_running, with_trailing_count
+from wattspark.operators.sliced import DAY, with_running, with_trailing_count
 from wattspark.schemas import VOLTAGE_EVENTS
 
 ORDER = ("event_ts", "seq")
 
 
 def number_readings(
-    readings: DataFrame, threshold: float = SAG_V, slice_seconds: int = HOUR
+    readings: DataFrame, threshold: float = SAG_V, slice_seconds: int = DAY
 ) -> DataFrame:
     """Position of each reading within its meter and within its meter and voltage class.
 
@@ -56,7 +56,7 @@ def sustained_events(
     readings: DataFrame,
     condition: Column,
     min_duration_seconds: int,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Runs of consecutive readings of a meter that meet ``condition``.
 
@@ -100,7 +100,7 @@ def sag_events(
     readings: DataFrame,
     threshold: float = SAG_V,
     min_duration_seconds: int = 5,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Sustained low voltage with a severity by the lowest reading."""
     return sustained_events(
@@ -112,7 +112,7 @@ def swell_events(
     readings: DataFrame,
     threshold: float = SWELL_V,
     min_duration_seconds: int = 5,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Sustained high voltage. No severity scale is defined for it: always MINOR."""
     return sustained_events(
@@ -120,7 +120,7 @@ def swell_events(
     ).withColumn("severity", F.lit("MINOR"))
 
 
-def critical_sag_events(readings: DataFrame, slice_seconds: int = HOUR) -> DataFrame:
+def critical_sag_events(readings: DataFrame, slice_seconds: int = DAY) -> DataFrame:
     """Below 200 V for three seconds or more."""
     return sag_events(readings, CRITICAL_V, 3, slice_seconds)
 
@@ -167,7 +167,7 @@ def rolling_low_voltage(
     readings: DataFrame,
     seconds: int = 4,
     threshold: float = SAG_V,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Low readings of the meter in the trailing ``seconds``, the current one included."""
     return with_trailing_count(
@@ -186,7 +186,7 @@ def rolling_alerts(
     seconds: int = 4,
     min_count: int = 5,
     threshold: float = SAG_V,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = DAY,
 ) -> DataFrame:
     """Distinct moments at which the trailing count reached ``min_count``, newest first."""
     counted = rolling_low_voltage(readings, seconds, threshold, slice_seconds)

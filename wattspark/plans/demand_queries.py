@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from wattspark.operators import demand_response as dr
 from wattspark.operators import health
-from wattspark.operators.filters import within
 from wattspark.plans.projections import events, readings
 from wattspark.plans.registry import query
 
@@ -289,14 +288,13 @@ def view_over_health(spark, sf_dir):
     "f12_scores_side_by_side",
     "SELECT pole_id, count(*) FILTER (voltage_v BETWEEN 220 AND 260) / count(*) * 100 AS gauge_score, "
     "CAST(round(CAST((1 - count(*) FILTER (voltage_v < 220 OR voltage_v > 260) / count(*)) * 100 AS DECIMAL(28, 9)), 1) AS DOUBLE) AS summary_score "
-    "FROM readings WHERE event_ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-06' GROUP BY pole_id",
+    "FROM readings GROUP BY pole_id",
     "gauge_score",
 )
 def scores(spark, sf_dir):
     from wattspark.functions.quality import normal_share_gauge, normal_share_score
 
-    rows = within(readings(spark, sf_dir), "2024-01-05 00:00:00", "2024-01-06 00:00:00")
-    volts = F.col("voltage_v")
+    rows, volts = readings(spark, sf_dir), F.col("voltage_v")
     return rows.groupBy("pole_id").agg(
         normal_share_gauge(volts).alias("gauge_score"),
         normal_share_score(volts).alias("summary_score"),

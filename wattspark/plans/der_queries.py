@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattspark.functions import columns as c
+from wattspark.operators.quantiles import exact_quantiles
 from wattspark.operators import der, feeder
 from wattspark.plans.projections import events, fleet, readings
 from wattspark.plans.registry import query
@@ -333,25 +334,17 @@ def arithmetic_functions(spark, sf_dir):
     "p10 median p90 deviation",
 )
 def aggregate_functions(spark, sf_dir):
-    quantiles = F.percentile_approx("value", [0.1, 0.5, 0.9], 10_000)
+    rows = events(spark, sf_dir)
+    quantiles = exact_quantiles(rows, ["event_type"], "value", {"p10": 0.1, "median": 0.5, "p90": 0.9})
     return (
-        events(spark, sf_dir)
-        .groupBy("event_type")
+        rows.groupBy("event_type")
         .agg(
-            quantiles.alias("q"),
             F.stddev("value").alias("deviation"),
             F.count_distinct("user_id").alias("users"),
             F.count_if(F.col("value") > 50).alias("above_50"),
         )
-        .select(
-            "event_type",
-            F.col("q")[0].alias("p10"),
-            F.col("q")[1].alias("median"),
-            F.col("q")[2].alias("p90"),
-            "deviation",
-            "users",
-            "above_50",
-        )
+        .join(quantiles, "event_type")
+        .select("event_type", "p10", "median", "p90", "deviation", "users", "above_50")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattspark.functions.columns import seconds_between
 from wattspark.functions.quality import SAG_V, is_sag, sag_severity
-from wattspark.operators.sliced import HOUR, with_running
+from wattspark.operators.sliced import DAY, with_running
 from wattspark.sources import sinks
 
 COLUMNS = ("meter_id", "pole_id", "event_ts", "seq", "voltage_v")
@@ -61,7 +61,7 @@ class SagState:
         threshold: float = SAG_V,
         min_duration_seconds: int = 5,
         delay_seconds: int = 0,
-        slice_seconds: int = HOUR,
+        slice_seconds: int = DAY,
     ):
         self.root = root.rstrip("/")
         self.threshold = threshold
