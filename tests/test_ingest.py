@@ -126,6 +126,36 @@ def test_every_message_is_either_valid_or_an_error(spark):
     assert ingest.successes(all_rows).count() + ingest.errors(all_rows).count() == 4
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("20251226T120000Z", "2025-12-26 12:00:00"),
+        ("2025-12-26T12", "2025-12-26 12:00:00"),
+        ("2025-12-26T12:00:00.123456789Z", "2025-12-26 12:00:00.123456"),
+        ("2025-12-26 12:00:00+0100", "2025-12-26 11:00:00"),
+        ("2025-12-26", "2025-12-26 00:00:00"),
+        ("26.12.2025", None),
+    ],
+)
+def test_iso_forms_are_read(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t STRING").select(ingest._iso_time(F.col("t")).cast("string"))
+    assert df.first()[0] == want
+
+
+def test_the_last_of_repeated_members_counts_and_wide_numbers_are_errors(spark):
+    head = b'{"event_ts": "2025-12-26T12:00:00Z", "meter_id": "m", "pole_id": "p", "current_a": 1.0, "power_kw": 1.0, '
+    bodies = [
+        head + b'"seq": 1, "voltage_v": 240.0, "voltage_v": 210.0}',
+        head + b'"seq": 99999999999999999999, "voltage_v": 240.0}',
+        b"[1,2]",
+    ]
+    df = spark.createDataFrame([(bytearray(b), {}, None) for b in bodies], ENVELOPE)
+    valid, bad = ingest.parse_and_validate(df)
+    assert [r.voltage_v for r in ingest.enrich(valid).collect()] == [210.0]
+    found = {r.error_type: bytes(r.body) for r in bad.collect()}
+    assert found == {"type_error": bodies[1], "parse_error": bodies[2]}
+
+
 def test_error_bytes_are_utf8_json(spark):
     found = ingest.errors(checked(spark, without("pole_id", meter_id="Zähler")))
     body = json.loads(bytes(ingest.error_bytes(found).first().value).decode("utf-8"))

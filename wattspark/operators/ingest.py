@@ -24,7 +24,13 @@ BAD_NUMBER = "Invalid numeric value for "
 BAD_TIME = "Invalid event_ts: "
 RAW_KEPT = 1000
 
+# Extended and basic ISO forms: hours alone, any number of fraction digits, offsets with or without
+# a colon. Basic forms and longer fractions are rewritten to the extended form before they are read.
 ISO_TIME = (
+    r"^\d{4}(-\d{2}-\d{2}|\d{4})([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+)
+# The usual form, read without rewriting.
+PLAIN_TIME = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 )
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
@@ -32,7 +38,7 @@ INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 BOOLEANS = ("true", "false")
 
 ERROR_COLUMNS = (
-    "error_type", "error_message", "error_messages", "raw_data", "record", "error_ts",
+    "error_type", "error_message", "error_messages", "raw_data", "record", "body", "error_ts",
 )
 
 
@@ -65,9 +71,22 @@ def _is_number(name: Column) -> Column:
     )
 
 
+def _iso_time(text: Column) -> Column:
+    """Time of an ISO text, NULL for other texts; fractions are cut to microseconds."""
+    day = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    clock = F.regexp_replace(day, r"^(.{10}[T ]\d{2}):?(\d{2})", "$1:$2")
+    clock = F.regexp_replace(clock, r"^(.{10}[T ]\d{2}:\d{2}):?(\d{2})", "$1:$2")
+    clock = F.regexp_replace(clock, r"^(.{10}[T ]\d{2})(Z|[+-]|$)", "$1:00$2")
+    clock = F.regexp_replace(clock, r"[.,](\d{1,6})\d*", ".$1")
+    zone = F.regexp_replace(clock, r"([T ].*[+-]\d{2}):?(\d{2})$", "$1:$2")
+    zone = F.regexp_replace(zone, r"([T ].*[+-]\d{2})$", "$1:00")
+    plain = text.try_cast("timestamp")
+    return F.when(text.rlike(PLAIN_TIME), plain).when(text.rlike(ISO_TIME), zone.try_cast("timestamp"))
+
+
 def _bad_time() -> Column:
     text = _text("event_ts")
-    iso = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
+    iso = _iso_time(text)
     return (
         F.when(text.isNull(), False)
         .when(iso.isNotNull(), False)
@@ -84,7 +103,10 @@ def _bad_fields() -> list[Column]:
     seq = _text("seq")
     bad_seq = (
         F.when(seq.isNull(), none)
-        .when(seq.rlike(INTEGER_TEXT), none)
+        .when(
+            seq.rlike(INTEGER_TEXT),  # beyond 64 bits is an error, not a silent NULL
+            F.when(F.trim(seq).try_cast("long").isNull(), F.array(F.lit("seq"))).otherwise(none),
+        )
         .when(~seq.rlike(NUMBER_TEXT) & ~seq.isin(*BOOLEANS), F.array(F.lit("seq")))
         .when(_json_type("seq") == "STRING", F.array(F.lit("seq")))
         .otherwise(none)
@@ -108,8 +130,18 @@ def _event_time() -> Column:
     """ISO text, or a JSON number of epoch seconds."""
     text = _text("event_ts")
     micros = (text.try_cast("double") * 1_000_000).try_cast("long")
-    return F.when(text.rlike(ISO_TIME), text.try_cast("timestamp")).otherwise(
-        F.timestamp_micros(micros)
+    return F.when(text.rlike(ISO_TIME), _iso_time(text)).otherwise(F.timestamp_micros(micros))
+
+
+def _last_of_each(members: Column) -> Column:
+    """The members with the last value of each name; the map keeps repeats in their order."""
+    names = F.map_keys(members)
+    last = lambda name: F.element_at(
+        F.filter(F.map_entries(members), lambda e: e["key"] == name), -1
+    )["value"]
+    distinct = F.array_distinct(names)
+    return F.when(F.size(distinct) == F.size(names), members).otherwise(
+        F.map_from_arrays(distinct, F.transform(distinct, last))
     )
 
 
@@ -124,7 +156,7 @@ def parse(messages: DataFrame) -> DataFrame:
     decoded = messages.withColumn("raw", F.when(F.is_valid_utf8(text), text))
     boxed = F.concat(F.lit("["), F.col("raw"), F.lit("]"))
     parsed = decoded.withColumn("_box", F.from_json(boxed, "array<map<string,string>>"))
-    fields = F.when(F.size("_box") == 1, F.col("_box")[0])
+    fields = F.when(F.size("_box") == 1, _last_of_each(F.col("_box")[0]))
     parsed = parsed.withColumn("fields", fields).drop("_box")
     error = F.when(F.col("raw").isNull(), PARSE_ERROR).when(
         F.col("fields").isNull(),
@@ -187,6 +219,7 @@ def _verdict(observed_at: str | datetime | Column | None) -> Column:
         messages.alias("error_messages"),
         F.when(kind == JSON_ERROR, F.substring("raw", 1, RAW_KEPT)).alias("raw_data"),
         F.when(with_record, F.col("raw")).alias("record"),
+        F.when(kind.isNotNull(), F.col("data")).alias("body"),
         seen.alias("error_ts"),
     )
 
@@ -196,7 +229,11 @@ def successes(validated: DataFrame) -> DataFrame:
 
 
 def errors(validated: DataFrame) -> DataFrame:
-    """Error records of every class, parse and validation errors alike."""
+    """Error records of every class, parse and validation errors alike.
+
+    ``raw_data`` shows the start of a malformed body; ``body`` holds every message whole, so none is
+    lost, whatever was wrong with it.
+    """
     return validated.filter(F.col("status") == "error").select(*ERROR_COLUMNS, "attributes")
 
 
@@ -243,6 +280,6 @@ def json_lines(readings: DataFrame) -> DataFrame:
 
 
 def error_bytes(error_records: DataFrame) -> DataFrame:
-    """Dead-letter payloads: UTF-8 JSON."""
+    """Dead-letter payloads: UTF-8 JSON. ``body`` is the whole message as it came, in base64."""
     body = F.to_json(F.struct(*ERROR_COLUMNS))
     return error_records.select(F.encode(body, "UTF-8").alias("value"))
