@@ -151,7 +151,9 @@ def test_pipeline_writes_every_sink(spark, tmp_path):
     )
     for q in started.values():
         q.awaitTermination()
-    assert set(started) == {"archive", "readings", "dead_letters", "aggregates", "metrics"}
+    assert set(started) == {"sinks", "aggregates"}
+    stored = rows(tables.read_readings(spark, f"{root}/readings").drop("event_date"))
+    assert stored == rows(tables.read_archive(spark, f"{root}/raw"))  # ingest_ts included
     assert tables.read_readings(spark, f"{root}/readings").count() == 16
     assert tables.read_archive(spark, f"{root}/raw").count() == 16
     assert spark.read.parquet(f"{root}/dlq").count() == 4
@@ -176,6 +178,23 @@ def test_restart_reads_nothing_twice(spark, tmp_path):
     assert tables.read_readings(spark, str(tmp_path / "t")).count() == 16
 
 
+def test_appends_keep_what_is_there_and_can_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_clustered(readings(spark, *[reading(i, seq=i) for i in range(50)]), path)
+    more = readings(spark, *[reading(i, seq=i) for i in range(50, 80)])
+    for _ in range(2):
+        sinks.append_batch(more, path, "stream-7")
+    got = tables.read_readings(spark, path)
+    assert sorted(r.seq for r in got.collect()) == list(range(80))
+
+
+def test_a_table_can_replace_itself(spark, tmp_path):
+    path = str(tmp_path / "r")
+    sinks.replace_table(spark.range(10), path)
+    sinks.replace_table(spark.read.parquet(path).where("id > 5"), path)
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_fan_out_passes_the_batch_unchanged(spark, tmp_path):
     data = sample(8, 30)
     land(readings(spark, *data), tmp_path / "in")

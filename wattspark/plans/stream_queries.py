@@ -55,13 +55,6 @@ def _readings_stream(spark, sf_dir):
     return streams.readings_stream(spark, _staged(spark, readings(spark, sf_dir)))
 
 
-def _empty_table(spark, like: DataFrame) -> str:
-    """A target that exists already, as the append-only sink demands."""
-    path = scratch_dir(spark, "table")
-    sinks.write_clustered(like.limit(0), path)
-    return path
-
-
 LANDED = ENRICHED.replace("TIMESTAMP '2024-01-31' AS ingest_ts, ", "")
 
 
@@ -134,8 +127,11 @@ def archive_and_replay(spark, sf_dir):
     "power_kw",
 )
 def readings_append(spark, sf_dir):
-    stream = _readings_stream(spark, sf_dir)
-    path = _empty_table(spark, readings(spark, sf_dir))
+    """Half of the readings are there before the stream appends the other half, over several files."""
+    rows, path = readings(spark, sf_dir), scratch_dir(spark, "table")
+    there = F.col("event_ts") < F.lit("2024-01-16").cast("timestamp")
+    sinks.write_clustered(rows.filter(there), path)
+    stream = streams.readings_stream(spark, _staged(spark, rows.filter(~there)))
     _finish(pipeline.start_table(stream, path, scratch_dir(spark, "checkpoint"), once=True))
     return (
         tables.read_readings(spark, path)
@@ -260,8 +256,9 @@ def clustered_round_trip(spark, sf_dir):
     "WHERE event_ts >= TIMESTAMP '2024-01-11' GROUP BY ALL",
 )
 def retention(spark, sf_dir):
-    path = scratch_dir(spark, "readings")
-    sinks.write_clustered(readings(spark, sf_dir), path)
+    """Dates of a streamed table expire; the rest is read from the table."""
+    path, stream = scratch_dir(spark, "readings"), _readings_stream(spark, sf_dir)
+    _finish(pipeline.start_table(stream, path, scratch_dir(spark, "checkpoint"), must_exist=False, once=True))
     sinks.drop_expired(spark, path, "2024-01-31", 20)
     kept = sinks.retained(tables.read_readings(spark, path), "2024-01-31", 20)
     return kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("readings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -51,9 +52,75 @@ def write_clustered(
     )
 
 
+def append_batch(df: DataFrame, path: str, batch: str, ts: str = "event_ts") -> None:
+    """Append one micro-batch to a table, whatever it holds already; safe to repeat.
+
+    The rows are written beside the table, clustered like the rest, and their files are moved in
+    under names that start with the batch. A repeat removes the files of its first try. The table
+    has no sink log, so other writers and retention do not disturb it. Only file names of one batch
+    are handled here.
+    """
+    staged = f"{path}/_staged/{batch}"
+    write_clustered(df, staged, ts, "overwrite")
+    _move_in(df.sparkSession, staged, path, 1, batch)
+
+
+def archive_batch(
+    readings: DataFrame,
+    path: str,
+    batch: str,
+    folders: tuple[str, ...] = ("pole_id", "dt", "hr", "min"),
+    files_per_folder: int = 4,
+) -> None:
+    """One micro-batch into the raw archive; safe to repeat. See ``append_batch``.
+
+    A folder's rows go to ``files_per_folder`` tasks by meter, so a pole that dominates is spread.
+    """
+    staged = f"{path}/_staged/{batch}"
+    unused = [c for c in ARCHIVE_FOLDERS[1:] if c not in folders]
+    spread = F.pmod(F.hash("meter_id"), F.lit(files_per_folder))
+    (
+        archive_columns(readings)
+        .drop(*unused)
+        .repartition(*[F.col(c) for c in folders], spread)
+        .write.mode("overwrite")
+        .options(**ARCHIVE_OPTIONS)
+        .partitionBy(*folders)
+        .json(staged)
+    )
+    _move_in(readings.sparkSession, staged, path, len(folders), batch)
+
+
+def _move_in(spark: SparkSession, staged: str, path: str, depth: int, batch: str) -> None:
+    """Move a batch's files, ``depth`` folders down, from beside the table into it."""
+    files, down = _files(spark, path), "/*=*" * depth
+    for old in files.globStatus(_path(spark, f"{path}{down}/{batch}-*")) or []:
+        files.delete(old.getPath(), False)
+    root = files.makeQualified(_path(spark, staged)).toString()
+    for status in files.globStatus(_path(spark, f"{staged}{down}/part-*")) or []:
+        source = status.getPath()
+        folder = path + source.getParent().toString()[len(root) :]
+        files.mkdirs(_path(spark, folder))
+        target = _path(spark, f"{folder}/{batch}-{source.getName()}")
+        if not files.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+    files.delete(_path(spark, staged), True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Create the table or replace its contents."""
-    df.write.mode("overwrite").parquet(path)
+    """Create the table or replace its contents.
+
+    The new contents are written beside the old and swapped in, so a job that fails leaves the
+    table as it was, and the rows may come from the table itself.
+    """
+    spark = df.sparkSession
+    files, beside = _files(spark, path), f"{path.rstrip('/')}_{uuid.uuid4().hex}"
+    df.write.parquet(f"{beside}_new")
+    if exists(spark, path) and not files.rename(_path(spark, path), _path(spark, f"{beside}_old")):
+        raise OSError(f"could not set aside {path}")
+    if not files.rename(_path(spark, f"{beside}_new"), _path(spark, path)):
+        raise OSError(f"could not move the new contents to {path}")
+    files.delete(_path(spark, f"{beside}_old"), True)
 
 
 def replace_view(df: DataFrame, name: str) -> None:

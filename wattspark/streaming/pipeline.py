@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,12 +32,12 @@ def start_archive(
     checkpoint: str,
     once: bool = False,
     folders: tuple[str, ...] = sinks.ARCHIVE_FOLDERS,
-    files_per_folder: int = 1,
+    files_per_folder: int = 4,
 ) -> StreamingQuery:
     """Compressed JSON lines, one set of files a minute.
 
     A folder's rows of a micro-batch go to ``files_per_folder`` tasks by meter;
-    raise it where a single pole dominates. Leave trailing ``folders`` out where
+    so a pole that dominates is spread; lower it where batches are small. Leave trailing ``folders`` out where
     minutes hold only a few readings.
     """
     unused = [c for c in sinks.ARCHIVE_FOLDERS[1:] if c not in folders]
@@ -61,20 +63,30 @@ def start_table(
     must_exist: bool = True,
     once: bool = False,
 ) -> StreamingQuery:
-    """Append to a table partitioned by date, exactly once by the sink's own log."""
+    """Append to a table partitioned by date, which may hold rows already and have other writers.
+
+    A repeated micro-batch replaces its own files. Batches are named after the checkpoint.
+    """
     if must_exist:
         sinks.require_table(rows.sparkSession, path)
     writer = (
-        rows.withColumn("event_date", F.to_date(ts))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
-        .option("path", path)
+        rows.writeStream.outputMode("append")
+        .foreachBatch(table_writer(path, checkpoint, ts))
         .option("checkpointLocation", checkpoint)
     )
     return _run(writer, once, "30 seconds").start()
 
 
+def table_writer(path: str, name: str, ts: str = "event_ts") -> Callable[[DataFrame, int], None]:
+    """Writer of micro-batches to a table; ``name`` tells this stream's batches from others'."""
+    stream = hashlib.sha256(name.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_batch(batch, path, f"{stream}-{batch_id}", ts)
+
+    return write
+
+
 def start_dead_letters(
     payloads: DataFrame, path: str | None, checkpoint: str, once: bool = False
 ) -> StreamingQuery | None:
@@ -185,26 +197,37 @@ def start_pipeline(
     once: bool = False,
     archive_folders: tuple[str, ...] = sinks.ARCHIVE_FOLDERS,
 ) -> dict[str, StreamingQuery]:
-    """All sinks of the pipeline, each with its own checkpoint.
+    """All sinks of the pipeline. Returns the running queries by name.
 
-    ``window_seconds=0`` leaves the aggregates out, ``metrics=False`` the gauges.
+    ``sinks`` writes archive, table, dead letters and panes from one parse of each micro-batch, with
+    one ``ingest_ts``; every sink replaces what a failed try of the batch left. ``aggregates`` keeps
+    window state and is a query of its own; ``window_seconds=0`` leaves it out, ``metrics=False`` the
+    panes.
     """
-    valid = valid_readings(messages)
-    started = {
-        "archive": start_archive(
-            valid, f"{root}/raw", f"{checkpoint}/archive", once, archive_folders
-        ),
-        "readings": start_table(valid, f"{root}/readings", f"{checkpoint}/readings", once=once),
-        "dead_letters": start_dead_letters(
-            dead_letters(messages), dead_letter_path, f"{checkpoint}/dead_letters", once
-        ),
-    }
+    sinks.require_table(messages.sparkSession, f"{root}/readings")
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    to_table = table_writer(f"{root}/readings", checkpoint)
+    to_panes = pane_writer(f"{root}/metrics", metrics_window_seconds)
+
+    def write_all(batch: DataFrame, batch_id: int) -> None:
+        seen = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(" ")
+        checked = ingest.validate(ingest.parse(batch), seen).persist()
+        try:
+            valid = ingest.enrich(ingest.successes(checked), seen)
+            sinks.archive_batch(valid, f"{root}/raw", f"{name}-{batch_id}", archive_folders)
+            to_table(valid, batch_id)
+            if dead_letter_path is not None:
+                payloads = ingest.error_bytes(ingest.errors(checked))
+                payloads.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
+            if metrics:
+                to_panes(valid, batch_id)
+        finally:
+            checked.unpersist()
+
+    writer = messages.writeStream.foreachBatch(write_all).option("checkpointLocation", f"{checkpoint}/sinks")
+    started = {"sinks": _run(writer, once, "30 seconds").start()}
     if window_seconds > 0:
         started["aggregates"] = start_minute_aggregates(
-            valid, f"{root}/minute_agg", f"{checkpoint}/aggregates", window_seconds, delay, once
-        )
-    if metrics:
-        started["metrics"] = start_gauge_panes(
-            valid, f"{root}/metrics", f"{checkpoint}/metrics", metrics_window_seconds, once
+            valid_readings(messages), f"{root}/minute_agg", f"{checkpoint}/aggregates", window_seconds, delay, once
         )
-    return {name: started_query for name, started_query in started.items() if started_query}
+    return started
