@@ -30,7 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are one document; rows without an id cannot be named by a group and stay."""
     groups = simhash.near_duplicates(docs.select("doc_id", "text"))
     chosen = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "chosen")
-    named = docs.where("doc_id IS NOT NULL").join(chosen, F.col("doc_id") == F.col("_id"), "left_semi")
+    # merged at any size: ids grow with the documents, so a broadcast would only be right for small ones
+    named = docs.where("doc_id IS NOT NULL").join(chosen.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
