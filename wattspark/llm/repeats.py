@@ -26,11 +26,12 @@ from dataclasses import dataclass, fields
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from wattspark.llm.common import bit_map, bytes_of, in_map, scrambled, written
 
-HOT_KEY = 256
+HOT_KEY = 8192
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 CHUNK = 1 << 17  # symbols handled at once
 BLOCK = 1 << 23  # of a document longer than that
@@ -71,8 +72,13 @@ class Sequences:
         return scrambled((self.sums[ends] - self.sums[starts]) * Sequences.powers.down[starts])
 
     def grams(self, k: int) -> np.ndarray:
+        """Hash of every run of ``k`` symbols; its high bits are mixed, which is what anchors compare."""
         n = max(len(self.sums) - k, 0)
-        return scrambled((self.sums[k : k + n] - self.sums[:n]) * Sequences.powers.down[:n])
+        out = self.sums[k : k + n] - self.sums[:n]
+        out *= Sequences.powers.down[:n]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xD6E8FEB86659FD93)
+        return out
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -171,6 +177,40 @@ def named(docs: DataFrame) -> DataFrame:
     return numbered.select("doc_id", doc, "sub", "text")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``doc, sub, packed``: the texts compressed, as they cross the network for the joins by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = pa.array([pack(t) for t in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], texts], ["doc", "sub", "packed"])
+
+    return rows.select("doc", "sub", "text").mapInArrow(run, "doc long, sub long, packed binary")
+
+
+def unpack(packed: bytes) -> bytes:
+    return zstandard.decompress(packed)
+
+
+def _matching(rows: DataFrame, column: str, keys: np.ndarray) -> DataFrame:
+    """The rows whose bit is set: all that matter, and some more."""
+    sent = rows.sparkSession.sparkContext.broadcast(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(column).to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(in_map(values, sent.value)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _bits(keys: DataFrame, column: str) -> np.ndarray:
+    """Bit map of a written table's keys: 16 bits a key, between the bounds."""
+    bits = min(max(1 << (16 * keys.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    return bit_map(keys, column, bits)
+
+
 _PLACE = "doc long, sub long, start int, windows int, key long, content long"
 
 
@@ -206,12 +246,12 @@ def _found(rows: DataFrame, m: Method, keys: np.ndarray | None) -> DataFrame:
 _CUT = "key long, salt long, window long, n long, doc long, sub long, start int, windows int, bytes binary"
 
 
-def _fetched(rows: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
+def _fetched(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
     """Contents of the representatives ``wanted``, or the hashes of their windows for a hot key."""
     lists = wanted.groupBy("doc", "sub").agg(
         F.collect_list(F.struct("start", "windows", "key", "n", F.col("hot"))).alias("wanted")
     )
-    both = rows.select("doc", "sub", "text").join(lists.hint("merge"), ["doc", "sub"], "left")
+    both = packed.join(lists.hint("merge"), ["doc", "sub"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _CUT.split(", ")]
@@ -222,7 +262,7 @@ def _fetched(rows: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
             docs, subs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             some = np.flatnonzero(batch.column(3).is_valid().to_numpy(zero_copy_only=False))
             for i in some.tolist():
-                text = batch.column(2)[i].as_py()
+                text = unpack(batch.column(2)[i].as_py())
                 units, seq = m.units(text), None
                 for w in batch.column(3)[i].as_py():
                     start, windows, key, n = w["start"], w["windows"], w["key"], w["n"]
@@ -295,7 +335,7 @@ def _compared(fetched: DataFrame, m: Method) -> DataFrame:
 
 
 def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
-    """The named rows, and the spans ``doc, sub, start, windows`` of windows to remove.
+    """The packed rows, and the spans ``doc, sub, start, windows`` of windows to remove.
 
     With ``keep_first`` these are windows that also start earlier, by ``doc, sub, start``; else all
     windows that start anywhere else.
@@ -303,8 +343,7 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
     rows = named(docs)
     twice = _found(rows, m, None).groupBy("key").agg(F.count("*").alias("n")).where("n >= 2").select("key")
     twice = written(twice, "keys")
-    bits = min(max(1 << (16 * twice.count()).bit_length(), LEAST_BITS), MOST_BITS)
-    places = written(_found(rows, m, bit_map(twice, "key", bits)), "segments")
+    places = written(_found(rows, m, _bits(twice, "key")), "segments")
     place = F.struct("doc", "sub", "start")
     contents = written(
         places.groupBy("key", "content").agg(
@@ -312,18 +351,22 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
         ),
         "contents",
     )
-    known = contents.where("n >= 2").select(
-        F.col("key").alias("_key"), F.col("content").alias("_content"), "first"
-    )
-    copies = places.join(known, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
+    known = written(contents.where("n >= 2").select("key", "content", "first"), "known")
+    again = _matching(places.select("doc", "sub", "start", "windows", "key", "content"), "content", _bits(known, "content"))
+    known = known.select(F.col("key").alias("_key"), F.col("content").alias("_content"), "first")
+    copies = again.join(known, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
     if m.keep_first:
         copies = copies.where(place != F.col("first"))
     several = contents.groupBy("key").agg(F.count("*").alias("k")).where("k >= 2")
-    several = several.select(F.col("key").alias("_key"), (F.col("k") > HOT_KEY).alias("hot"))
-    wanted = contents.join(several, F.col("key") == F.col("_key")).select(
-        "first.doc", "first.sub", "first.start", "windows", "key", "n", "hot"
+    several = written(several, "several")
+    hot = several.where(F.col("k") > HOT_KEY).select(F.col("key").alias("_key"), F.lit(True).alias("hot"))
+    wanted = _matching(
+        contents.select("first.doc", "first.sub", "first.start", "windows", "key", "n"), "key", _bits(several, "key")
     )
-    fetched = _fetched(rows, wanted, m)
+    wanted = wanted.join(written(hot, "hot"), F.col("key") == F.col("_key"), "left")
+    wanted = wanted.select("doc", "sub", "start", "windows", "key", "n", F.coalesce("hot", F.lit(False)).alias("hot"))
+    packed = _packed(rows)
+    fetched = _fetched(packed, wanted, m)
     parts = _windows(fetched)
     same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
     same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
@@ -332,7 +375,7 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
         hot = hot.where(place != F.col("first"))
     spans = copies.select("doc", "sub", "start", "windows")
     spans = spans.unionByName(hot.select("doc", "sub", "start", F.lit(1).alias("windows")))
-    return rows, spans.unionByName(_compared(fetched, m))
+    return packed, spans.unionByName(_compared(fetched, m))
 
 
 def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
@@ -345,9 +388,9 @@ def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
     return np.cumsum(edge)[:n] > 0
 
 
-def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc_id, doc, sub, text, spans`` for every row, ``spans`` null where there are none."""
+def with_spans(packed: DataFrame, spans: DataFrame) -> DataFrame:
+    """``doc_id, packed, spans`` for every row, ``spans`` null where there are none."""
     lists = spans.groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
     ids = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
-    both = rows.select("doc", "sub", "text").join(lists.hint("merge"), ["doc", "sub"], "left")
-    return both.select(ids, "text", "spans")
+    both = packed.join(lists.hint("merge"), ["doc", "sub"], "left")
+    return both.select(ids, "packed", "spans")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wattspark.llm.common import hashes
-from wattspark.llm.repeats import Method, covered, repeated, with_spans
+from wattspark.llm.repeats import Method, covered, repeated, unpack, with_spans
 
 WORDS = 35
 
@@ -132,12 +132,12 @@ def deduplicated(docs: DataFrame, length: int = WORDS) -> DataFrame:
     that repeat an id are documents of their own, so equal ones lose all that is long enough; a
     null id stays null. Other columns are not read, and an empty table gives no rows.
     """
-    rows, spans = repeated(docs, method(length))
+    packed, spans = repeated(docs, method(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, digest, kept = [], [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, found in zip(map(unpack, batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
                 words = text.split()
                 n_words.append(len(words))
                 if found:
@@ -157,6 +157,6 @@ def deduplicated(docs: DataFrame, length: int = WORDS) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
-    return with_spans(rows, spans).mapInArrow(
+    return with_spans(packed, spans).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
     )

@@ -18,25 +18,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wattspark.llm.common import scrambled
-from wattspark.llm.repeats import Method, covered, repeated, with_spans
+from wattspark.llm.repeats import Method, covered, repeated, unpack, with_spans
 
 BYTES = 100
-GRAM = 4  # bytes of the initial buckets
+GRAM = 8  # bytes of the initial buckets
 
 
-def _numbered(keys: np.ndarray) -> np.ndarray:
-    """Rank of every key among the distinct keys."""
-    return np.unique(keys, return_inverse=True)[1].astype(np.int64)
-
-
-def refine(bucket: np.ndarray, offset: int, by: np.ndarray) -> np.ndarray:
+def refine(bucket: np.ndarray, offset: int, by: np.ndarray, asked: np.ndarray | None = None) -> np.ndarray:
     """New bucket identifiers, in order: by the old ones, then by identifiers ``by`` at ``offset``.
 
+    Only the positions ``asked`` for are refined (all by default); others keep what they have.
+
     Identifiers leave gaps of the bucket's size, so that positions alone keep theirs and a refined
     bucket has room for its parts.
     """
     sizes = np.bincount(bucket, minlength=len(bucket))
-    todo = np.flatnonzero(sizes[bucket] > 1)
+    asked = np.arange(len(bucket)) if asked is None else asked
+    todo = asked[sizes[bucket[asked]] > 1]
     if not len(todo):
         return bucket
     later = todo + offset
@@ -55,33 +53,35 @@ def refine(bucket: np.ndarray, offset: int, by: np.ndarray) -> np.ndarray:
     return out
 
 
-def window_buckets(text: np.ndarray, length: int = BYTES) -> np.ndarray:
-    """Bucket of every position of ``text``: equal exactly where the next ``length`` bytes are equal.
+def window_buckets(text: np.ndarray, asked: np.ndarray, length: int = BYTES) -> np.ndarray:
+    """Bucket of each position ``asked``: equal exactly where the next ``length`` bytes are equal.
 
-    Positions too close to the end have buckets of no meaning.
+    Windows must end within ``text``. While buckets reach less than half as far as the windows they
+    are refined everywhere, as later refinements look them up; from there on only where asked.
     """
     gram = min(GRAM, length)
-    code = np.zeros(len(text), np.uint32)
+    code = np.zeros(len(text), np.uint64)
     for i in range(gram):
-        shifted = np.zeros(len(text), np.uint32)
-        shifted[: len(text) - i] = text[i:]
-        code = (code << np.uint32(8)) | shifted
-    ranks = _numbered(code)
-    sizes = np.bincount(ranks)
-    bucket = (np.cumsum(sizes) - sizes)[ranks]
-    depth = gram
-    known = [(gram, bucket)]
-    while 2 * depth <= length:
+        code <<= np.uint64(8)
+        code[: len(text) - i] |= text[i:]
+    order = np.argsort(code, kind="stable")
+    sorted_code = code[order]
+    new = np.ones(len(order), bool)
+    new[1:] = sorted_code[1:] != sorted_code[:-1]
+    bucket = np.empty(len(text), np.int64)
+    bucket[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    depth, known = gram, [(gram, bucket)]
+    while 4 * depth <= length:
         bucket = refine(bucket, depth, bucket)
         depth *= 2
         known.append((depth, bucket))
     for size, by in reversed(known):  # the rest, in pieces that are sorted already
         while depth + size <= length:
-            bucket = refine(bucket, depth, by)
+            bucket = refine(bucket, depth, by, asked)
             depth += size
     if depth < length:
-        bucket = refine(bucket, length - gram, known[0][1])
-    return bucket
+        bucket = refine(bucket, length - gram, known[0][1], asked)
+    return bucket[asked]
 
 
 def repeats_in(
@@ -90,14 +90,13 @@ def repeats_in(
     """Spans ``(content, offset, windows)`` of windows that also start at an earlier place."""
     sizes = np.array([len(c) for c in contents], np.int64)
     bases = np.cumsum(sizes) - sizes
-    bucket = window_buckets(np.frombuffer(b"".join(contents), np.uint8), length)
     # contents in the order of their places
     order = sorted(range(len(contents)), key=places.__getitem__)
     rank = np.empty(len(contents), np.int64)
     rank[order] = np.arange(len(contents))
     row = np.repeat(np.arange(len(contents)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    mine = bucket[bases[row] + offset]
+    mine = window_buckets(np.frombuffer(b"".join(contents), np.uint8), bases[row] + offset, length)
     turn = np.lexsort((offset, rank[row], mine))
     again = np.zeros(len(row), bool)
     again[turn[1:]] = mine[turn[1:]] == mine[turn[:-1]]
@@ -117,7 +116,7 @@ def _symbols(text: bytes) -> np.ndarray:
     return _VALUES[np.frombuffer(text, np.uint8)]
 
 
-def method(length: int = BYTES, gram: int = 16) -> Method:
+def method(length: int = BYTES, gram: int = 24) -> Method:
     return Method(
         length,
         min(gram, length),
@@ -138,12 +137,12 @@ def deduplicated(docs: DataFrame, length: int = BYTES) -> DataFrame:
     repeat an id are documents of their own, in the order they are read; rows without an id come
     last. Other columns are not read, and an empty table gives no rows.
     """
-    rows, spans = repeated(docs, method(length))
+    packed, spans = repeated(docs, method(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, n_removed, n_spans, digest, kept = [], [], [], [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, found in zip(map(unpack, batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
                 n_bytes.append(len(text))
                 runs = 0
                 if found:
@@ -160,6 +159,6 @@ def deduplicated(docs: DataFrame, length: int = BYTES) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    return with_spans(rows, spans).mapInArrow(
+    return with_spans(packed, spans).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
