@@ -84,7 +84,7 @@ def shard_sizes(n: int, shards: int, seed: int) -> np.ndarray:
 
 
 def shuffle_to_shards(
-    df: DataFrame, shards: int, seed: int = 0, rows_per_file: int = 500_000, exchange: bool = True
+    df: DataFrame, shards: int, seed: int = 0, rows_per_file: int = 50_000, exchange: bool = True
 ) -> DataFrame:
     """All rows and columns of ``df`` with ``shard`` (0 .. shards-1) and ``slot`` (0 .. size-1, gapless).
 

@@ -284,7 +284,10 @@ def train(samples: list[tuple[int, int, bytes]], settings: Settings, prior: floa
 
 
 def _calibrate(logits: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float, float]:
-    """Logistic fit of the labels on the logits by Newton steps, classes weighted to the prior."""
+    """Logistic fit of the labels on the logits by Newton steps, classes weighted to the prior.
+
+    Where the logits say nothing, or the contrary, every score is close to the prior.
+    """
     weight = np.where(labels == 1, prior / labels.mean(), (1 - prior) / (1 - labels.mean()))
     x = np.stack([logits, np.ones(len(logits))], axis=1)
     w = np.array([1.0, 0.0])
@@ -293,7 +296,7 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray, prior: float) -> tuple[fl
         grad = x.T @ (weight * (p - labels)) + 1e-2 * (w - [1.0, 0.0])
         curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
         w = w - np.clip(np.linalg.solve(curve, grad), -2, 2)
-    return float(max(w[0], 1e-3)), float(w[1])
+    return (float(w[0]), float(w[1])) if w[0] > 1e-3 else (1e-3, float(np.log(prior / (1 - prior))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
