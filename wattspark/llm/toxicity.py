@@ -42,8 +42,9 @@ class Settings:
     stride: int = 12
     sharpness: float = 2.0  # of the softmax over windows
     epochs: int = 8
-    docs_per_step: int = 48
+    docs_per_step: int = 16
     rate: float = 0.01
+    spread: float = 0.01  # of the embeddings to begin with: words that did not train keep theirs
     calibration_share: float = 0.25
     seed: int = 5
 
@@ -95,8 +96,8 @@ def initial(s: Settings) -> Params:
     rng = np.random.default_rng(s.seed)
     d, h = s.word_dim + s.char_dim, s.hidden
     shapes = {
-        "word": ((s.words, s.word_dim), 0.1),
-        "char": ((s.chars, s.char_dim), 0.1),
+        "word": ((s.words, s.word_dim), s.spread),
+        "char": ((s.chars, s.char_dim), s.spread),
         "in": ((d, 6 * h), d**-0.5),  # both directions, three gates each
         "in_bias": ((6 * h,), 0.0),
         "again": ((2, h, 3 * h), h**-0.5),
@@ -108,7 +109,7 @@ def initial(s: Settings) -> Params:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
 def _inputs(p: Params, b: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,19 +285,23 @@ def train(samples: list[tuple[int, int, bytes]], settings: Settings, prior: floa
 
 
 def _calibrate(logits: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float, float]:
-    """Logistic fit of the labels on the logits by Newton steps, classes weighted to the prior.
+    """Logistic fit of the labels on the logits, classes weighted to the prior.
 
-    Where the logits say nothing, or the contrary, every score is close to the prior.
+    The likeliest of a row of scales; each with the shift that makes the mean score the prior, found
+    by bisection.
     """
     weight = np.where(labels == 1, prior / labels.mean(), (1 - prior) / (1 - labels.mean()))
-    x = np.stack([logits, np.ones(len(logits))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(25):
-        p = _sigmoid(x @ w)
-        grad = x.T @ (weight * (p - labels)) + 1e-2 * (w - [1.0, 0.0])
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(curve, grad), -2, 2)
-    return (float(w[0]), float(w[1])) if w[0] > 1e-3 else (1e-3, float(np.log(prior / (1 - prior))))
+    best = (np.inf, 1e-3, float(np.log(prior / (1 - prior))))
+    for scale in np.geomspace(0.02, 5, 49):
+        x = scale * logits
+        low, high = -60.0 - x.max(), 60.0 - x.min()
+        for _ in range(60):
+            shift = (low + high) / 2
+            over = (weight * (_sigmoid(x + shift) - labels)).sum() > 0
+            low, high = (low, shift) if over else (shift, high)
+        loss = (weight * (np.logaddexp(0, x + shift) - labels * (x + shift))).sum()
+        best = min(best, (float(loss), float(scale), float(shift)))
+    return best[1:]
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
