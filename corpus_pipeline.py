@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattspark.llm import decontaminate, langid, mixing, queries, sharding, simhash
-from wattspark.llm.common import table, written
+from wattspark.llm.common import column, table, unused, written
 
 SHARDS = 24
 MAX_REPEATS = 2.0
@@ -20,7 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; rejected are those without letters and those whose
     confidence is below the calibrated threshold. A null ``doc_id`` is no obstacle."""
     columns = docs.columns
-    named = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(columns)), F.col("text").alias("text"))
+    named = docs.select(*(column(c).alias(f"_{i}") for i, c in enumerate(columns)), F.col("text").alias("text"))
     told = langid.identify(named, queries.language_model(docs))
     return told.where(~F.col("rejected")).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(columns)))
 
@@ -28,24 +28,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id. Rows that share an id
     are one document; rows without an id cannot be named by a group and stay."""
+    name = unused("_id", docs.columns)
     groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    chosen = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "chosen")
+    chosen = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct(), "chosen")
     # merged at any size: ids grow with the documents, so a broadcast would only be right for small ones
-    named = docs.where("doc_id IS NOT NULL").join(chosen.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
+    named = docs.where("doc_id IS NOT NULL").join(chosen.hint("merge"), F.col("doc_id") == F.col(name), "left_semi")
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = decontaminate.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    leaked = written(found.select(F.col("doc_id").alias("_id")).distinct(), "leaked")
-    return docs.join(leaked, F.col("doc_id") == F.col("_id"), "left_anti")
+    name = unused("_id", docs.columns)
+    leaked = written(found.select(F.col("doc_id").alias(name)).distinct(), "leaked")
+    return docs.join(leaked, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources flattened until the smallest is read twice as often as the largest; the budget is the
     least under which each document comes at least once."""
-    return mixing.mix(docs, max_repeats=MAX_REPEATS, seed=11).select(*docs.columns)
+    return mixing.mix(docs, max_repeats=MAX_REPEATS, seed=11).select(*map(column, docs.columns))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, shard int, fp string, key string, "
-    "spans string, score double, mix_epoch string"
+    "spans string, score double, mix_epoch string, _id string, _mix string, `a.b` string"
 )
 
 
@@ -32,6 +32,6 @@ def texts(seed=3, n=40):
 
 def frame(spark, given, ids=None):
     ids = range(len(given)) if ids is None else ids
-    extra = (7, "x", "y", "z", 0.5, "w")
+    extra = (7, "x", "y", "z", 0.5, "w", "i", "m", "d")
     rows = [(i, t, "en" if i is None or i % 3 else "de", f"s{(i or 0) % 4}" if i != 5 else None, None, *extra) for i, t in zip(ids, given)]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)

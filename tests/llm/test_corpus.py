@@ -155,9 +155,19 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in final} == kept and Counter(r.doc_id for r in final).most_common(1)[0][1] <= 3
 
 
-def test_stages_take_odd_tables(spark):
+def test_stages_take_odd_tables(spark, tmp_path):
     docs = data.frame(spark, [*data.texts(12, 12), None], [*range(len(data.texts(12, 12))), None])
     assert corpus_pipeline.near_duplicates(spark, docs, "").where("doc_id IS NULL").count() == 1
     assert corpus_pipeline.language(spark, docs, "").columns == docs.columns
     assert corpus_pipeline.mixed(spark, docs, "").columns == docs.columns
     assert corpus_pipeline.sharded(spark, docs, "").count() == docs.count()
+    clean = docs.where("doc_id = 0 OR doc_id IS NULL")
+    clean.limit(0).selectExpr("doc_id AS item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.decontaminated(spark, clean, str(tmp_path)).columns == docs.columns
+
+
+def test_cleaned_text_keeps_order_and_repeats(spark):
+    text = "Kept prose ends here.\n\nHome | News | About\nKept prose ends here.\nHome | News | About\n  "
+    row = quality.clean(data.frame(spark, [text])).first()
+    assert row.clean_text == "Kept prose ends here.\n\nKept prose ends here.\n  "
+    assert (row.n_lines, row.n_bad_lines, row.n_dup_lines) == (4, 2, 2)

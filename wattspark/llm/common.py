@@ -31,6 +31,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of that name, whatever characters the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bytes_of(text: Column) -> Column:
     """UTF-8 bytes of a text, empty for null."""
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattspark.llm.common import LOWER
+from wattspark.llm.common import LOWER, column
 
 UNKNOWN = "und"
 
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
     names = {f"c{i}": c for i, c in enumerate(keep)}
     letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(
-        *(F.col(c).alias(a) for a, c in names.items()),
+        *(column(c).alias(a) for a, c in names.items()),
         F.when(letters, F.col("text").cast("string").cast("binary")).alias("t"),
     )
     schema = rows.drop("t").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")

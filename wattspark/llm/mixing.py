@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wattspark.llm.common import written
+from wattspark.llm.common import column, unused, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 STEPS = 60  # of the bisection
@@ -187,14 +187,14 @@ def mix(
     """
     added = ("mix_epoch", "mix_place", "n_tokens")
     decided = written(plan(docs, entropy_share, max_repeats, budget_tokens, seed), "mix_plan")
-    decided = decided.select(
-        F.struct(F.col("source").alias("s"), "full_epochs", "last_place").alias("_mix")
-    )
-    kept = docs.select(*[F.col(c) for c in docs.columns if c not in added])
-    rows = kept.join(decided, kept["source"].eqNullSafe(decided["_mix"]["s"]), "left")
-    last = F.coalesce("_mix.full_epochs", F.lit(0).cast("long"))
+    kept = docs.select(*[column(c) for c in docs.columns if c not in added])
+    name = unused("_mix", kept.columns)
+    decided = decided.select(F.struct(F.col("source").alias("s"), "full_epochs", "last_place").alias(name))
+    of = lambda field: F.col(name)[field]
+    rows = kept.join(decided, kept["source"].eqNullSafe(of("s")), "left")
+    last = F.coalesce(of("full_epochs"), F.lit(0).cast("long"))
     rows = rows.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("mix_place", place(F.col("doc_id"), F.col("mix_epoch"), seed))
-    whole = F.col("_mix").isNull() | (F.col("mix_epoch") < F.col("_mix.full_epochs"))
-    rows = rows.where(whole | (F.col("mix_place") <= F.col("_mix.last_place")))
-    return rows.drop("_mix").withColumn("n_tokens", n_words(F.col("text")))
+    whole = F.col(name).isNull() | (F.col("mix_epoch") < of("full_epochs"))
+    rows = rows.where(whole | (F.col("mix_place") <= of("last_place")))
+    return rows.drop(name).withColumn("n_tokens", n_words(F.col("text")))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattspark.llm.common import scrambled, written
+from wattspark.llm.common import column, scrambled, written
 
 INDEX_BITS = 33  # of a row's number in its partition, as monotonically_increasing_id lays it out
 
@@ -100,7 +100,7 @@ def shuffle_to_shards(
     """
     names = {f"c{i}": c for i, c in enumerate(df.columns) if c not in ("shard", "slot")}
     at = F.monotonically_increasing_id()
-    fixed = written(df.select(*(F.col(c).alias(a) for a, c in names.items()), at.alias("at")), "to_shard")
+    fixed = written(df.select(*(column(c).alias(a) for a, c in names.items()), at.alias("at")), "to_shard")
     part = F.shiftright("at", INDEX_BITS)
     counts = {r["p"]: r["n"] for r in fixed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     parts = np.array(sorted(counts), np.int64)
