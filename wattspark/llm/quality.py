@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 # What the rules look for.
+BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
 SENTENCE_END = r"""[.!?:;…"”'’»)\]。！？]\z"""
 ODD = r"[#*$%&|<>{}\[\]\\^~=+_@/`]"
@@ -53,15 +54,19 @@ def n_chars(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.length(w))
 
 
-def n_repeat_words(words: Column, k: int = 5) -> Column:
+def window_codes(words: Column, k: int = 5) -> Column:
+    """64-bit hash of every window of ``k`` words; empty for fewer words."""
+    starts = F.sequence(F.lit(0), F.size(words) - k)
+    codes = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(k))))
+    return F.when(F.size(words) >= k, codes).otherwise(F.array().cast("array<bigint>"))
+
+
+def n_repeat_words(codes: Column, k: int = 5) -> Column:
     """Words in windows of ``k`` words that occur twice or more in the text, the first included.
 
-    Windows are compared by their 64-bit hash. Most texts repeat nothing and are done once the
-    hashes are known to be distinct. Otherwise hashes are sorted with their places, and the places
-    of equal neighbours cover the words.
+    Most texts repeat nothing and are done once the hashes are known to be distinct. Otherwise hashes
+    are sorted with their places, and the places of equal neighbours cover the words.
     """
-    starts = F.sequence(F.lit(0), F.size(words) - k)
-    codes = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(k))))
 
     def covered(codes: Column) -> Column:
         filed = F.array_sort(F.transform(codes, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
@@ -80,28 +85,25 @@ def n_repeat_words(words: Column, k: int = 5) -> Column:
         )
         return F.aggregate(places, start, step)["n"]
 
-    none = F.lit(0).cast("long")
-    return F.when(F.size(words) <= k, none).otherwise(
-        let(
-            codes, lambda c: F.when(F.size(F.array_distinct(c)) == F.size(c), none).otherwise(covered(c))
-        )
-    )
+    distinct = F.size(F.array_distinct(codes)) == F.size(codes)
+    return F.when(distinct, F.lit(0).cast("long")).otherwise(covered(codes))
 
 
 def line_fails(line: Column, short_words: int, odd_share: float, menu_words: int) -> Column:
     """Whether a line with a word fails one of the three rules."""
-    bare = F.regexp_replace(F.regexp_replace(line, rf"{BLANK}\z", ""), rf"\A{BLANK}", "")
-    shown = F.length(F.regexp_replace(line, BLANK, ""))
+    bare = F.trim(line, F.lit(BLANKS))
 
+    # the cheap tests come first: what follows a decided one is not evaluated
     def rules(bare: Column) -> Column:
+        ended = bare.rlike(SENTENCE_END)
         n = F.regexp_count(bare, F.lit(WORD))
         odd = F.regexp_count(bare, F.lit(ODD))
-        punctuation = (~bare.rlike(SENTENCE_END) & (n < short_words)) | (odd > F.lit(odd_share) * shown)
+        shown = F.length(F.regexp_replace(line, BLANK, ""))
         separators = F.regexp_count(bare, F.lit(SEPARATORS))
-        navigation = ((separators >= 2) & (n <= 4 * (separators + 1))) | (
-            bare.rlike(CONTROLS) & (n <= menu_words) & ~bare.rlike(SENTENCE_END)
-        )
-        return punctuation | navigation | bare.rlike(NOTICES)
+        menu = let(separators, lambda x: (x >= 2) & (n <= 4 * (x + 1)))
+        symbols = let(odd, lambda x: (x > 0) & (x > F.lit(odd_share) * shown))
+        few = ~ended & let(n, lambda x: (x < short_words) | ((x <= menu_words) & bare.rlike(CONTROLS)))
+        return few | symbols | menu | bare.rlike(NOTICES)
 
     return let(bare, rules)
 
@@ -125,13 +127,16 @@ def clean(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("lines", F.split("text", "\n"))
-    with_words = F.filter("lines", lambda x: x.rlike(WORD))
-    bad = F.filter("full", lambda x: line_fails(x, short_words, odd_share, menu_words))
-    rows = rows.withColumn("full", with_words).withColumn("bad", bad)
+    verdict = lambda x: F.when(x.rlike(WORD), line_fails(x, short_words, odd_share, menu_words))
+    judged = F.transform("lines", lambda x: F.struct(x.alias("line"), verdict(x).alias("bad")))
+    those = lambda test: F.transform(F.filter("judged", test), lambda x: x["line"])
+    rows = rows.withColumn("judged", judged)
+    rows = rows.withColumn("full", those(lambda x: x["bad"].isNotNull())).withColumn("bad", those(lambda x: x["bad"]))
+    rows = rows.withColumn("codes", window_codes(F.col("words")))
     lost = F.aggregate(
         "bad", F.lit(0).cast("long"), lambda n, x: n + F.length(F.regexp_replace(x, BLANK, ""))
     )
-    left = F.filter("lines", lambda x: ~F.array_contains("bad", x))
+    left = those(lambda x: ~F.coalesce(x["bad"], F.lit(False)))
     n = F.col("n_words")
     return (
         rows.select(
@@ -140,7 +145,7 @@ def clean(
             n_chars(F.col("words")).alias("word_chars"),
             F.length(F.regexp_replace("text", SYMBOLS.replace("[", "[^") + "+", "")).cast("long").alias("n_symbols"),
             (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
-            n_repeat_words(F.col("words")).alias("n_repeat_words"),
+            n_repeat_words(F.col("codes")).alias("n_repeat_words"),
             F.size("full").cast("long").alias("n_lines"),
             F.size("bad").cast("long").alias("n_bad_lines"),
             lost.alias("lost_chars"),
