@@ -2,6 +2,7 @@ import json
 import os
 import random
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def test_window_stats_equal_batch_over_several_batches(spark, tmp_path):
     for part in range(4):
         land(readings(spark, *data[part * 60 : part * 60 + 60]), tmp_path / "in")
     stream = streams.readings_stream(spark, str(tmp_path / "in"), 1)
-    started = run(windows.pole_window_stats(stream, 60).writeStream, tmp_path / "out", tmp_path / "cp")
+    started = run(windows.pole_window_stats(stream, 60, delay="0 seconds").writeStream, tmp_path / "out", tmp_path / "cp")
     assert len(started.recentProgress) >= 4
     end = max(r[0] for r in data)
     batch = rollups.pole_window_stats(readings(spark, *data), 60).filter(
@@ -60,7 +61,7 @@ def test_late_rows_are_dropped_after_two_advances(spark, tmp_path):
     for second in (1, 300, 600, 2):
         land(readings(spark, reading(second)), tmp_path / "in")
     stream = streams.readings_stream(spark, str(tmp_path / "in"), 1)
-    run(windows.pole_window_stats(stream, 60).writeStream, tmp_path / "out", tmp_path / "cp")
+    run(windows.pole_window_stats(stream, 60, delay="0 seconds").writeStream, tmp_path / "out", tmp_path / "cp")
     first = spark.read.parquet(str(tmp_path / "out")).orderBy("window_start").first()
     assert first.reading_count == 1
 
@@ -69,7 +70,7 @@ def test_gauges_of_closed_windows_equal_batch(spark, tmp_path):
     data = sample(2, 60)
     land(readings(spark, *data), tmp_path / "in")
     stream = streams.readings_stream(spark, str(tmp_path / "in"))
-    started = pipeline.start_gauges(stream, str(tmp_path / "out"), str(tmp_path / "cp"), once=True)
+    started = pipeline.start_gauges(stream, str(tmp_path / "out"), str(tmp_path / "cp"), once=True, delay="0 seconds")
     started.awaitTermination()
     end = max(r[0] for r in data)
     batch = gauges.to_series(gauges.pole_gauges(readings(spark, *data))).filter(F.col("end_time") <= F.lit(end))
@@ -113,7 +114,7 @@ def test_sag_stream_equals_batch(spark, tmp_path, delay, shuffled):
 
 def test_sag_step_can_be_repeated(spark, tmp_path):
     data = sample(6, 80)
-    state = sags.SagState(str(tmp_path / "state"))
+    state = sags.SagState(str(tmp_path / "state"), delay_seconds=0)
     state.step(readings(spark, *data[:40]), 0)
     state.step(readings(spark, *data[40:]), 1)
     once = events_of(spark, state, 1)
@@ -122,12 +123,30 @@ def test_sag_step_can_be_repeated(spark, tmp_path):
 
 
 def test_sag_stream_drops_late_rows_and_keeps_open_runs(spark, tmp_path):
-    state = sags.SagState(str(tmp_path / "state"))
+    state = sags.SagState(str(tmp_path / "state"), delay_seconds=0)
     state.step(readings(spark, reading(0, 210.0), reading(10, 211.0)), 0)
     assert state.events(spark).count() == 0
     state.step(readings(spark, reading(5, 240.0), reading(20, 212.0)), 1)  # the first is late
     state.step(readings(spark, reading(30, 240.0)), 2)
     assert rows(state.events(spark), "reading_count", "duration_seconds") == [(3, 21)]
+    assert rows(state.late(spark), "batch_id", "voltage_v") == [(1, 240.0)] and state.last_batch(spark) == 2
+
+
+def test_pipeline_drops_redelivered_messages(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    sinks.write_clustered(readings(spark, reading()).limit(0), f"{root}/readings")
+    for n in (10, 20):  # the first ten come again with the next ten
+        messages(spark, tmp_path / "in", n)
+        started = pipeline.start_pipeline(
+            streams.message_stream(spark, str(tmp_path / "in")), root, str(tmp_path / "cp"),
+            window_seconds=10, delay="0 seconds", repeats_within="1 hour", once=True,
+        )
+        for q in started.values():
+            q.awaitTermination()
+    assert tables.read_readings(spark, f"{root}/readings").count() == 16
+    assert spark.read.parquet(f"{root}/minute_agg").agg(F.sum("reading_count")).first()[0] == 8
+    with pytest.raises(ValueError):
+        pipeline.start_pipeline(streams.message_stream(spark, str(tmp_path / "in")), root, "x", window_seconds=10)
 
 
 def messages(spark, folder, n=20):
@@ -137,7 +156,8 @@ def messages(spark, folder, n=20):
             "seq": i, "voltage_v": 240.0, "current_a": 1.0, "power_kw": "bad" if i % 5 == 0 else 1.0,
         }
     ).encode()
-    data = [(bytearray(body(i)), {"network_profile": "5g"}, None) for i in range(n)]
+    sent = datetime(2025, 12, 26, 12)
+    data = [(bytearray(body(i)), {"network_profile": "5g"}, sent + timedelta(seconds=i)) for i in range(n)]
     land(spark.createDataFrame(data, ENVELOPE), folder)
 
 
@@ -147,7 +167,7 @@ def test_pipeline_writes_every_sink(spark, tmp_path):
     sinks.write_clustered(readings(spark, reading()).limit(0), f"{root}/readings")
     started = pipeline.start_pipeline(
         streams.message_stream(spark, str(tmp_path / "in")), root, str(tmp_path / "cp"),
-        dead_letter_path=f"{root}/dlq", window_seconds=10, metrics=True, once=True,
+        dead_letter_path=f"{root}/dlq", window_seconds=10, metrics=True, delay="0 seconds", once=True,
     )
     for q in started.values():
         q.awaitTermination()

@@ -236,8 +236,7 @@ def hourly_health_last_day(spark, sf_dir):
     return report.orderBy(*health.HOURLY)
 
 
-@query(
-    "a19_daily_health",
+DAILY_HEALTH = (
     "SELECT pole_id, event_date, max(active_meters) AS max_active_meters, avg(active_meters) AS avg_active_meters, "
     "CAST(sum(total_readings) AS BIGINT) AS total_readings, CAST(sum(expected_readings) AS BIGINT) AS expected_readings, "
     "CAST(round(CAST(sum(total_readings) / nullif(sum(expected_readings), 0) * 100 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS data_completeness_pct, "
@@ -246,9 +245,18 @@ def hourly_health_last_day(spark, sf_dir):
     "max(low_voltage_pct) AS peak_low_voltage_hour_pct, sum(total_power_kw) / 24 AS avg_hourly_power_kw, "
     "max(total_power_kw) AS peak_hour_power_kw, avg(health_score) AS avg_health_score, "
     "min(health_score) AS min_health_score, count(*) FILTER (health_score < 70) AS problem_hours_count "
-    "FROM health GROUP BY pole_id, event_date ORDER BY pole_id, event_date",
+    "FROM health GROUP BY pole_id, event_date"
+)
+DAILY_DOUBLES = (
     "avg_active_meters daily_avg_voltage_v daily_min_voltage_v daily_max_voltage_v avg_low_voltage_pct "
-    "avg_hourly_power_kw peak_hour_power_kw avg_health_score",
+    "avg_hourly_power_kw peak_hour_power_kw avg_health_score"
+)
+
+
+@query(
+    "a19_daily_health",
+    DAILY_HEALTH + " ORDER BY pole_id, event_date",
+    DAILY_DOUBLES,
     (METRICS, HEALTH),
 )
 def daily_health(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wattspark.operators import ingest, strict
 from wattspark.plans.projections import messages, readings
@@ -150,11 +150,14 @@ def enriched_by_pole(spark, sf_dir):
 
 @query(
     "p13_parse_and_validate",
-    "SELECT ts AS publish_ts, meter_id FROM messages WHERE class = 'ok'",
+    "SELECT ts AS publish_ts, meter_id, pole_id, network_profile, CAST(event_id AS VARCHAR) AS seq "
+    "FROM messages WHERE class = 'ok'",
 )
 def parse_and_validate(spark, sf_dir):
     valid, _ = ingest.parse_and_validate(messages(spark, sf_dir))
-    return valid.select("publish_ts", F.col("attributes")["meter_id"].alias("meter_id"))
+    attribute = lambda name: F.try_element_at("attributes", F.lit(name)).alias(name)
+    carried = [attribute(name) for name in ("meter_id", "pole_id", "network_profile")]
+    return valid.select("publish_ts", *carried, F.col("fields")["seq"].alias("seq"))
 
 
 @query(
@@ -171,18 +174,32 @@ def json_lines(spark, sf_dir):
     ).select("r.*", "spells_nulls")
 
 
-@query(
-    "p12_error_payloads",
-    "SELECT class AS error_type, count(*) AS payloads FROM messages WHERE class <> 'ok' GROUP BY ALL",
+PAYLOADS = (
+    "SELECT class AS error_type, CASE k WHEN 5 THEN '' WHEN 2 THEN 'not-a-time' "
+    "ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END AS event_ts, CASE k WHEN 5 THEN '' ELSE meter_id END AS meter_id, "
+    "CASE WHEN k IN (0, 5) THEN '' WHEN k = 6 THEN '12.7' ELSE CAST(event_id AS VARCHAR) END AS seq "
+    "FROM messages WHERE class <> 'ok'"
 )
-def error_payloads(spark, sf_dir):
-    payloads = ingest.error_bytes(ingest.parse_and_validate(messages(spark, sf_dir))[1])
+
+
+def shown_payloads(payloads: DataFrame) -> DataFrame:
+    """The class of each dead letter, and members of the message it carries, well formed or not."""
     text = F.decode("value", "UTF-8")
-    return payloads.groupBy(F.get_json_object(text, "$.error_type").alias("error_type")).agg(
-        F.count(F.lit(1)).alias("payloads")
+    body = F.decode(F.unbase64(F.get_json_object(text, "$.body")), "UTF-8")
+    member = lambda name, value: F.regexp_extract(body, f'"{name}":"?({value})', 1).alias(name)
+    return payloads.select(
+        F.get_json_object(text, "$.error_type").alias("error_type"),
+        member("event_ts", '[^"]+'),
+        member("meter_id", '[^"]+'),
+        member("seq", "[0-9.]+"),
     )
 
 
+@query("p12_error_payloads", PAYLOADS)
+def error_payloads(spark, sf_dir):
+    return shown_payloads(ingest.error_bytes(ingest.parse_and_validate(messages(spark, sf_dir))[1]))
+
+
 STRICT = (
     "(SELECT meter_id, event_ts, list_filter(["
     "CASE WHEN voltage_v NOT BETWEEN 0 AND 500 THEN 'voltage_v_range' END, "

@@ -46,7 +46,17 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_with_factor(spark, sf_dir).drop("power_factor")
 
 
+def numbered_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose ``seq`` is their own: the number of the event."""
+    rows = _all_columns(spark, sf_dir).drop("seq", "power_factor")
+    return rows.withColumnRenamed("event_id", "seq")
+
+
 def readings_with_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_columns(spark, sf_dir).drop("event_id")
+
+
+def _all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     volts = F.lit(190.0) + F.col("value") % F.lit(80.0)
     kw = F.col("value") / F.lit(100.0)
     profile = (
@@ -72,6 +82,7 @@ def readings_with_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
         voltage_flags(volts).alias("quality_flags"),
         profile.alias("network_profile"),
         factor().alias("power_factor"),
+        "event_id",
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wattspark.operators import filters, rollups
 from wattspark.operators.delivery import derive_flags
-from wattspark.plans.projections import readings
+from wattspark.plans.projections import numbered_readings, readings
 from wattspark.plans.registry import query
 
 AS_OF = "2024-01-31 00:00:00"
@@ -277,11 +277,13 @@ def newest_low(spark, sf_dir):
 
 @query(
     "st10_repeats_dropped_batch",
-    "SELECT meter_id, seq, min(event_ts) AS event_ts, arg_min(voltage_v, event_ts) AS voltage_v "
-    "FROM readings GROUP BY meter_id, seq",
+    "SELECT meter_id, event_id AS seq, event_ts, voltage_v FROM readings",
     "voltage_v",
 )
 def repeats_dropped(spark, sf_dir):
-    return rollups.first_of_each(readings(spark, sf_dir), ["meter_id", "seq"]).select(
+    """Every third reading comes twice; each stays once."""
+    rows = numbered_readings(spark, sf_dir)
+    twice = rows.unionByName(rows.filter(F.col("seq") % 3 == 0))
+    return rollups.first_of_each(twice, ["meter_id", "seq"]).select(
         "meter_id", "seq", "event_ts", "voltage_v"
     )

@@ -106,11 +106,13 @@ def start_minute_aggregates(
     path: str,
     checkpoint: str,
     window_seconds: int = 60,
-    delay: str = "0 seconds",
     once: bool = False,
+    *,
+    delay: str,
+    once_each: bool = False,
 ) -> StreamingQuery:
     """Per-pole window statistics, the table being created if needed."""
-    stats = windows.pole_window_stats(readings, window_seconds, delay)
+    stats = windows.pole_window_stats(readings, window_seconds, delay=delay, once_each=once_each)
     return start_table(stats, path, checkpoint, "window_start", must_exist=False, once=once)
 
 
@@ -146,11 +148,12 @@ def start_gauges(
     path: str,
     checkpoint: str,
     window_seconds: int = 60,
-    delay: str = "0 seconds",
     once: bool = False,
+    *,
+    delay: str,
 ) -> StreamingQuery:
     """Final gauges of each closed window into the metric table."""
-    series = gauges.to_series(windows.pole_gauges(readings, window_seconds, delay))
+    series = gauges.to_series(windows.pole_gauges(readings, window_seconds, delay=delay))
     writer = (
         series.writeStream.format("parquet")
         .outputMode("append")
@@ -193,7 +196,8 @@ def start_pipeline(
     window_seconds: int = 0,
     metrics: bool = False,
     metrics_window_seconds: int = 60,
-    delay: str = "0 seconds",
+    delay: str | None = None,
+    repeats_within: str | None = None,
     once: bool = False,
     archive_folders: tuple[str, ...] = sinks.ARCHIVE_FOLDERS,
 ) -> dict[str, StreamingQuery]:
@@ -202,8 +206,13 @@ def start_pipeline(
     ``sinks`` writes archive, table, dead letters and panes from one parse of each micro-batch, with
     one ``ingest_ts``; every sink replaces what a failed try of the batch left. ``aggregates`` keeps
     window state and is a query of its own; ``window_seconds=0`` leaves it out, ``metrics=False`` the
-    panes.
+    panes. Windows wait ``delay`` for late readings, and it must be given with them.
+
+    With ``repeats_within``, a message that a broker delivers again within this time, by publish
+    time, is dropped before anything is written; the windows count a meter's sequence number once.
     """
+    if window_seconds > 0 and delay is None:
+        raise ValueError("windows need a delay")
     sinks.require_table(messages.sparkSession, f"{root}/readings")
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     to_table = table_writer(f"{root}/readings", checkpoint)
@@ -224,10 +233,17 @@ def start_pipeline(
         finally:
             checked.unpersist()
 
-    writer = messages.writeStream.foreachBatch(write_all).option("checkpointLocation", f"{checkpoint}/sinks")
+    first = messages if repeats_within is None else windows.drop_redelivered(messages, repeats_within)
+    writer = first.writeStream.foreachBatch(write_all).option("checkpointLocation", f"{checkpoint}/sinks")
     started = {"sinks": _run(writer, once, "30 seconds").start()}
     if window_seconds > 0:
         started["aggregates"] = start_minute_aggregates(
-            valid_readings(messages), f"{root}/minute_agg", f"{checkpoint}/aggregates", window_seconds, delay, once
+            valid_readings(messages),
+            f"{root}/minute_agg",
+            f"{checkpoint}/aggregates",
+            window_seconds,
+            once,
+            delay=delay,
+            once_each=repeats_within is not None,
         )
     return started

@@ -5,6 +5,9 @@ batch operator, so a busy meter spreads over its time slices. What may still
 grow is carried to the next batch in a table under the shared state folder: the
 open run of each meter, and the readings newer than the watermark. Folders are
 named by batch and overwritten by a retry, which makes every step repeatable.
+
+The watermark runs ``delay_seconds`` behind the newest reading. Readings that come later still, or
+have no time, are not evaluated: they are kept aside in a table of their own.
 """
 
 from __future__ import annotations
@@ -58,9 +61,9 @@ class SagState:
     def __init__(
         self,
         root: str,
+        delay_seconds: int,
         threshold: float = SAG_V,
         min_duration_seconds: int = 5,
-        delay_seconds: int = 0,
         slice_seconds: int = DAY,
     ):
         self.root = root.rstrip("/")
@@ -98,8 +101,11 @@ class SagState:
         high = max(seen)
         cutoff = high - self.delay_seconds * 1_000_000
         time_us = F.unix_micros("event_ts")
-        # late readings, older than what was evaluated before, are dropped
-        rows = fresh.filter(time_us > last["cutoff"]) if last else fresh
+        # older than what was evaluated before, or without a time
+        in_time = time_us > last["cutoff"] if last else time_us.isNotNull()
+        late = fresh.filter(~F.coalesce(in_time, F.lit(False)))
+        late.write.mode("overwrite").parquet(self._folder("late", batch_id))
+        rows = fresh.filter(in_time)
         if pending is not None:
             rows = rows.unionByName(pending)
         ready = rows.filter(time_us <= cutoff).withColumn(
@@ -151,8 +157,16 @@ class SagState:
         """Events that are over."""
         return spark.read.parquet(f"{self.root}/events").drop("batch_id")
 
-    def open_events(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Events still going on after a batch, as they stand."""
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Readings that came too late, with the batch they came in."""
+        return spark.read.parquet(f"{self.root}/late")
+
+    def last_batch(self, spark: SparkSession) -> int:
+        return spark.read.parquet(f"{self.root}/mark").agg(F.max("batch_id")).first()[0]
+
+    def open_events(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
+        """Events still going on after a batch, the last by default, as they stand."""
+        batch_id = self.last_batch(spark) if batch_id is None else batch_id
         return _as_events(
             spark.read.parquet(self._folder("open", batch_id)), self.min_duration_seconds
         )

@@ -4,6 +4,10 @@ Readings are first aggregated per window, pole and meter, then per window and
 pole. Meters are counted exactly, the state is bounded by the meters of the
 open windows, and a busy pole spreads over its meters. Both steps run in append
 mode: a window is emitted once, when the watermark passes its end.
+
+The watermark runs ``delay`` behind the newest event time, so readings that arrive later than that
+are dropped; the progress of a query counts them (``numRowsDroppedByWatermark``). How late readings
+come is the source's business, so there is no default.
 """
 
 from __future__ import annotations
@@ -14,11 +18,13 @@ from wattspark.functions.quality import SAG_V, SWELL_V, is_sag
 from wattspark.operators.gauges import pole_key
 
 
-def _per_meter(readings: DataFrame, window_seconds: int, delay: str) -> DataFrame:
+def _per_meter(readings: DataFrame, window_seconds: int, delay: str, once_each: bool) -> DataFrame:
     volts = F.col("voltage_v")
+    marked = readings.withWatermark("event_ts", delay)
+    if once_each:
+        marked = marked.dropDuplicatesWithinWatermark(["meter_id", "seq"])
     return (
-        readings.withWatermark("event_ts", delay)
-        .groupBy(
+        marked.groupBy(
             F.window("event_ts", f"{window_seconds} seconds"), pole_key(), F.col("meter_id")
         )
         .agg(
@@ -38,12 +44,12 @@ def _per_pole(per_meter: DataFrame, *measures: Column) -> DataFrame:
 
 
 def pole_window_stats(
-    readings: DataFrame, window_seconds: int = 60, delay: str = "0 seconds"
+    readings: DataFrame, window_seconds: int = 60, *, delay: str, once_each: bool = False
 ) -> DataFrame:
-    """Stream form of the per-pole window statistics."""
+    """Stream form of the per-pole window statistics; ``once_each`` drops repeats first."""
     n = F.sum("n")
     return _per_pole(
-        _per_meter(readings, window_seconds, delay),
+        _per_meter(readings, window_seconds, delay, once_each),
         n.alias("reading_count"),
         F.count(F.lit(1)).alias("meter_count"),
         (F.sum("v_sum") / n).alias("avg_voltage_v"),
@@ -64,13 +70,11 @@ def pole_window_stats(
     )
 
 
-def pole_gauges(
-    readings: DataFrame, window_seconds: int = 60, delay: str = "0 seconds"
-) -> DataFrame:
+def pole_gauges(readings: DataFrame, window_seconds: int = 60, *, delay: str) -> DataFrame:
     """Stream form of the seven pole gauges."""
     n = F.sum("n")
     return _per_pole(
-        _per_meter(readings, window_seconds, delay),
+        _per_meter(readings, window_seconds, delay, False),
         (F.sum("v_sum") / n).alias("voltage_avg"),
         F.min("v_min").alias("voltage_min"),
         F.max("v_max").alias("voltage_max"),
@@ -81,7 +85,18 @@ def pole_gauges(
     ).select("*", F.col("window.end").alias("end_time")).drop("window")
 
 
-def drop_repeats(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def drop_redelivered(messages: DataFrame, delay: str) -> DataFrame:
+    """Keep one of the messages with equal body, attributes and publish time within the watermark."""
+    known = F.concat("data", F.encode(F.coalesce(F.to_json("attributes"), F.lit("")), "UTF-8"))
+    return (
+        messages.withColumn("_message", F.sha2(known, 256))
+        .withWatermark("publish_ts", delay)
+        .dropDuplicatesWithinWatermark(["_message", "publish_ts"])
+        .drop("_message")
+    )
+
+
+def drop_repeats(readings: DataFrame, delay: str) -> DataFrame:
     """Keep one reading per meter and sequence number within the watermark."""
     return readings.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(
         ["meter_id", "seq"]
