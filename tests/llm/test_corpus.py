@@ -66,6 +66,14 @@ def test_bisection_meets_the_entropy(spark):
     assert abs(-(w * np.log(w)).sum() - 0.8 * np.log(3)) < 1e-9 and len(rows) == 3
 
 
+def test_no_source_falls_short_at_any_size(spark):
+    for i in range(6):
+        given = [("a", 7 * 10**14 + 31 * i), ("b", 3 * 10**14 + i), ("c", 10**13 + 7 * i), ("d", 977 + i)]
+        totals = spark.createDataFrame(given, "source string, tokens long")
+        rows = mixing.weights(totals, None, 2.0, None).collect()
+        assert len(rows) == 4 and all(r.target_tokens >= r.tokens for r in rows)
+
+
 def test_shards_are_exact_and_shuffled(spark):
     docs = data.frame(spark, data.texts(10, 90))
     n = docs.count()

@@ -108,12 +108,15 @@ def weights(
         F.col("x.source").alias("source"), F.col("x.tokens").alias("tokens"), "exponent", "z", "budget", "all_tokens"
     )
     weight = F.exp(F.col("exponent") * F.log(F.col("tokens") / F.col("all_tokens"))) / F.col("z")
+    target = F.floor(weight * F.col("budget") + 1e-6).cast("long")
+    if budget_tokens is None:  # beyond some 10**9 tokens a double may fall short by one
+        target = F.greatest(target, F.col("tokens"))
     return each.select(
         "source",
         "tokens",
         "exponent",
         weight.alias("weight"),
-        F.floor(weight * F.col("budget") + 1e-6).cast("long").alias("target_tokens"),
+        target.alias("target_tokens"),
     )
 
 
