@@ -265,3 +265,33 @@ def test_kafka_records_take_the_message_layout(spark):
     )
     got = streams.from_kafka(df)
     assert got.columns == ENVELOPE.names and got.first().attributes == {"pole_id": "p1"}
+
+
+def test_merged_events_stay_single(spark, tmp_path):
+    path = str(tmp_path / "events")
+    times = ["2025-12-26 10:00:00", "2025-12-26 11:00:00", "2025-12-27 10:00:00"]
+    rows = spark.createDataFrame(
+        [(f"e{i}", "m1", "p1", t, 1) for i, t in enumerate(times)] + [("e0", "m1", "p1", times[0], 1)],
+        "event_id string, meter_id string, pole_id string, start string, v int",
+    ).selectExpr("event_id", "meter_id", "pole_id", "CAST(start AS TIMESTAMP) AS event_start", "v")
+    for _ in range(2):
+        sinks.merge_rows(rows, path)
+    sinks.merge_rows(rows.filter("event_id = 'e1'").withColumn("v", F.lit(2)), path)
+    sinks.merge_rows(rows.limit(0), path)
+    got = spark.read.parquet(path).collect()
+    assert sorted((r.event_id, r.v) for r in got) == [("e0", 1), ("e1", 2), ("e2", 1)]
+
+
+def test_compaction_keeps_rows_and_heals_a_cut_swap(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = readings(spark, *[reading(86_400 * (i % 3), seq=i) for i in range(30)])
+    for n in range(3):
+        sinks.append_batch(df.filter(f"seq % 3 = {n} OR seq % 2 = {n}"), path, f"s-{n}")
+    before = spark.read.parquet(path).count()
+    first = sorted(f.name for f in (tmp_path / "t").iterdir() if f.name.startswith("event_date="))[0]
+    (tmp_path / "t" / "_aside").mkdir()
+    (tmp_path / "t" / first).rename(tmp_path / "t" / "_aside" / first)
+    assert spark.read.parquet(path).count() < before
+    sinks.compact(spark, path, [first.split("=")[1]])
+    assert spark.read.parquet(path).count() == before
+    assert len(list((tmp_path / "t" / first).glob("*.parquet"))) == 1

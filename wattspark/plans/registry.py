@@ -12,10 +12,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Shown digits. The nudge is far below the last of them: it decides exact halves, which
-# engines otherwise round either way after adding up in a different order.
+# Shown digits. Summation noise is rounded off first, so exact halves do not depend on the order
+# of adding up.
 DIGITS = 6
-NUDGE = "3e-9"
+CLEAN = 9
+# DuckDB rounds binary values, Spark decimal ones. The nudge, in the SQL only, decides exact halves
+# away from zero, as Spark does.
+NUDGE = "2e-10"
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -24,7 +27,7 @@ def tidy(df: DataFrame) -> DataFrame:
     for field in df.schema:
         col = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            col = F.round(col + F.lit(float(NUDGE)), DIGITS) + F.lit(0.0)
+            col = F.round(F.round(col, CLEAN), DIGITS) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             col = col.cast("long")
         elif isinstance(field.dataType, T.TimestampType):
@@ -42,7 +45,8 @@ def oracle(body: str, doubles: str = "", *ctes: str) -> str:
     prefix = "WITH " + ",\n".join([*used, *ctes]) + "\n" if used or ctes else ""
     if not doubles:
         return prefix + body
-    rounded = ", ".join(f"round({c} + {NUDGE}, {DIGITS}) + 0.0 AS {c}" for c in doubles.split())
+    shown = "round(round({c}, {clean}) + sign({c}) * {nudge}, {digits}) + 0.0 AS {c}"
+    rounded = ", ".join(shown.format(c=c, clean=CLEAN, nudge=NUDGE, digits=DIGITS) for c in doubles.split())
     return f"{prefix}SELECT * REPLACE ({rounded}) FROM (\n{body}\n) AS answer"
 
 

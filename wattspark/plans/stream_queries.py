@@ -293,6 +293,20 @@ def retention(spark, sf_dir):
     return sinks.retained(tables.read_readings(spark, path), "2024-01-31", 20).drop("event_date")
 
 
+@query("k08_compacted_table", EVERYTHING, MEASURES)
+def compacted_table(spark, sf_dir):
+    """A table that a stream filled in parts, some of its dates rewritten afterwards."""
+    path, checkpoint = scratch_dir(spark, "readings"), scratch_dir(spark, "checkpoint")
+    _arriving(
+        spark,
+        readings(spark, sf_dir),
+        lambda rows: pipeline.start_table(rows, path, checkpoint, must_exist=False, once=True),
+        closing=False,
+    )
+    sinks.compact(spark, path, ["2024-01-08", "2024-01-09", "2024-01-16"])
+    return tables.read_readings(spark, path).drop("event_date")
+
+
 @query(
     "k10_voltage_event_table",
     "SELECT 'sag' AS event_type, * REPLACE (lower(severity) AS severity) FROM ("
@@ -303,14 +317,13 @@ def retention(spark, sf_dir):
     VOLTS,
 )
 def voltage_event_table(spark, sf_dir):
+    """Both kinds of events are merged into the table, and the sags a second time, which changes nothing."""
     path = scratch_dir(spark, "voltage_events")
     rows, seen = readings(spark, sf_dir), "2024-01-31 00:00:00"
-    sinks.write_clustered(
-        voltage.event_rows(voltage.sag_events(rows), "sag", seen), path, "event_start"
-    )
-    sinks.write_clustered(
-        voltage.event_rows(voltage.swell_events(rows), "swell", seen), path, "event_start"
-    )
+    sags_found = voltage.event_rows(voltage.sag_events(rows), "sag", seen)
+    swells_found = voltage.event_rows(voltage.swell_events(rows), "swell", seen)
+    for found in (sags_found, swells_found, sags_found):
+        sinks.merge_rows(found, path)
     return spark.read.parquet(path).select("event_type", *EVENT_COLUMNS)
 
 

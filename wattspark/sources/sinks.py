@@ -107,6 +107,74 @@ def _move_in(spark: SparkSession, staged: str, path: str, depth: int, batch: str
     files.delete(_path(spark, staged), True)
 
 
+def merge_rows(df: DataFrame, path: str, keys: tuple[str, ...] = ("event_id",), ts: str = "event_start") -> None:
+    """Add rows to a table partitioned by date; a row whose key is there already replaces it.
+
+    Writing the same rows again leaves the table as it was. ``keys`` decide the time, so a key stays
+    within its date, and only the dates of ``df`` are read and rewritten. Rows of equal key in ``df``
+    become one. The table has one writer at a time; see ``compact`` for what a failed job leaves.
+    """
+    spark = df.sparkSession
+    _restore(spark, path)
+    fresh = f"{path}/_fresh/{uuid.uuid4().hex}"
+    df.withColumn("event_date", F.to_date(ts)).dropDuplicates(list(keys)).write.parquet(fresh)
+    rows = spark.read.parquet(fresh)
+    if _date_folders(spark, path):
+        # no more rows than there are dates
+        dates = [r[0] for r in rows.select("event_date").distinct().collect()]
+        same = [F.col(f"_there.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
+        there = spark.read.parquet(path).filter(F.col("event_date").isin(dates)).alias("_there")
+        kept = there.join(rows.alias("_new"), same, "left_anti")
+        rows = rows.unionByName(kept.select(*rows.columns))
+    _rewrite(rows, path, ts)
+    remove(spark, fresh)
+
+
+def compact(spark: SparkSession, path: str, dates: list[str | date], ts: str = "event_ts") -> None:
+    """Rewrite the given dates of a table, clustered, in as few files as their size asks for.
+
+    For dates that no stream writes to any more. The new files are written beside the table and each
+    date's folder is swapped in; a date whose swap was cut short is put back by the next call.
+    """
+    _restore(spark, path)
+    days = [date.fromisoformat(str(d)) for d in dates]
+    _rewrite(spark.read.parquet(path).filter(F.col("event_date").isin(days)), path, ts)
+
+
+def _date_folders(spark: SparkSession, path: str) -> list[str]:
+    if not exists(spark, path):
+        return []
+    names = [s.getPath().getName() for s in _files(spark, path).listStatus(_path(spark, path))]
+    return [n for n in names if n.startswith("event_date=")]
+
+
+def _rewrite(rows: DataFrame, path: str, ts: str) -> None:
+    """Write rows beside the table and swap in the folders of their dates."""
+    spark, staged = rows.sparkSession, f"{path}/_staged/{uuid.uuid4().hex}"
+    files = _files(spark, path)
+    write_clustered(rows, staged, ts, "overwrite")
+    files.mkdirs(_path(spark, f"{path}/_aside"))
+    for name in _date_folders(spark, staged):
+        old, aside = _path(spark, f"{path}/{name}"), _path(spark, f"{path}/_aside/{name}")
+        if files.exists(old) and not files.rename(old, aside):
+            raise OSError(f"could not set aside {old}")
+        if not files.rename(_path(spark, f"{staged}/{name}"), old):
+            raise OSError(f"could not move in {old}")
+        files.delete(aside, True)
+    files.delete(_path(spark, staged), True)
+
+
+def _restore(spark: SparkSession, path: str) -> None:
+    """Put back the dates that a job set aside and did not replace."""
+    files = _files(spark, path)
+    for name in _date_folders(spark, f"{path}/_aside"):
+        target, aside = _path(spark, f"{path}/{name}"), _path(spark, f"{path}/_aside/{name}")
+        if files.exists(target):
+            files.delete(aside, True)
+        elif not files.rename(aside, target):
+            raise OSError(f"could not put back {target}")
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Create the table or replace its contents.
 
