@@ -25,15 +25,30 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where(~F.col("rejected")).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(columns)))
 
 
+def told_apart(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """The rows with one more column, and its name: a number that no two rows share and none lacks.
+    It is ``key`` where that is unique and never null, else a row number fixed by a written copy."""
+    name = unused("_row", rows.columns)
+    number = column(key).cast("long")
+    again = rows.groupBy(number.alias("_key")).agg(F.count("*").alias("n")).where("n > 1 OR _key IS NULL")
+    if again.isEmpty():
+        return rows.withColumn(name, number), name
+    return written(rows.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id. Rows that share an id
-    are one document; rows without an id cannot be named by a group and stay."""
-    name = unused("_id", docs.columns)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    chosen = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct(), "chosen")
+    """One row of each group of near copies, whatever the ids: rows that repeat an id or have none are
+    judged each on its own text. A row without an id stands for its group if there is one, else the
+    smallest id; the row number decides between equal ids."""
+    rows, row = told_apart(docs, "doc_id")
+    groups = simhash.near_duplicates(rows.select(column(row).alias("doc_id"), "text"))
+    ids = rows.select(column(row).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     # merged at any size: ids grow with the documents, so a broadcast would only be right for small ones
-    named = docs.where("doc_id IS NOT NULL").join(chosen.hint("merge"), F.col("doc_id") == F.col(name), "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    groups = groups.join(ids.hint("merge"), F.col("doc_id") == F.col("_row"))
+    first = groups.groupBy("component_id").agg(F.min(F.struct("_id", "_row")).alias("first"))
+    name = unused("_id", rows.columns)
+    chosen = written(first.select(F.col("first._row").alias(name)), "chosen")
+    return rows.join(chosen.hint("merge"), column(row) == F.col(name), "left_semi").drop(row)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,6 +174,18 @@ def test_stages_take_odd_tables(spark, tmp_path):
     assert corpus_pipeline.decontaminated(spark, clean, str(tmp_path)).columns == docs.columns
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    alone, first, second = "one of its own kind " * 9, "the first text said again " * 9, "a second text unlike it " * 9
+    given = [(1, first), (1, first), (2, second), (2, first), (3, second), (None, second), (None, second), (None, alone)]
+    given += [(7, alone)]
+    docs = data.frame(spark, [t for _, t in given], [i for i, _ in given])
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert Counter(r.text for r in got.collect()) == {first: 1, second: 1, alone: 1}
+    assert {r.text: r.doc_id for r in got.collect()} == {first: 1, second: None, alone: None}
+    assert corpus_pipeline.near_duplicates(spark, docs.where("doc_id IS NULL"), "").count() == 2
+
+
 def test_cleaned_text_keeps_order_and_repeats(spark):
     text = "Kept prose ends here.\n\nHome | News | About\nKept prose ends here.\nHome | News | About\n  "
     row = quality.clean(data.frame(spark, [text])).first()
