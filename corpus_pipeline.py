@@ -52,11 +52,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.leaks(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    name = unused("_id", docs.columns)
+    """Documents that hold no benchmark item: every row is searched for every item, each on its own
+    text, whether their ids are null, repeated or neither."""
+    rows, row = told_apart(docs, "doc_id")
+    items, item = told_apart(table(spark, sf_dir, "benchmark"), "item_id")
+    found = decontaminate.leaks(
+        rows.select(column(row).alias("doc_id"), "text"), items.select(column(item).alias("item_id"), "text")
+    )
+    name = unused("_id", rows.columns)
     leaked = written(found.select(F.col("doc_id").alias(name)).distinct(), "leaked")
-    return docs.join(leaked, F.col("doc_id") == F.col(name), "left_anti")
+    return rows.join(leaked, column(row) == F.col(name), "left_anti").drop(row)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,6 +186,20 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert corpus_pipeline.near_duplicates(spark, docs.where("doc_id IS NULL"), "").count() == 2
 
 
+def test_every_row_is_searched_for_every_item(spark, tmp_path):
+    word = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    given = [(None, "so " + word(0, 30)), (None, "clean of it"), (4, "and " + word(40, 60)), (4, "clean too")]
+    # two rows of one id hold half an item each
+    given += [(5, word(80, 94)), (5, word(90, 104)), (6, word(120, 140) + " end"), (7, word(160, 180))]
+    items = [(1, word(0, 30)), (2, word(40, 60)), (3, word(80, 104)), (None, word(120, 140)), (None, word(200, 220))]
+    items += [(8, word(160, 180)), (8, word(300, 400))]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = data.frame(spark, [t for _, t in given], [i for i, _ in given])
+    clean = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted(r.text for r in clean.collect()) == sorted(given[i][1] for i in (1, 3, 4, 5))
+
+
 def test_cleaned_text_keeps_order_and_repeats(spark):
     text = "Kept prose ends here.\n\nHome | News | About\nKept prose ends here.\nHome | News | About\n  "
     row = quality.clean(data.frame(spark, [text])).first()
