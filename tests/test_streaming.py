@@ -149,6 +149,45 @@ def test_pipeline_drops_redelivered_messages(spark, tmp_path):
         pipeline.start_pipeline(streams.message_stream(spark, str(tmp_path / "in")), root, "x", window_seconds=10)
 
 
+def test_messages_that_come_late_for_the_first_time_are_written(spark, tmp_path):
+    root, sent = str(tmp_path / "lake"), datetime(2025, 12, 26, 12)
+    sinks.write_clustered(readings(spark, reading()).limit(0), f"{root}/readings")
+    body = lambda i: json.dumps(
+        {"event_ts": "2025-12-26T12:00:00Z", "meter_id": "m1", "pole_id": "p", "seq": i, "voltage_v": 240.0,
+         "current_a": 1.0, "power_kw": 1.0}
+    ).encode()
+    row = lambda i, hours: (bytearray(body(i)), {}, sent + timedelta(hours=hours))
+    # the third batch: late for the first time (valid, broken, without a body) and again, and a known one again
+    empty = [(None, {"k": str(i)}, sent) for i in range(2)]
+    late = [row(3, 1), row(3, 1), (bytearray(b"{"), {}, sent), *empty]
+    batches = [[row(1, 0)], [row(2, 10)], [*late, row(2, 10)], [row(3, 1), row(2, 10), row(4, 10.5)], [row(4, 10.5)]]
+    for batch in batches:
+        land(spark.createDataFrame(batch, ENVELOPE), tmp_path / "in")
+        started = pipeline.start_pipeline(
+            streams.message_stream(spark, str(tmp_path / "in")), root, str(tmp_path / "cp"),
+            dead_letter_path=f"{root}/dlq", repeats_within="1 hour", once=True,
+        )
+        started["sinks"].awaitTermination()
+    assert rows(tables.read_readings(spark, f"{root}/readings"), "seq") == [(1,), (2,), (3,), (4,)]
+    assert rows(tables.read_archive(spark, f"{root}/raw"), "seq") == [(1,), (2,), (3,), (4,)]
+    assert spark.read.parquet(f"{root}/dlq").count() == 3
+    # what is out of reach is forgotten
+    assert not os.path.exists(tmp_path / "cp" / "delivered" / "keys" / "batch_id=0")
+    with pytest.raises(Exception):
+        pipeline.Delivered(spark, str(tmp_path / "d"), "some time")
+
+
+def test_a_repeated_batch_sees_the_messages_its_first_try_saw(spark, tmp_path):
+    sent = datetime(2025, 12, 26, 12)
+    batch = lambda *ids: spark.createDataFrame([(bytearray(b"%d" % i), {}, sent) for i in ids], ENVELOPE)
+    delivered = pipeline.Delivered(spark, str(tmp_path / "d"), "1 hour")
+    for n, ids, want in ((0, (1, 2, 2), 2), (1, (2, 3), 1), (1, (2, 3), 1), (2, (1, 2, 3, 4), 1)):
+        fresh = delivered.first_time(batch(*ids), n).persist()
+        assert fresh.count() == want
+        delivered.remember(fresh, n)
+        fresh.unpersist()
+
+
 def messages(spark, folder, n=20):
     body = lambda i: json.dumps(
         {

@@ -381,6 +381,7 @@ def late_readings(spark, sf_dir):
 @query("st09_redelivered_messages", LANDED, MEASURED)
 def redelivered_messages(spark, sf_dir):
     """A fifth of the messages comes twice, and those of a part's last hour again with the next part.
+    An eleventh comes for the first time with the part after its own, days late.
 
     Rows that archive and table both hold, on every column.
     """
@@ -389,12 +390,14 @@ def redelivered_messages(spark, sf_dir):
     sinks.write_clustered(readings(spark, sf_dir).limit(0), f"{root}/readings")
     at, bounds = F.col("publish_ts"), [F.lit(t).cast("timestamp") for t in PARTS]
     twice = F.pmod(F.crc32("data"), F.lit(5)) == 0
-    for since, until in zip([None, *bounds], [*bounds, None]):
-        part = rows
+    late = F.pmod(F.crc32("data"), F.lit(11)).eqNullSafe(1)
+    for before, since, until in zip([None, None, *bounds], [None, *bounds], [*bounds, None]):
+        due = F.lit(True) if until is None else (at < until) & ~late
         if since is not None:
-            part = part.filter(at >= since - F.expr("INTERVAL 1 HOUR"))
-        if until is not None:
-            part = part.filter(at < until)
+            due = due & (at >= since - F.expr("INTERVAL 1 HOUR"))
+            missed = late & (at < since)
+            due = due | (missed if before is None else missed & (at >= before))
+        part = rows.filter(due)
         part.unionByName(part.filter(twice)).write.mode("append").parquet(source)
         stream = streams.message_stream(spark, source)
         started = pipeline.start_pipeline(

@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattspark.operators import gauges, ingest
@@ -188,6 +188,59 @@ def start_fan_out(
     return _run(writer, once, interval).start()
 
 
+class Delivered:
+    """Keys of the messages of earlier micro-batches, in folders named by batch under ``root``.
+
+    A message is dropped only if its key is known, never for its age, so what comes late for the
+    first time passes. A batch's keys are kept until the newest publish time of the batches that
+    followed is more than ``within`` past the newest one up to that batch; a message that comes again
+    after that is taken for new. A retry of a batch sees what its first try saw.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, within: str):
+        self.root = root.rstrip("/")
+        span = F.timestamp_micros(F.lit(0)) + F.lit(within).cast("interval")
+        self.micros = spark.range(1).select(F.unix_micros(span)).first()[0]
+        if self.micros is None:
+            raise ValueError(f"no time span: {within}")
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.root}/{kind}/batch_id={batch_id}"
+
+    def _marks(self, spark: SparkSession, batch_id: int) -> dict[int, int | None]:
+        """Newest publish time up to each earlier batch that is still kept: a row a batch."""
+        if not sinks.exists(spark, f"{self.root}/marks"):
+            return {}
+        marks = spark.read.schema("newest long, batch_id long").parquet(f"{self.root}/marks")
+        return {r.batch_id: r.newest for r in marks.filter(F.col("batch_id") < batch_id).collect()}
+
+    def _known(self, marks: dict[int, int | None]) -> list[int]:
+        newest = marks[max(marks)] if marks else None
+        return [b for b, m in marks.items() if newest is None or m is None or m >= newest - self.micros]
+
+    def first_time(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """One of each message that no earlier batch brought, with its key ``_message``."""
+        spark = batch.sparkSession
+        fresh = batch.withColumn("_message", windows.message_key()).dropDuplicates(["_message"])
+        paths = [self._folder("keys", b) for b in self._known(self._marks(spark, batch_id))]
+        if not paths:
+            return fresh
+        return fresh.join(spark.read.schema("_message string").parquet(*paths), "_message", "left_anti")
+
+    def remember(self, fresh: DataFrame, batch_id: int) -> None:
+        """Keep the keys of a batch once its sinks are written, and forget what is out of reach."""
+        spark = fresh.sparkSession
+        marks = self._marks(spark, batch_id)
+        newest = fresh.agg(F.max(F.unix_micros("publish_ts"))).first()[0]
+        seen = [t for t in (newest, marks[max(marks)] if marks else None) if t is not None]
+        fresh.select("_message").write.mode("overwrite").parquet(self._folder("keys", batch_id))
+        mark = spark.range(1).select(F.lit(max(seen, default=None)).cast("long").alias("newest"))
+        mark.write.mode("overwrite").parquet(self._folder("marks", batch_id))
+        for old in set(marks) - set(self._known(marks)):
+            for kind in ("marks", "keys"):
+                sinks.remove(spark, self._folder(kind, old))
+
+
 def start_pipeline(
     messages: DataFrame,
     root: str,
@@ -209,7 +262,8 @@ def start_pipeline(
     panes. Windows wait ``delay`` for late readings, and it must be given with them.
 
     With ``repeats_within``, a message that a broker delivers again within this time, by publish
-    time, is dropped before anything is written; the windows count a meter's sequence number once.
+    time, is dropped before anything is written (see ``Delivered``); one that comes late for the first
+    time is written like any other. The windows count a meter's sequence number once.
     """
     if window_seconds > 0 and delay is None:
         raise ValueError("windows need a delay")
@@ -218,9 +272,14 @@ def start_pipeline(
     to_table = table_writer(f"{root}/readings", checkpoint)
     to_panes = pane_writer(f"{root}/metrics", metrics_window_seconds)
 
+    delivered = None
+    if repeats_within is not None:
+        delivered = Delivered(messages.sparkSession, f"{checkpoint}/delivered", repeats_within)
+
     def write_all(batch: DataFrame, batch_id: int) -> None:
         seen = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(" ")
-        checked = ingest.validate(ingest.parse(batch), seen).persist()
+        fresh = batch if delivered is None else delivered.first_time(batch, batch_id)
+        checked = ingest.validate(ingest.parse(fresh), seen).persist()
         try:
             valid = ingest.enrich(ingest.successes(checked), seen)
             sinks.archive_batch(valid, f"{root}/raw", f"{name}-{batch_id}", archive_folders)
@@ -230,11 +289,12 @@ def start_pipeline(
                 payloads.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
             if metrics:
                 to_panes(valid, batch_id)
+            if delivered is not None:
+                delivered.remember(checked, batch_id)
         finally:
             checked.unpersist()
 
-    first = messages if repeats_within is None else windows.drop_redelivered(messages, repeats_within)
-    writer = first.writeStream.foreachBatch(write_all).option("checkpointLocation", f"{checkpoint}/sinks")
+    writer = messages.writeStream.foreachBatch(write_all).option("checkpointLocation", f"{checkpoint}/sinks")
     started = {"sinks": _run(writer, once, "30 seconds").start()}
     if window_seconds > 0:
         started["aggregates"] = start_minute_aggregates(

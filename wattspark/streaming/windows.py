@@ -85,15 +85,14 @@ def pole_gauges(readings: DataFrame, window_seconds: int = 60, *, delay: str) ->
     ).select("*", F.col("window.end").alias("end_time")).drop("window")
 
 
-def drop_redelivered(messages: DataFrame, delay: str) -> DataFrame:
-    """Keep one of the messages with equal body, attributes and publish time within the watermark."""
-    known = F.concat("data", F.encode(F.coalesce(F.to_json("attributes"), F.lit("")), "UTF-8"))
-    return (
-        messages.withColumn("_message", F.sha2(known, 256))
-        .withWatermark("publish_ts", delay)
-        .dropDuplicatesWithinWatermark(["_message", "publish_ts"])
-        .drop("_message")
+def message_key() -> Column:
+    """Hash of a message's body, attributes and publish time, each of which may be null; never null."""
+    parts = (
+        F.sha2("data", 256),
+        F.sha2(F.to_json(F.array_sort(F.map_entries("attributes"))), 256),
+        F.unix_micros("publish_ts").cast("string"),
     )
+    return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("-")) for p in parts]), 256)
 
 
 def drop_repeats(readings: DataFrame, delay: str) -> DataFrame:
