@@ -177,6 +177,42 @@ def test_messages_that_come_late_for_the_first_time_are_written(spark, tmp_path)
         pipeline.Delivered(spark, str(tmp_path / "d"), "some time")
 
 
+def test_windows_count_readings_without_or_with_restarted_numbers(spark, tmp_path):
+    root, sent = str(tmp_path / "lake"), datetime(2025, 12, 26, 12)
+    sinks.write_clustered(readings(spark, reading()).limit(0), f"{root}/readings")
+
+    def row(second, seq):
+        body = {"event_ts": f"2025-12-26T12:00:{second:02d}Z", "meter_id": "m1", "pole_id": "p", "voltage_v": 240.0}
+        body |= {"current_a": 1.0, "power_kw": 1.0} | ({} if seq is None else {"seq": seq})
+        return bytearray(json.dumps(body).encode()), {}, sent + timedelta(seconds=second)
+
+    first = [row(i, None) for i in range(4)] + [row(i, i) for i in (4, 5)]
+    second = [row(i, None) for i in range(2, 8)] + [row(6, 4), row(59, 9)]  # two come again, a number restarts
+    for batch in (first, second):
+        land(spark.createDataFrame(batch, ENVELOPE), tmp_path / "in")
+        started = pipeline.start_pipeline(
+            streams.message_stream(spark, str(tmp_path / "in")), root, str(tmp_path / "cp"),
+            window_seconds=10, delay="10 seconds", repeats_within="1 hour", once=True,
+        )
+        for q in started.values():
+            q.awaitTermination()
+    stored = tables.read_readings(spark, f"{root}/readings").filter("event_ts < '2025-12-26 12:00:10'").count()
+    assert stored == 11
+    assert spark.read.parquet(f"{root}/minute_agg").agg(F.sum("reading_count")).first()[0] == stored
+
+
+def test_readings_without_a_number_are_no_repeats(spark, tmp_path):
+    bare = [reading(i, seq=None)[:4] + (None,) + reading(i)[5:] for i in (1, 2, 2)]
+    numbered = [reading(1, seq=7), reading(1, seq=7), reading(3, seq=7)]
+    for part in (bare + numbered, bare + numbered[:1]):
+        land(readings(spark, *part), tmp_path / "in")
+    stream = streams.readings_stream(spark, str(tmp_path / "in"), 1)
+    run(windows.drop_repeats(stream, "10 minutes").writeStream, tmp_path / "out", tmp_path / "cp")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.filter("seq IS NULL").count() == 6 and got.filter("seq = 7").count() == 2
+    assert got.columns == readings(spark, *numbered).columns
+
+
 def test_a_repeated_batch_sees_the_messages_its_first_try_saw(spark, tmp_path):
     sent = datetime(2025, 12, 26, 12)
     batch = lambda *ids: spark.createDataFrame([(bytearray(b"%d" % i), {}, sent) for i in ids], ENVELOPE)

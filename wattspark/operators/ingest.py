@@ -251,8 +251,10 @@ def combine_errors(*branches: DataFrame) -> DataFrame:
     return combined
 
 
-def enrich(valid: DataFrame, ingest_ts: str | datetime | Column | None = None) -> DataFrame:
-    """Typed readings from valid messages.
+def enrich(
+    valid: DataFrame, ingest_ts: str | datetime | Column | None = None, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """Typed readings from valid messages, with the ``carried`` columns of the messages.
 
     The network profile comes from the message attributes only; missing quality
     flags become an empty list.
@@ -268,7 +270,7 @@ def enrich(valid: DataFrame, ingest_ts: str | datetime | Column | None = None) -
         "network_profile": F.try_element_at(F.col("attributes"), F.lit("network_profile")),
     }
     return valid.select(
-        *[columns.get(f.name, _number(f.name)).cast(f.dataType).alias(f.name) for f in READINGS]
+        *[columns.get(f.name, _number(f.name)).cast(f.dataType).alias(f.name) for f in READINGS], *carried
     )
 
 

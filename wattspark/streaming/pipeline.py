@@ -22,6 +22,12 @@ def valid_readings(messages: DataFrame) -> DataFrame:
     return ingest.enrich(ingest.parse_and_validate(messages)[0])
 
 
+def keyed_readings(messages: DataFrame) -> DataFrame:
+    """Valid readings with the key of the message that each came in."""
+    keyed = messages.withColumn(windows.MESSAGE, windows.message_key())
+    return ingest.enrich(ingest.parse_and_validate(keyed)[0], carried=(windows.MESSAGE,))
+
+
 def dead_letters(messages: DataFrame) -> DataFrame:
     return ingest.error_bytes(ingest.parse_and_validate(messages)[1])
 
@@ -219,13 +225,14 @@ class Delivered:
         return [b for b, m in marks.items() if newest is None or m is None or m >= newest - self.micros]
 
     def first_time(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        """One of each message that no earlier batch brought, with its key ``_message``."""
+        """One of each message that no earlier batch brought, with its key."""
         spark = batch.sparkSession
-        fresh = batch.withColumn("_message", windows.message_key()).dropDuplicates(["_message"])
+        fresh = batch.withColumn(windows.MESSAGE, windows.message_key()).dropDuplicates([windows.MESSAGE])
         paths = [self._folder("keys", b) for b in self._known(self._marks(spark, batch_id))]
         if not paths:
             return fresh
-        return fresh.join(spark.read.schema("_message string").parquet(*paths), "_message", "left_anti")
+        known = spark.read.schema(f"{windows.MESSAGE} string").parquet(*paths)
+        return fresh.join(known, windows.MESSAGE, "left_anti")
 
     def remember(self, fresh: DataFrame, batch_id: int) -> None:
         """Keep the keys of a batch once its sinks are written, and forget what is out of reach."""
@@ -233,7 +240,7 @@ class Delivered:
         marks = self._marks(spark, batch_id)
         newest = fresh.agg(F.max(F.unix_micros("publish_ts"))).first()[0]
         seen = [t for t in (newest, marks[max(marks)] if marks else None) if t is not None]
-        fresh.select("_message").write.mode("overwrite").parquet(self._folder("keys", batch_id))
+        fresh.select(windows.MESSAGE).write.mode("overwrite").parquet(self._folder("keys", batch_id))
         mark = spark.range(1).select(F.lit(max(seen, default=None)).cast("long").alias("newest"))
         mark.write.mode("overwrite").parquet(self._folder("marks", batch_id))
         for old in set(marks) - set(self._known(marks)):
@@ -263,7 +270,7 @@ def start_pipeline(
 
     With ``repeats_within``, a message that a broker delivers again within this time, by publish
     time, is dropped before anything is written (see ``Delivered``); one that comes late for the first
-    time is written like any other. The windows count a meter's sequence number once.
+    time is written like any other. The windows count a message once, too.
     """
     if window_seconds > 0 and delay is None:
         raise ValueError("windows need a delay")
@@ -298,7 +305,7 @@ def start_pipeline(
     started = {"sinks": _run(writer, once, "30 seconds").start()}
     if window_seconds > 0:
         started["aggregates"] = start_minute_aggregates(
-            valid_readings(messages),
+            valid_readings(messages) if repeats_within is None else keyed_readings(messages),
             f"{root}/minute_agg",
             f"{checkpoint}/aggregates",
             window_seconds,

@@ -17,12 +17,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wattspark.functions.quality import SAG_V, SWELL_V, is_sag
 from wattspark.operators.gauges import pole_key
 
+MESSAGE = "_message"  # key of the message that a row came in
+
 
 def _per_meter(readings: DataFrame, window_seconds: int, delay: str, once_each: bool) -> DataFrame:
     volts = F.col("voltage_v")
-    marked = readings.withWatermark("event_ts", delay)
-    if once_each:
-        marked = marked.dropDuplicatesWithinWatermark(["meter_id", "seq"])
+    marked = drop_repeats(readings, delay) if once_each else readings.withWatermark("event_ts", delay)
     return (
         marked.groupBy(
             F.window("event_ts", f"{window_seconds} seconds"), pole_key(), F.col("meter_id")
@@ -96,7 +96,15 @@ def message_key() -> Column:
 
 
 def drop_repeats(readings: DataFrame, delay: str) -> DataFrame:
-    """Keep one reading per meter and sequence number within the watermark."""
-    return readings.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(
-        ["meter_id", "seq"]
-    )
+    """Keep one of the readings that came repeatedly, within the watermark.
+
+    Repeats are of the same message where the rows carry its key (``MESSAGE``), else of the same meter,
+    sequence number and time: a meter may start its numbers again. Without the key, readings that
+    have no sequence number cannot be told from repeats, and all of them stay.
+    """
+    marked = readings.withWatermark("event_ts", delay)
+    if MESSAGE in readings.columns:
+        return marked.dropDuplicatesWithinWatermark([MESSAGE])
+    number = F.coalesce(F.col("seq").cast("string"), F.expr("uuid()"))
+    numbered = marked.withColumn("_number", number)
+    return numbered.dropDuplicatesWithinWatermark(["meter_id", "_number", "event_ts"]).drop("_number")
