@@ -66,8 +66,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources flattened until the smallest is read twice as often as the largest; the budget is the
-    least under which each document comes at least once."""
-    return mixing.mix(docs, max_repeats=MAX_REPEATS, seed=11).select(*map(column, docs.columns))
+    least under which each document comes at least once. Columns with the names of those that mixing
+    adds keep their values."""
+    read = ("doc_id", "text", "source")
+    names = {c: c if c in read else f"_{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*(column(c).alias(n) for c, n in names.items()))
+    rows = mixing.mix(named, max_repeats=MAX_REPEATS, seed=11)
+    return rows.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -200,6 +200,15 @@ def test_every_row_is_searched_for_every_item(spark, tmp_path):
     assert sorted(r.text for r in clean.collect()) == sorted(given[i][1] for i in (1, 3, 4, 5))
 
 
+def test_mixing_keeps_columns_of_its_own_names(spark):
+    docs = data.frame(spark, ["one two three", "four five", "six"]).selectExpr(
+        "*", "concat('n', doc_id) AS n_tokens", "doc_id * 10 AS mix_place"
+    )
+    out = corpus_pipeline.mixed(spark, docs, "")
+    assert out.dtypes == docs.dtypes
+    assert {(r.doc_id, r.n_tokens, r.mix_place, r.mix_epoch) for r in out.collect()} == {(i, f"n{i}", 10 * i, "w") for i in range(3)}
+
+
 def test_cleaned_text_keeps_order_and_repeats(spark):
     text = "Kept prose ends here.\n\nHome | News | About\nKept prose ends here.\nHome | News | About\n  "
     row = quality.clean(data.frame(spark, [text])).first()
