@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattspark.llm import (
     decontaminate,
     langid,
+    merkle,
     mixing,
     quality,
     sharding,
@@ -286,3 +287,29 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_place").alias("place"), "n_tokens"
     )
+
+
+# 12 --------------------------------------------------------------------------------------------
+
+
+@query("op12_merkle_manifest")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, checked with the document as it is or, where 5 divides the checksum of
+    the id, with its A-Z made small; a row without an id is left as it is."""
+    docs = table(spark, sf_dir, "documents")
+    values = ("doc_id", "source", "lang", "n_chars", "text")
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.col("doc_id").isNotNull() & (remainder(5) == 0)
+    read = merkle.leaf(*(F.when(tampered, small).otherwise(F.col(v)) if v == "text" else F.col(v) for v in values))
+    carried = F.struct(F.col("doc_id"), F.unhex(read).alias("read"))
+    found = merkle.manifest(docs, values, carried=carried).proofs()
+    lefts, rights = F.col("lefts"), F.col("rights")
+    checked = found.select(
+        F.col("carried.doc_id").cast("long").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(lefts, rights).alias("proof_sha256"),
+        merkle.folded(F.lower(F.hex("carried.read")), lefts, rights).alias("folded_root"),
+    )
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
