@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattspark.llm.common import column, written
 
@@ -232,7 +232,7 @@ class Manifest:
         tip = spark.range(1).select(
             F.lit(b"").alias("tree"), F.lit(None).cast("binary").alias("subroot"), nothing.alias("lefts"), nothing.alias("rights")
         )
-        above = self.top.paths(tip)
+        above = self.top.paths(written(tip, "tip"))
         tops = above.select(F.col("carried").alias("tree"), F.col("digest").alias("subroot"), "lefts", "rights")
         found = self.sources.paths(written(tops, "tops"))
         return found.select(

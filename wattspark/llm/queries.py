@@ -16,6 +16,7 @@ from wattspark.llm import (
     simhash,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
     token_rollup,
     toxicity,
 )
@@ -313,3 +314,15 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.folded(F.lower(F.hex("carried.read")), lefts, rights).alias("folded_root"),
     )
     return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# 13 --------------------------------------------------------------------------------------------
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op13_token_alignment")
+def token_alignment_counts(spark: SparkSession, sf_dir: str, folder: str = TOKENIZERS) -> DataFrame:
+    """``folder`` holds the vocabularies, where the driver can read them."""
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.aligned(docs, token_alignment.Tokenizers.from_folder(folder))
