@@ -38,7 +38,7 @@ from wattspark.llm.token_rollup import PATTERN
 
 RADIX = 32
 FAN_IN = 64
-CHUNK = 24 << 20  # bytes of text whose records are sorted at once
+CHUNK = 8 << 20  # bytes of text whose records are sorted at once
 BLOCK = 1 << 14  # records of a run in memory during a merge
 SPACE = "▁"  # fixed value: how the second vocabulary writes a blank
 
