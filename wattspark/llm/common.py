@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -44,6 +46,21 @@ def unused(name: str, columns: Iterable[str]) -> str:
     return name
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``size`` bytes of a column, at least a row each; nulls have none."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            held.append(batch.slice(at, 500))
+            total += pc.sum(pc.binary_length(held[-1].column(column))).as_py() or 0
+            if total >= size:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def bytes_of(text: Column) -> Column:
     """UTF-8 bytes of a text, empty for null."""
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattspark.llm import (
     decontaminate,
     langid,
+    maxent,
     merkle,
     mixing,
     quality,
@@ -290,6 +291,15 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# 11 --------------------------------------------------------------------------------------------
+
+
+@query("op11_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from the documents whose remainder is not 2."""
+    return maxent.scored(table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
 # 12 --------------------------------------------------------------------------------------------
 
 

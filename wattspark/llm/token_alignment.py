@@ -33,7 +33,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wattspark.llm.common import written
+from wattspark.llm.common import gathered, written
 from wattspark.llm.token_rollup import PATTERN
 
 RADIX = 32
@@ -277,22 +277,9 @@ def _spill(rows: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(tokenizers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                held.append(batch.slice(at, 1000))
-                size += pc.sum(pc.binary_length(held[-1].column(1))).as_py() or 0
-                if size >= CHUNK:
-                    yield from _of(held, chunk)
-                    chunk, held, size = chunk + 1, [], 0
-        if held:
-            yield from _of(held, chunk)
-
-    def _of(held, chunk):
-        ids, texts = (pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
-        return _spilled(ids, texts, chunk, sent.value)
+        first = TaskContext.get().partitionId() << 32
+        for i, chunk in enumerate(gathered(batches, "text", CHUNK)):
+            yield from _spilled(chunk.column("doc_id"), chunk.column("text"), first + i, sent.value)
 
     return rows.mapInArrow(run, _SPILLED)
 
