@@ -51,8 +51,8 @@ def gathered(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Itera
     held: list[pa.RecordBatch] = []
     total = 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            held.append(batch.slice(at, 500))
+        for at in range(0, batch.num_rows, 50):
+            held.append(batch.slice(at, 50))
             total += pc.sum(pc.binary_length(held[-1].column(column))).as_py() or 0
             if total >= size:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

@@ -37,6 +37,7 @@ from wattspark.llm.common import gathered, written
 
 END = " "  # stands for the end of a text among the words, none of which has a blank
 FLOOR = -30.0  # least logit below the largest: no probability is zero, and none so small that it slows arithmetic
+SLICE = 1 << 20  # bytes of token numbers whose contexts are in memory
 CHUNK = 8 << 20  # bytes of text whose words are counted and numbered together
 
 
@@ -403,7 +404,7 @@ def _neighbours(train: DataFrame, inside: int, k: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(inside * k)
-        for batch in batches:
+        for batch in gathered(batches, "ids", SLICE):
             ids, starts = _sequences(batch)
             for d in (1, 2):
                 left = before(ids, starts, d)
@@ -429,7 +430,7 @@ def fit(train: DataFrame, words: Words, s: Settings = Settings()) -> Model:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, own, tokens = sent.value, None, 0
-            for batch in batches:
+            for batch in gathered(batches, "ids", SLICE):
                 ids, starts = _sequences(batch)
                 if len(ids):
                     own = own or start.copy()
@@ -471,7 +472,7 @@ def scored(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for batch in batches:
+        for batch in gathered(batches, "ids", SLICE):
             ids, starts = _sequences(batch)
             logs = m.log_probabilities(ids, starts) / np.log(10) - outside * (ids >= m.inside)
             sums = np.add.reduceat(logs, starts) if len(starts) else np.empty(0)
