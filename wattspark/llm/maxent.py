@@ -45,7 +45,7 @@ CHUNK = 8 << 20  # bytes of text whose words are counted and numbered together
 class Settings:
     frequent: int = 1 << 19  # words whose counts are broadcast, at most
     classes: int = 32  # a power of two
-    width: int = 128  # words in a class, at most
+    width: int = 64  # words in a class, at most
     neighbours: int = 64  # most frequent words that are counted before a word to make the classes
     bits: int = 13
     rounds: int = 4
@@ -274,9 +274,9 @@ class Model:
 
     def contexts(self, ids: np.ndarray, starts: np.ndarray):
         """Rows of the class contexts of every token, and the two words before it."""
-        a, b, c = (before(ids, starts, k) for k in (1, 2, 3))
+        a, b = before(ids, starts, 1), before(ids, starts, 2)
         bits = self.s.bits
-        return [_hashed(bits, 1, a), _hashed(bits, 2, a, b), _hashed(bits, 3, b), _hashed(bits, 4, c)], (a, b)
+        return [_hashed(bits, 1, a), _hashed(bits, 2, a, b), _hashed(bits, 3, b)], (a, b)
 
     def places(self, ids: np.ndarray) -> np.ndarray:
         """Class of each token; the last class is of all words without one."""
