@@ -2,7 +2,7 @@
 
 A word's probability is that of its class given the words before it, times that of the word within
 its class, given the same. Both are softmaxes over sums of weights: of the word before, of the two
-words before together (n-grams), and of the second and third word before by themselves (skips). Each
+words before together (n-grams), and of the second word before by itself (a skip). Each
 of these contexts is hashed to one of ``2 ** bits`` rows of weights.
 
 1. Words are counted over all training documents. Counts are kept in a table; those of frequent words,
