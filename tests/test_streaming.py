@@ -278,7 +278,7 @@ def test_appends_keep_what_is_there_and_can_be_repeated(spark, tmp_path):
     sinks.write_clustered(readings(spark, *[reading(i, seq=i) for i in range(50)]), path)
     more = readings(spark, *[reading(i, seq=i) for i in range(50, 80)])
     for _ in range(2):
-        sinks.append_batch(more, path, "stream-7")
+        sinks.append_batch(more, path, "stream", 7)
     got = tables.read_readings(spark, path)
     assert sorted(r.seq for r in got.collect()) == list(range(80))
 
@@ -286,8 +286,8 @@ def test_appends_keep_what_is_there_and_can_be_repeated(spark, tmp_path):
 def test_a_table_can_replace_itself(spark, tmp_path):
     path = str(tmp_path / "r")
     sinks.replace_table(spark.range(10), path)
-    sinks.replace_table(spark.read.parquet(path).where("id > 5"), path)
-    assert spark.read.parquet(path).count() == 4
+    sinks.replace_table(spark.read.parquet(sinks.current(spark, path)).where("id > 5"), path)
+    assert spark.read.parquet(sinks.current(spark, path)).count() == 4
 
 
 def test_fan_out_passes_the_batch_unchanged(spark, tmp_path):
@@ -357,16 +357,89 @@ def test_merged_events_stay_single(spark, tmp_path):
     assert sorted((r.event_id, r.v) for r in got) == [("e0", 1), ("e1", 2), ("e2", 1)]
 
 
-def test_compaction_keeps_rows_and_heals_a_cut_swap(spark, tmp_path):
+def test_compaction_keeps_rows_and_finishes_a_cut_job(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     df = readings(spark, *[reading(86_400 * (i % 3), seq=i) for i in range(30)])
     for n in range(3):
-        sinks.append_batch(df.filter(f"seq % 3 = {n} OR seq % 2 = {n}"), path, f"s-{n}")
-    before = spark.read.parquet(path).count()
+        sinks.append_batch(df.filter(f"seq % 3 = {n} OR seq % 2 = {n}"), path, "s", n)
+    before = sorted(tables.read_readings(spark, path).collect())
     first = sorted(f.name for f in (tmp_path / "t").iterdir() if f.name.startswith("event_date="))[0]
-    (tmp_path / "t" / "_aside").mkdir()
-    (tmp_path / "t" / first).rename(tmp_path / "t" / "_aside" / first)
-    assert spark.read.parquet(path).count() < before
-    sinks.compact(spark, path, [first.split("=")[1]])
-    assert spark.read.parquet(path).count() == before
-    assert len(list((tmp_path / "t" / first).glob("*.parquet"))) == 1
+    real = sinks._replacing
+
+    def cut(*_):
+        raise OSError("cut short")
+
+    monkeypatch.setattr(sinks, "_replacing", cut)
+    with pytest.raises(OSError):  # after the date's folder went
+        sinks.compact(spark, path, [first.split("=")[1]])
+    assert tables.read_readings(spark, path).count() < len(before)
+    monkeypatch.setattr(sinks, "_replacing", real)
+    for _ in range(2):
+        sinks.compact(spark, path, [first.split("=")[1]])
+        assert sorted(tables.read_readings(spark, path).collect()) == before
+    assert len(list((tmp_path / "t" / first).glob("stream=*/batch=*/*.parquet"))) == 1
+
+
+def test_a_write_that_dies_leaves_the_table_and_a_repeat_completes_it(spark, tmp_path):
+    """A task fails; and a commit that moved only some of the batch's dates."""
+    path = str(tmp_path / "t")
+    sinks.write_clustered(readings(spark, *[reading(86_400 * d, seq=d) for d in range(4)]), path)
+    more = readings(spark, *[reading(86_400 * d, seq=100 + d) for d in range(4)])
+    broken = more.withColumn("meter_id", F.when(F.col("seq") < 103, F.col("meter_id")).otherwise(F.raise_error(F.lit("died"))))
+    with pytest.raises(Exception, match="died"):
+        sinks.append_batch(broken, path, "s", 0)
+    assert tables.read_readings(spark, path).count() == 4
+    sinks.append_batch(more, path, "s", 0)
+    moved = sorted((tmp_path / "t").glob("event_date=*/stream=s/batch=0"))
+    assert len(moved) == 4
+    for folder in moved[2:]:
+        sinks.remove(spark, str(folder))
+    sinks.append_batch(more, path, "s", 0)
+    assert sorted(r.seq for r in tables.read_readings(spark, path).collect()) == [0, 1, 2, 3, 100, 101, 102, 103]
+
+
+def test_a_batch_of_many_folders(spark, tmp_path):
+    data = [reading(60 * i, seq=i, pole_id=f"pole_{i % 7}") for i in range(1500)]
+    for _ in range(2):
+        sinks.archive_batch(readings(spark, *data), str(tmp_path / "raw"), "s", 3, files_per_folder=1)
+    assert sorted(r.seq for r in tables.read_archive(spark, str(tmp_path / "raw")).collect()) == list(range(1500))
+    assert len(list((tmp_path / "raw").glob("pole_id=*/dt=*/hr=*/min=*/stream=s/batch=3"))) == 1500
+
+
+def test_rows_without_a_time_are_merged_like_others(spark, tmp_path):
+    path = str(tmp_path / "events")
+    make = lambda *r: spark.createDataFrame(r, "event_id string, meter_id string, pole_id string, event_start timestamp, v int")
+    at = datetime(2025, 12, 26, 10)
+    sinks.merge_rows(make(("e1", "m", "p", None, 1), ("e2", "m", "p", None, 1), ("e4", "m", "p", at, 1)), path)
+    sinks.merge_rows(make(("e3", "m", "p", None, 1), ("e2", "m", "p", None, 2)), path)
+    got = spark.read.parquet(path).collect()
+    assert sorted((r.event_id, r.v) for r in got) == [("e1", 1), ("e2", 2), ("e3", 1), ("e4", 1)]
+
+
+def test_retention_of_tables_and_archive_with_rows_without_a_time(spark, tmp_path):
+    table, raw = str(tmp_path / "t"), str(tmp_path / "raw")
+    undated = readings(spark, reading(0, seq=99)).withColumn("event_ts", F.lit(None).cast("timestamp"))
+    data = readings(spark, *[reading(86_400 * d, seq=d, pole_id=f"p{d % 2}") for d in range(5)]).unionByName(undated)
+    sinks.write_clustered(data, table)
+    sinks.write_archive(data, raw)
+    for path, column, read in ((table, "event_date", tables.read_readings), (raw, "dt", tables.read_archive)):
+        assert sinks.drop_expired(spark, path, "2025-12-30", 2, column) == ["2025-12-26", "2025-12-27"]
+        assert sorted(r.seq for r in read(spark, path).collect()) == [2, 3, 4, 99]  # written today
+        assert sinks.drop_expired(spark, path, "2999-01-01", 2, column) == ["2025-12-28", "2025-12-29", "2025-12-30"]
+        assert not list((tmp_path / path.split("/")[-1]).glob("**/*.parquet")) and not list((tmp_path / path.split("/")[-1]).glob("**/*.json*"))
+    assert sinks.drop_expired(spark, str(tmp_path / "empty"), "2025-12-30", 2) == []
+
+
+def test_readers_find_a_version_while_the_next_is_written(spark, tmp_path):
+    path = str(tmp_path / "r")
+    with pytest.raises(FileNotFoundError):
+        sinks.current(spark, path)
+    for n in (1, 2, 3):
+        sinks.replace_table(spark.range(n), path)
+        assert spark.read.parquet(sinks.current(spark, path)).count() == n
+    with pytest.raises(Exception, match="died"):
+        sinks.replace_table(spark.range(4).select(F.raise_error(F.lit("died")).alias("id")), path)
+    assert spark.read.parquet(sinks.current(spark, path)).count() == 3
+    assert sorted(f.name for f in (tmp_path / "r").glob("version=*")) == ["version=2", "version=3", "version=4"]
+    sinks.replace_table(spark.range(5), path)
+    assert spark.read.parquet(sinks.current(spark, path)).count() == 5

@@ -177,7 +177,7 @@ def window_stats_stream(spark, sf_dir):
         readings(spark, sf_dir),
         lambda rows: pipeline.start_minute_aggregates(rows, path, checkpoint, once=True, delay=LATEST),
     )
-    return spark.read.parquet(path).drop("event_date")
+    return tables.read_table(spark, path)
 
 
 SERIES = (

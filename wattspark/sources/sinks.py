@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from wattspark.functions.columns import day
 
@@ -13,6 +14,9 @@ from wattspark.functions.columns import day
 RETENTION_DAYS = {"readings": 90, "minute_aggregates": 30, "raw_archive": 30, "der": 5 * 365}
 CLUSTERING = {"event_ts": ("pole_id", "meter_id"), "window_start": ("pole_id",), "event_start": ("pole_id", "meter_id")}
 
+LAYOUT = ("event_date", "stream", "batch")  # folders of a table that streams append to
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a null
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -33,89 +37,66 @@ def require_table(spark: SparkSession, path: str) -> None:
 
 
 def write_clustered(
-    df: DataFrame, path: str, ts: str = "event_ts", mode: str = "append"
+    df: DataFrame, path: str, ts: str = "event_ts", stream: str = "load", batch: str | int | None = None
 ) -> None:
-    """Write a table partitioned by date and clustered within.
+    """Add rows to a table in folders of date, stream and batch, clustered within.
+
+    What the same batch of the stream wrote before to the dates of ``df`` is replaced, by the commit of
+    Spark's writer: files are written aside, and a job that fails leaves the table as it was. Without
+    a ``batch`` the rows are one of their own. Writers of different streams and batches never touch the same
+    folder, so a table may have several, and dates may expire meanwhile.
 
     Rows are range-partitioned by date, cluster keys and time. The ranges are
     sampled from the data, so a busy day or a busy meter gets several files and
     each file holds a narrow span of keys, which Parquet statistics can skip.
     """
     keys = CLUSTERING[ts]
-    dated = df.withColumn("event_date", F.to_date(ts))
-    (
-        dated.repartitionByRange("event_date", *keys, ts)
-        .sortWithinPartitions("event_date", *keys, ts)
-        .write.mode(mode)
-        .partitionBy("event_date")
-        .parquet(path)
+    named = df.withColumns(
+        {"event_date": F.to_date(ts), "stream": F.lit(stream), "batch": F.lit(str(uuid.uuid4().hex if batch is None else batch))}
     )
+    ranged = named.repartitionByRange("event_date", *keys, ts).sortWithinPartitions("event_date", *keys, ts)
+    _replacing(ranged, LAYOUT).parquet(path)
 
 
-def append_batch(df: DataFrame, path: str, batch: str, ts: str = "event_ts") -> None:
-    """Append one micro-batch to a table, whatever it holds already; safe to repeat.
+def _replacing(df: DataFrame, folders: tuple[str, ...]) -> DataFrameWriter:
+    """Writer that replaces the folders of which ``df`` has rows, and no others."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
 
-    The rows are written beside the table, clustered like the rest, and their files are moved in
-    under names that start with the batch. A repeat removes the files of its first try. The table
-    has no sink log, so other writers and retention do not disturb it. Only file names of one batch
-    are handled here.
-    """
-    staged = f"{path}/_staged/{batch}"
-    write_clustered(df, staged, ts, "overwrite")
-    _move_in(df.sparkSession, staged, path, 1, batch)
+
+def append_batch(df: DataFrame, path: str, stream: str, batch: str | int, ts: str = "event_ts") -> None:
+    """Append one micro-batch to a table, whatever it holds already; safe to repeat."""
+    write_clustered(df, path, ts, stream, batch)
 
 
 def archive_batch(
     readings: DataFrame,
     path: str,
-    batch: str,
+    stream: str,
+    batch: str | int,
     folders: tuple[str, ...] = ("pole_id", "dt", "hr", "min"),
     files_per_folder: int = 4,
 ) -> None:
-    """One micro-batch into the raw archive; safe to repeat. See ``append_batch``.
+    """One micro-batch into the raw archive, in folders of its own below; safe to repeat.
 
     A folder's rows go to ``files_per_folder`` tasks by meter, so a pole that dominates is spread.
     """
-    staged = f"{path}/_staged/{batch}"
     unused = [c for c in ARCHIVE_FOLDERS[1:] if c not in folders]
     spread = F.pmod(F.hash("meter_id"), F.lit(files_per_folder))
-    (
-        archive_columns(readings)
-        .drop(*unused)
-        .repartition(*[F.col(c) for c in folders], spread)
-        .write.mode("overwrite")
-        .options(**ARCHIVE_OPTIONS)
-        .partitionBy(*folders)
-        .json(staged)
-    )
-    _move_in(readings.sparkSession, staged, path, len(folders), batch)
-
-
-def _move_in(spark: SparkSession, staged: str, path: str, depth: int, batch: str) -> None:
-    """Move a batch's files, ``depth`` folders down, from beside the table into it."""
-    files, down = _files(spark, path), "/*=*" * depth
-    for old in files.globStatus(_path(spark, f"{path}{down}/{batch}-*")) or []:
-        files.delete(old.getPath(), False)
-    root = files.makeQualified(_path(spark, staged)).toString()
-    for status in files.globStatus(_path(spark, f"{staged}{down}/part-*")) or []:
-        source = status.getPath()
-        folder = path + source.getParent().toString()[len(root) :]
-        files.mkdirs(_path(spark, folder))
-        target = _path(spark, f"{folder}/{batch}-{source.getName()}")
-        if not files.rename(source, target):
-            raise OSError(f"could not move {source} to {target}")
-    files.delete(_path(spark, staged), True)
+    named = archive_columns(readings).drop(*unused).withColumns({"stream": F.lit(stream), "batch": F.lit(str(batch))})
+    dealt = named.repartition(*[F.col(c) for c in folders], spread)
+    _replacing(dealt, (*folders, "stream", "batch")).options(**ARCHIVE_OPTIONS).json(path)
 
 
 def merge_rows(df: DataFrame, path: str, keys: tuple[str, ...] = ("event_id",), ts: str = "event_start") -> None:
-    """Add rows to a table partitioned by date; a row whose key is there already replaces it.
+    """Add rows to a table in folders of dates; a row whose key is there already replaces it.
 
     Writing the same rows again leaves the table as it was. ``keys`` decide the time, so a key stays
-    within its date, and only the dates of ``df`` are read and rewritten. Rows of equal key in ``df``
-    become one. The table has one writer at a time; see ``compact`` for what a failed job leaves.
+    within its date, and only the dates of ``df`` are read and replaced; rows without a time are a date
+    of their own. Rows of equal key in ``df`` become one. The table has one writer at a time; a job that
+    was cut short while dates were being replaced is finished by the next (see ``_pending``).
     """
     spark = df.sparkSession
-    _restore(spark, path)
+    _finish_pending(spark, path)
     fresh = f"{path}/_fresh/{uuid.uuid4().hex}"
     df.withColumn("event_date", F.to_date(ts)).dropDuplicates(list(keys)).write.parquet(fresh)
     rows = spark.read.parquet(fresh)
@@ -123,22 +104,59 @@ def merge_rows(df: DataFrame, path: str, keys: tuple[str, ...] = ("event_id",),
         # no more rows than there are dates
         dates = [r[0] for r in rows.select("event_date").distinct().collect()]
         same = [F.col(f"_there.{k}").eqNullSafe(F.col(f"_new.{k}")) for k in keys]
-        there = spark.read.parquet(path).filter(F.col("event_date").isin(dates)).alias("_there")
+        of_dates = F.col("event_date").isin([d for d in dates if d is not None])
+        if None in dates:
+            of_dates = of_dates | F.col("event_date").isNull()
+        there = spark.read.parquet(path).filter(of_dates).alias("_there")
         kept = there.join(rows.alias("_new"), same, "left_anti")
         rows = rows.unionByName(kept.select(*rows.columns))
-    _rewrite(rows, path, ts)
+    _pending(rows, path, ts, ("event_date",), [])
     remove(spark, fresh)
 
 
 def compact(spark: SparkSession, path: str, dates: list[str | date], ts: str = "event_ts") -> None:
     """Rewrite the given dates of a table, clustered, in as few files as their size asks for.
 
-    For dates that no stream writes to any more. The new files are written beside the table and each
-    date's folder is swapped in; a date whose swap was cut short is put back by the next call.
+    For dates that no stream writes to any more. Their batches become one. While their folders are replaced,
+    readers do not find them all; a job that is cut short is finished by the next call.
     """
-    _restore(spark, path)
+    _finish_pending(spark, path)
     days = [date.fromisoformat(str(d)) for d in dates]
-    _rewrite(spark.read.parquet(path).filter(F.col("event_date").isin(days)), path, ts)
+    folders = [f"event_date={d}" for d in days if exists(spark, f"{path}/event_date={d}")]
+    if not folders:
+        return
+    rows = spark.read.parquet(path).filter(F.col("event_date").isin(days))
+    named = rows.withColumns({"stream": F.lit("compacted"), "batch": F.lit(uuid.uuid4().hex)})
+    _pending(named, path, ts, LAYOUT, folders)
+
+
+def _pending(rows: DataFrame, path: str, ts: str, layout: tuple[str, ...], folders: list[str]) -> None:
+    """Replace folders of a table by rows that may come from it.
+
+    The rows are first written whole below ``_pending``, with a note of what is to be done; only then the
+    ``folders`` that end are deleted and the rows written into the table, which can be repeated.
+    """
+    spark, keys = rows.sparkSession, CLUSTERING[ts]
+    ranged = rows.repartitionByRange("event_date", *keys, ts).sortWithinPartitions("event_date", *keys, ts)
+    ranged.write.mode("overwrite").parquet(f"{path}/_pending/rows")
+    note = json.dumps({"layout": layout, "folders": folders, "order": [*keys, ts]})
+    out = _files(spark, path).create(_path(spark, f"{path}/_pending/note"), True)
+    out.write(bytearray(note.encode()))
+    out.close()
+    _finish_pending(spark, path)
+
+
+def _finish_pending(spark: SparkSession, path: str) -> None:
+    if not exists(spark, f"{path}/_pending/note"):
+        return
+    note = json.loads(spark.read.text(f"{path}/_pending/note", wholetext=True).first()[0])
+    for folder in note["folders"]:
+        remove(spark, f"{path}/{folder}")
+    rows = spark.read.parquet(f"{path}/_pending/rows")
+    ranged = rows.repartitionByRange("event_date", *note["order"]).sortWithinPartitions("event_date", *note["order"])
+    _replacing(ranged, tuple(note["layout"])).parquet(path)
+    remove(spark, f"{path}/_pending/note")
+    remove(spark, f"{path}/_pending")
 
 
 def _date_folders(spark: SparkSession, path: str) -> list[str]:
@@ -148,47 +166,36 @@ def _date_folders(spark: SparkSession, path: str) -> list[str]:
     return [n for n in names if n.startswith("event_date=")]
 
 
-def _rewrite(rows: DataFrame, path: str, ts: str) -> None:
-    """Write rows beside the table and swap in the folders of their dates."""
-    spark, staged = rows.sparkSession, f"{path}/_staged/{uuid.uuid4().hex}"
-    files = _files(spark, path)
-    write_clustered(rows, staged, ts, "overwrite")
-    files.mkdirs(_path(spark, f"{path}/_aside"))
-    for name in _date_folders(spark, staged):
-        old, aside = _path(spark, f"{path}/{name}"), _path(spark, f"{path}/_aside/{name}")
-        if files.exists(old) and not files.rename(old, aside):
-            raise OSError(f"could not set aside {old}")
-        if not files.rename(_path(spark, f"{staged}/{name}"), old):
-            raise OSError(f"could not move in {old}")
-        files.delete(aside, True)
-    files.delete(_path(spark, staged), True)
-
-
-def _restore(spark: SparkSession, path: str) -> None:
-    """Put back the dates that a job set aside and did not replace."""
-    files = _files(spark, path)
-    for name in _date_folders(spark, f"{path}/_aside"):
-        target, aside = _path(spark, f"{path}/{name}"), _path(spark, f"{path}/_aside/{name}")
-        if files.exists(target):
-            files.delete(aside, True)
-        elif not files.rename(aside, target):
-            raise OSError(f"could not put back {target}")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a replaced table that are complete, the oldest first."""
+    notes = _files(spark, path).globStatus(_path(spark, f"{path}/_complete/*")) or []
+    return sorted(int(n.getPath().getName()) for n in notes)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Folder of the newest complete version of a replaced table."""
+    found = _versions(spark, path)
+    if not found:
+        raise FileNotFoundError(f"no complete version of {path}")
+    return f"{path}/version={found[-1]}"
 
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Create the table or replace its contents.
 
-    The new contents are written beside the old and swapped in, so a job that fails leaves the
-    table as it was, and the rows may come from the table itself.
+    Each call writes a version beside the others, and one small file, created last, makes it the current
+    one: a reader finds either the old rows or the new, a job that fails leaves the old, and the rows
+    may come from the table itself. The version before stays for readers that have begun. The table has
+    one writer at a time; it is read by ``current``.
     """
     spark = df.sparkSession
-    files, beside = _files(spark, path), f"{path.rstrip('/')}_{uuid.uuid4().hex}"
-    df.write.parquet(f"{beside}_new")
-    if exists(spark, path) and not files.rename(_path(spark, path), _path(spark, f"{beside}_old")):
-        raise OSError(f"could not set aside {path}")
-    if not files.rename(_path(spark, f"{beside}_new"), _path(spark, path)):
-        raise OSError(f"could not move the new contents to {path}")
-    files.delete(_path(spark, f"{beside}_old"), True)
+    files, there = _files(spark, path), _versions(spark, path)
+    version = there[-1] + 1 if there else 1
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    files.create(_path(spark, f"{path}/_complete/{version}"), True).close()
+    for old in there[:-1]:
+        remove(spark, f"{path}/_complete/{old}")
+        remove(spark, f"{path}/version={old}")
 
 
 def replace_view(df: DataFrame, name: str) -> None:
@@ -205,18 +212,37 @@ def drop_expired(
 ) -> list[str]:
     """Delete the folders of whole expired dates; returns the dates dropped.
 
-    Only folder names are looked at. Their number is that of the dates kept.
+    The date's folder may be below others, as ``dt`` is below the pole in the raw archive; only folder
+    names are looked at. Rows without a time are in no date; their batches expire by when they were written.
     """
-    first_kept = datetime.strptime(str(as_of), "%Y-%m-%d").date() - timedelta(days=days)
-    files, dropped = _files(spark, path), []
-    for status in files.listStatus(_path(spark, path)):
-        name = status.getPath().getName()
-        if name.startswith(f"{column}=") and date.fromisoformat(name.split("=", 1)[1]) < first_kept:
+    first_kept = datetime.strptime(str(as_of), "%Y-%m-%d").replace(tzinfo=timezone.utc) - timedelta(days=days)
+    files, dropped, above = _files(spark, path), set(), path
+    while not (found := files.globStatus(_path(spark, f"{above}/{column}=*")) or []):
+        above += "/*=*"
+        if not files.globStatus(_path(spark, above)):
+            return []
+    for status in found:
+        value = status.getPath().getName().split("=", 1)[1]
+        if value == NO_DATE:
+            _drop_older(spark, status.getPath().toString(), first_kept)
+        elif value < first_kept.date().isoformat():
             files.delete(status.getPath(), True)
-            dropped.append(name.split("=", 1)[1])
+            dropped.add(value)
     return sorted(dropped)
 
 
+def _drop_older(spark: SparkSession, folder: str, time: datetime) -> None:
+    """Delete the batches below a folder whose files were all written before ``time``."""
+    files, batches = _files(spark, folder), folder
+    while not (found := files.globStatus(_path(spark, f"{batches}/batch=*")) or []):
+        batches += "/*=*"
+        if not files.globStatus(_path(spark, batches)):
+            return
+    for status in found:
+        if status.getModificationTime() < time.timestamp() * 1000:
+            files.delete(status.getPath(), True)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     _files(spark, path).delete(_path(spark, path), True)
 
@@ -242,20 +268,6 @@ ARCHIVE_OPTIONS = {
 }
 
 
-def write_archive(
-    readings: DataFrame,
-    path: str,
-    mode: str = "append",
-    folders: tuple[str, ...] = ARCHIVE_FOLDERS,
-) -> None:
+def write_archive(readings: DataFrame, path: str, folders: tuple[str, ...] = ARCHIVE_FOLDERS) -> None:
     """Compressed JSON lines under ``pole_id=/dt=/hr=/min=``, or under fewer of these."""
-    unused = [c for c in ARCHIVE_FOLDERS[1:] if c not in folders]
-    (
-        archive_columns(readings)
-        .drop(*unused)
-        .repartitionByRange(*folders, "event_ts")
-        .write.mode(mode)
-        .options(**ARCHIVE_OPTIONS)
-        .partitionBy(*folders)
-        .json(path)
-    )
+    archive_batch(readings, path, "load", uuid.uuid4().hex, folders)

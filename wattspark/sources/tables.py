@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattspark.schemas import BASELINE, EDGE_WIND, READINGS, WIND_CURVE
-from wattspark.sources.sinks import ARCHIVE_OPTIONS
+from wattspark.sources.sinks import ARCHIVE_OPTIONS, LAYOUT, current
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """The readings table, with its partition column ``event_date`` for pruning."""
     dated = T.StructType([*READINGS.fields, T.StructField("event_date", T.DateType())])
-    return spark.read.schema(dated).parquet(path)
+    return spark.read.schema(dated).parquet(path).select(*dated.names)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Any table in folders of dates, without the columns of its folders."""
+    return spark.read.parquet(path).drop(*LAYOUT)
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BASELINE).parquet(path)
+    return spark.read.schema(BASELINE).parquet(current(spark, path))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -42,25 +42,24 @@ def start_archive(
 ) -> StreamingQuery:
     """Compressed JSON lines, one set of files a minute.
 
-    A folder's rows of a micro-batch go to ``files_per_folder`` tasks by meter;
-    so a pole that dominates is spread; lower it where batches are small. Leave trailing ``folders`` out where
-    minutes hold only a few readings.
+    A repeated micro-batch replaces its own files. A folder's rows of a micro-batch go to
+    ``files_per_folder`` tasks by meter, so a pole that dominates is spread; lower it where batches are
+    small. Leave trailing ``folders`` out where minutes hold only a few readings.
     """
-    unused = [c for c in sinks.ARCHIVE_FOLDERS[1:] if c not in folders]
-    spread = F.pmod(F.hash("meter_id"), F.lit(files_per_folder))
-    writer = (
-        sinks.archive_columns(readings)
-        .drop(*unused)
-        .repartition(*[F.col(c) for c in folders], spread)
-        .writeStream.format("json")
-        .partitionBy(*folders)
-        .options(**sinks.ARCHIVE_OPTIONS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    stream = stream_name(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.archive_batch(batch, path, stream, batch_id, folders, files_per_folder)
+
+    writer = readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _run(writer, once, "1 minute").start()
 
 
+def stream_name(checkpoint: str) -> str:
+    """Name of a stream in the folders of its tables, which tells its batches from others'."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+
 def start_table(
     rows: DataFrame,
     path: str,
@@ -85,10 +84,10 @@ def start_table(
 
 def table_writer(path: str, name: str, ts: str = "event_ts") -> Callable[[DataFrame, int], None]:
     """Writer of micro-batches to a table; ``name`` tells this stream's batches from others'."""
-    stream = hashlib.sha256(name.encode()).hexdigest()[:12]
+    stream = stream_name(name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.append_batch(batch, path, f"{stream}-{batch_id}", ts)
+        sinks.append_batch(batch, path, stream, batch_id, ts)
 
     return write
 
@@ -275,7 +274,7 @@ def start_pipeline(
     if window_seconds > 0 and delay is None:
         raise ValueError("windows need a delay")
     sinks.require_table(messages.sparkSession, f"{root}/readings")
-    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    name = stream_name(checkpoint)
     to_table = table_writer(f"{root}/readings", checkpoint)
     to_panes = pane_writer(f"{root}/metrics", metrics_window_seconds)
 
@@ -289,7 +288,7 @@ def start_pipeline(
         checked = ingest.validate(ingest.parse(fresh), seen).persist()
         try:
             valid = ingest.enrich(ingest.successes(checked), seen)
-            sinks.archive_batch(valid, f"{root}/raw", f"{name}-{batch_id}", archive_folders)
+            sinks.archive_batch(valid, f"{root}/raw", name, batch_id, archive_folders)
             to_table(valid, batch_id)
             if dead_letter_path is not None:
                 payloads = ingest.error_bytes(ingest.errors(checked))
