@@ -52,30 +52,38 @@ def number_readings(
     )
 
 
+def with_runs(marked: DataFrame, slice_seconds: int, max_gap_seconds: int | None) -> DataFrame:
+    """Number each reading's run, ``_run``, by what ended runs of its meter before: a reading that is no
+    ``_hit``, or one that comes more than ``max_gap_seconds`` after the one before it."""
+    ends = ~F.col("_hit")
+    if max_gap_seconds is not None:
+        if max_gap_seconds < 1:
+            raise ValueError("max_gap_seconds must be at least 1")
+        newest = {"_before": ("max", F.col("event_ts"))}
+        marked = with_running(marked, ["meter_id"], ORDER, newest, slice_seconds, inclusive=False)
+        gap = F.unix_micros("event_ts") - F.unix_micros("_before") > max_gap_seconds * 1_000_000
+        ends = ends | F.coalesce(gap, F.lit(False))
+    return with_running(marked, ["meter_id"], ORDER, {"_run": ("sum", ends.cast("long"))}, slice_seconds)
+
+
 def sustained_events(
     readings: DataFrame,
     condition: Column,
     min_duration_seconds: int,
     slice_seconds: int = DAY,
+    max_gap_seconds: int | None = None,
 ) -> DataFrame:
     """Runs of consecutive readings of a meter that meet ``condition``.
 
     A run is identified by how many readings of the meter outside the condition
     came before it. A change of pole splits the run; time without readings does
-    not.
+    only if it is longer than ``max_gap_seconds``.
     """
     if min_duration_seconds < 1:
         raise ValueError("min_duration_seconds must be at least 1")
     hit = F.coalesce(condition, F.lit(False))
-    numbered = with_running(
-        readings.select(
-            "meter_id", "pole_id", "event_ts", "seq", "voltage_v", hit.alias("_hit")
-        ),
-        ["meter_id"],
-        ORDER,
-        {"_run": ("sum", (~F.col("_hit")).cast("long"))},
-        slice_seconds,
-    )
+    marked = readings.select("meter_id", "pole_id", "event_ts", "seq", "voltage_v", hit.alias("_hit"))
+    numbered = with_runs(marked, slice_seconds, max_gap_seconds)
     return (
         numbered.filter("_hit")
         .groupBy("meter_id", "pole_id", "_run")
@@ -101,10 +109,11 @@ def sag_events(
     threshold: float = SAG_V,
     min_duration_seconds: int = 5,
     slice_seconds: int = DAY,
+    max_gap_seconds: int | None = None,
 ) -> DataFrame:
     """Sustained low voltage with a severity by the lowest reading."""
     return sustained_events(
-        readings, is_sag(F.col("voltage_v"), threshold), min_duration_seconds, slice_seconds
+        readings, is_sag(F.col("voltage_v"), threshold), min_duration_seconds, slice_seconds, max_gap_seconds
     ).withColumn("severity", sag_severity(F.col("min_voltage_v")))
 
 
@@ -113,10 +122,11 @@ def swell_events(
     threshold: float = SWELL_V,
     min_duration_seconds: int = 5,
     slice_seconds: int = DAY,
+    max_gap_seconds: int | None = None,
 ) -> DataFrame:
     """Sustained high voltage. No severity scale is defined for it: always MINOR."""
     return sustained_events(
-        readings, is_swell(F.col("voltage_v"), threshold), min_duration_seconds, slice_seconds
+        readings, is_swell(F.col("voltage_v"), threshold), min_duration_seconds, slice_seconds, max_gap_seconds
     ).withColumn("severity", F.lit("MINOR"))
 
 

@@ -27,7 +27,7 @@ from wattspark.plans.metric_queries import LONG, MINUTE
 from wattspark.plans.projections import fleet, messages, numbered_readings, readings
 from wattspark.plans.registry import query
 from wattspark.plans.rollup_queries import WINDOW_DOUBLES, WINDOW_STATS
-from wattspark.plans.voltage_queries import EVENT_COLUMNS, VOLTS, events_sql
+from wattspark.plans.voltage_queries import EVENT_COLUMNS, MAX_GAP, VOLTS, events_sql
 from wattspark.schemas import DER_METRICS, METRICS as METRIC_SCHEMA, READINGS
 from wattspark.session import scratch_dir
 from wattspark.sources import sinks, streams, tables
@@ -192,18 +192,6 @@ def _shown(series: DataFrame) -> DataFrame:
     )
 
 
-@query("st02_k05_gauge_panes", SERIES, "value", (MINUTE, LONG))
-def gauge_panes(spark, sf_dir):
-    """All files arrive in one micro-batch here, so one pane holds every window."""
-    path = scratch_dir(spark, "metrics")
-    _finish(
-        pipeline.start_gauge_panes(
-            _readings_stream(spark, sf_dir), path, scratch_dir(spark, "checkpoint"), once=True
-        )
-    )
-    return _shown(spark.read.schema(METRIC_SCHEMA).parquet(path))
-
-
 @query("st01_gauges_of_closed_windows", SERIES, "value", (MINUTE, LONG))
 def gauges_of_closed_windows(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "checkpoint")
@@ -218,6 +206,38 @@ def gauges_of_closed_windows(spark, sf_dir):
 PANES = MINUTE.replace("SELECT pole_id", "SELECT part, pole_id").replace("FROM readings", "FROM parted")
 
 
+# What the watermark was before and after each part, with an hour's delay.
+MARKS = (
+    "marks AS (SELECT part, max(max(event_ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "- INTERVAL 1 HOUR AS before, max(max(event_ts)) OVER (ORDER BY part) - INTERVAL 1 HOUR AS after "
+    "FROM parted GROUP BY part)"
+)
+
+
+@query(
+    "st02_k05_gauge_panes",
+    SERIES.replace(
+        "FROM series",
+        ", CASE WHEN end_time <= before THEN 'LATE' WHEN end_time <= after THEN 'ON_TIME' ELSE 'EARLY' END AS pane "
+        "FROM series JOIN marks USING (part)",
+    ),
+    "value",
+    (PARTED, PANES, LONG.replace("SELECT pole_id", "SELECT part, pole_id"), MARKS),
+)
+def gauge_panes(spark, sf_dir):
+    """Panes of several parts by kind: before, when and after the watermark closes their window."""
+    path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "checkpoint")
+    _arriving(
+        spark,
+        readings(spark, sf_dir),
+        lambda rows: pipeline.start_gauge_panes(rows, path, checkpoint, once=True, delay="1 hour"),
+        closing=False,
+    )
+    panes = spark.read.schema(f"{METRIC_SCHEMA.toDDL()}, pane STRING").parquet(path)
+    labels = F.col("labels")["pole_id"].alias("pole_id")
+    return panes.select("metric", labels, "end_time", "value", "value_type", "pane")
+
+
 @query(
     "st03_discarding_panes",
     SERIES.replace("SELECT metric", "SELECT CAST(part AS BIGINT) AS pane, metric"),
@@ -293,6 +313,20 @@ def retention(spark, sf_dir):
     return sinks.retained(tables.read_readings(spark, path), "2024-01-31", 20).drop("event_date")
 
 
+@query(
+    "k09_archive_retention",
+    EVERYTHING.replace(" seq,", " event_id AS seq,").replace("FROM readings", "FROM (SELECT * REPLACE (CASE WHEN event_id % 50 <> 7 THEN event_ts END AS event_ts) FROM readings)")
+    + " WHERE event_ts IS NULL OR event_ts >= TIMESTAMP '2024-01-11'",
+    MEASURES,
+)
+def archive_retention(spark, sf_dir):
+    """Days of the archive expire below their poles; rows without a time stay until their batch is old."""
+    path, timed = scratch_dir(spark, "raw"), F.when(F.col("seq") % 50 != 7, F.col("event_ts"))
+    sinks.write_archive(numbered_readings(spark, sf_dir).withColumn("event_ts", timed), path, DAILY)
+    sinks.drop_expired(spark, path, "2024-01-31", 20, "dt")
+    return tables.read_archive(spark, path)
+
+
 @query("k08_compacted_table", EVERYTHING, MEASURES)
 def compacted_table(spark, sf_dir):
     """A table that a stream filled in parts, some of its dates rewritten afterwards."""
@@ -347,8 +381,8 @@ def repeats_dropped_stream(spark, sf_dir):
     return spark.read.schema(READINGS).parquet(out).select("meter_id", "seq", "event_ts", "voltage_v")
 
 
-def _sags(spark, sf_dir, delay_seconds: int) -> sags.SagState:
-    state = sags.SagState(scratch_dir(spark, "state"), delay_seconds)
+def _sags(spark, sf_dir, delay_seconds: int, max_gap_seconds: int | None = None) -> sags.SagState:
+    state = sags.SagState(scratch_dir(spark, "state"), delay_seconds, max_gap_seconds=max_gap_seconds)
     checkpoint = scratch_dir(spark, "checkpoint")
     _arriving(
         spark,
@@ -378,6 +412,32 @@ def late_readings(spark, sf_dir):
     return _sags(spark, sf_dir, 3600).late(spark).select("meter_id", "event_ts", "seq", "voltage_v")
 
 
+@query("st11_sag_events_split_by_gaps", events_sql("voltage_v < 220", 5, max_gap=MAX_GAP), VOLTS)
+def sag_events_stream_split_by_gaps(spark, sf_dir):
+    """As the batch form, also where the long time without readings is between two parts."""
+    state = _sags(spark, sf_dir, 13 * 3600, MAX_GAP)
+    return state.events(spark).unionByName(state.open_events(spark)).select(*EVENT_COLUMNS)
+
+
+@query("st04_corrected_windows", WINDOW_STATS, WINDOW_DOUBLES)
+def corrected_windows(spark, sf_dir):
+    """With a watermark of an hour the windows drop what comes half a day late; corrections bring it back."""
+    root, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
+
+    def start(rows):
+        writers = {
+            "table": pipeline.table_writer(f"{root}/readings", checkpoint),
+            "late": windows.late_rows(f"{root}/late", delay="1 hour"),
+        }
+        _finish(pipeline.start_fan_out(rows, writers, f"{checkpoint}/sinks", once=True))
+        return pipeline.start_minute_aggregates(rows, f"{root}/minute_agg", f"{checkpoint}/aggregates", once=True, delay="1 hour")
+
+    _arriving(spark, readings(spark, sf_dir), start)
+    windows.correct_windows(spark, f"{root}/late", f"{root}/readings", f"{root}/corrections")
+    aggregates, corrections = (tables.read_table(spark, f"{root}/{name}") for name in ("minute_agg", "corrections"))
+    return windows.corrected(aggregates, corrections)
+
+
 @query("st09_redelivered_messages", LANDED, MEASURED)
 def redelivered_messages(spark, sf_dir):
     """A fifth of the messages comes twice, and those of a part's last hour again with the next part.

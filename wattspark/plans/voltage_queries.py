@@ -17,8 +17,12 @@ EVENT_COLUMNS = (
 VOLTS = "min_voltage_v max_voltage_v avg_voltage_v"
 
 
-def events_sql(hit: str, least: int, severity: str | None = None, source: str = "readings") -> str:
-    """Runs found by counting the readings outside the condition that came before."""
+def events_sql(hit: str, least: int, severity: str | None = None, source: str = "readings", max_gap: int | None = None) -> str:
+    """Runs found by counting the readings outside the condition that came before; with ``max_gap`` seconds,
+    also those that came too long after the reading before them."""
+    if max_gap is not None:
+        source = f"(SELECT *, lag(event_ts) OVER (PARTITION BY meter_id ORDER BY event_ts, seq) AS before FROM {source})"
+    near = "" if max_gap is None else f" AND coalesce(event_ts - before <= INTERVAL {max_gap} SECOND, true)"
     severity = severity or (
         "CASE WHEN min_voltage_v < 200 THEN 'CRITICAL' WHEN min_voltage_v < 210 THEN 'WARNING' "
         "ELSE 'MINOR' END"
@@ -30,7 +34,7 @@ def events_sql(hit: str, least: int, severity: str | None = None, source: str =
   FROM (SELECT meter_id, pole_id, min(event_ts) AS event_start, max(event_ts) AS event_end,
       min(voltage_v) AS min_voltage_v, max(voltage_v) AS max_voltage_v,
       avg(voltage_v) AS avg_voltage_v, count(*) AS reading_count
-    FROM (SELECT *, sum(CASE WHEN {hit} THEN 0 ELSE 1 END) OVER (PARTITION BY meter_id
+    FROM (SELECT *, sum(CASE WHEN {hit}{near} THEN 0 ELSE 1 END) OVER (PARTITION BY meter_id
         ORDER BY event_ts, seq ROWS UNBOUNDED PRECEDING) AS breaks FROM {source}) AS marked
     WHERE {hit} GROUP BY meter_id, pole_id, breaks) AS runs
   WHERE date_sub('second', event_start, event_end) + 1 >= {least}"""
@@ -41,6 +45,14 @@ def sag_events(spark, sf_dir) -> DataFrame:
     return voltage.sag_events(readings(spark, sf_dir)).select(*EVENT_COLUMNS)
 
 
+MAX_GAP = 43_200  # seconds; meters of the projection report some times a day
+
+
+@query("a05_sag_events_split_by_gaps", events_sql("voltage_v < 220", 5, max_gap=MAX_GAP), VOLTS)
+def sag_events_split_by_gaps(spark, sf_dir) -> DataFrame:
+    return voltage.sag_events(readings(spark, sf_dir), max_gap_seconds=MAX_GAP).select(*EVENT_COLUMNS)
+
+
 @query(
     "a05_recent_sag_report",
     events_sql("voltage_v < 220", 5, source="(SELECT * FROM readings WHERE event_ts >= DATE '2024-01-30')")

@@ -121,14 +121,23 @@ def start_minute_aggregates(
     return start_table(stats, path, checkpoint, "window_start", must_exist=False, once=once)
 
 
-def pane_writer(path: str, window_seconds: int = 60) -> Callable[[DataFrame, int], None]:
-    """Writer of early, discarding panes: each holds only the readings of its micro-batch.
+def pane_writer(path: str, window_seconds: int = 60, delay: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Writer of discarding panes: each holds only the readings of its micro-batch.
 
-    A repeated batch overwrites its own folder, so a retry adds nothing twice.
+    With a ``delay`` a pane has its kind in ``pane``, by the watermark, which is the newest time less the
+    delay: ``LATE`` if the window was closed before the batch, ``ON_TIME`` if the batch closes it, else
+    ``EARLY``. The on-time pane so holds only what came since the last early one. A repeated batch
+    overwrites its own folder, so a retry adds nothing twice.
     """
+    newest = windows.Newest(f"{path.rstrip('/')}_newest")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         series = gauges.to_series(gauges.pole_gauges(batch, window_seconds))
+        if delay is not None:
+            micros = windows.interval_micros(batch.sparkSession, delay)
+            marks = [F.lit(None if t is None else t - micros).cast("long") for t in newest.advance(batch, batch_id)]
+            closed, closing = (F.coalesce(F.unix_micros("end_time") <= t, F.lit(False)) for t in marks)
+            series = series.withColumn("pane", F.when(closed, "LATE").when(closing, "ON_TIME").otherwise("EARLY"))
         series.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
@@ -140,9 +149,10 @@ def start_gauge_panes(
     checkpoint: str,
     window_seconds: int = 60,
     once: bool = False,
+    delay: str | None = None,
 ) -> StreamingQuery:
     """Gauges of each pane into the metric table, a pane every half window."""
-    writer = readings.writeStream.foreachBatch(pane_writer(path, window_seconds)).option(
+    writer = readings.writeStream.foreachBatch(pane_writer(path, window_seconds, delay)).option(
         "checkpointLocation", checkpoint
     )
     return _run(writer, once, f"{max(1, window_seconds // 2)} seconds").start()
@@ -204,10 +214,7 @@ class Delivered:
 
     def __init__(self, spark: SparkSession, root: str, within: str):
         self.root = root.rstrip("/")
-        span = F.timestamp_micros(F.lit(0)) + F.lit(within).cast("interval")
-        self.micros = spark.range(1).select(F.unix_micros(span)).first()[0]
-        if self.micros is None:
-            raise ValueError(f"no time span: {within}")
+        self.micros = windows.interval_micros(spark, within)
 
     def _folder(self, kind: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/batch_id={batch_id}"
@@ -265,7 +272,8 @@ def start_pipeline(
     ``sinks`` writes archive, table, dead letters and panes from one parse of each micro-batch, with
     one ``ingest_ts``; every sink replaces what a failed try of the batch left. ``aggregates`` keeps
     window state and is a query of its own; ``window_seconds=0`` leaves it out, ``metrics=False`` the
-    panes. Windows wait ``delay`` for late readings, and it must be given with them.
+    panes. Windows wait ``delay`` for late readings, and it must be given with them; what may come later
+    still is kept in ``minute_agg_late`` for ``windows.correct_windows``.
 
     With ``repeats_within``, a message that a broker delivers again within this time, by publish
     time, is dropped before anything is written (see ``Delivered``); one that comes late for the first
@@ -276,7 +284,10 @@ def start_pipeline(
     sinks.require_table(messages.sparkSession, f"{root}/readings")
     name = stream_name(checkpoint)
     to_table = table_writer(f"{root}/readings", checkpoint)
-    to_panes = pane_writer(f"{root}/metrics", metrics_window_seconds)
+    to_panes = pane_writer(f"{root}/metrics", metrics_window_seconds, delay)
+    keep_late = None
+    if window_seconds > 0:
+        keep_late = windows.late_rows(f"{root}/minute_agg_late", window_seconds, delay=delay)
 
     delivered = None
     if repeats_within is not None:
@@ -290,6 +301,8 @@ def start_pipeline(
             valid = ingest.enrich(ingest.successes(checked), seen)
             sinks.archive_batch(valid, f"{root}/raw", name, batch_id, archive_folders)
             to_table(valid, batch_id)
+            if keep_late is not None:
+                keep_late(valid, batch_id)
             if dead_letter_path is not None:
                 payloads = ingest.error_bytes(ingest.errors(checked))
                 payloads.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattspark.functions.columns import seconds_between
 from wattspark.functions.quality import SAG_V, is_sag, sag_severity
-from wattspark.operators.sliced import DAY, with_running
+from wattspark.operators.sliced import DAY
+from wattspark.operators.voltage import with_runs
 from wattspark.sources import sinks
 
 COLUMNS = ("meter_id", "pole_id", "event_ts", "seq", "voltage_v")
@@ -65,12 +66,14 @@ class SagState:
         threshold: float = SAG_V,
         min_duration_seconds: int = 5,
         slice_seconds: int = DAY,
+        max_gap_seconds: int | None = None,
     ):
         self.root = root.rstrip("/")
         self.threshold = threshold
         self.min_duration_seconds = min_duration_seconds
         self.delay_seconds = delay_seconds
         self.slice_seconds = slice_seconds
+        self.max_gap_seconds = max_gap_seconds
 
     def _folder(self, kind: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/batch_id={batch_id}"
@@ -112,10 +115,8 @@ class SagState:
             "_hit", F.coalesce(is_sag(F.col("voltage_v"), self.threshold), F.lit(False))
         )
 
-        outside = (~F.col("_hit")).cast("long")
-        numbered = with_running(
-            ready, ["meter_id"], ["event_ts", "seq"], {"_run": ("sum", outside)}, self.slice_seconds
-        ).filter("_hit")
+        counted = with_runs(ready, self.slice_seconds, self.max_gap_seconds)
+        numbered = counted.filter("_hit")
         volts = F.col("voltage_v")
         runs = numbered.groupBy("meter_id", "pole_id", "_run").agg(
             F.min("event_ts").alias("event_start"),
@@ -126,13 +127,13 @@ class SagState:
             F.count(F.lit(1)).alias("n"),
         )
         if open_runs is not None:
-            head = open_runs.withColumn("_run", F.lit(0).cast("long"))
-            runs = _merge_runs(runs.unionByName(head))
-        ends = ready.groupBy("meter_id").agg(F.sum(outside).alias("_ends"))
-        # a run is over once its meter reported normal voltage after it
-        placed = runs.join(ends, "meter_id", "left").withColumn(
-            "_over", F.col("_run") < F.coalesce("_ends", F.lit(0))
-        )
+            runs = _merge_runs(runs.unionByName(self._continued(open_runs, ready)))
+        ends = counted.groupBy("meter_id").agg(F.max("_run").alias("_ends"))
+        # a run is over once its meter reported normal voltage after it, or nothing for too long
+        over = F.col("_run") < F.coalesce("_ends", F.lit(0))
+        if self.max_gap_seconds is not None:
+            over = over | (cutoff - F.unix_micros("event_end") > self.max_gap_seconds * 1_000_000)
+        placed = runs.join(ends, "meter_id", "left").withColumn("_over", over)
         placed.select(*RUN, "_over").write.mode("overwrite").parquet(
             self._folder("runs", batch_id)
         )
@@ -153,6 +154,15 @@ class SagState:
             if sinks.exists(spark, self._folder(kind, batch_id - 2)):
                 sinks.remove(spark, self._folder(kind, batch_id - 2))
 
+    def _continued(self, open_runs: DataFrame, ready: DataFrame) -> DataFrame:
+        """Open runs as the first of their meter, or as one before it where the next reading comes too late."""
+        if self.max_gap_seconds is None:
+            return open_runs.withColumn("_run", F.lit(0).cast("long"))
+        firsts = ready.groupBy("meter_id").agg(F.min("event_ts").alias("_first"))
+        gap = F.unix_micros("_first") - F.unix_micros("event_end") > self.max_gap_seconds * 1_000_000
+        run = F.when(F.coalesce(gap, F.lit(False)), -1).otherwise(0).cast("long")
+        return open_runs.join(firsts, "meter_id", "left").withColumn("_run", run).drop("_first")
+
     def events(self, spark: SparkSession) -> DataFrame:
         """Events that are over."""
         return spark.read.parquet(f"{self.root}/events").drop("batch_id")
