@@ -2,7 +2,7 @@ import json
 import os
 import random
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,7 +172,7 @@ def test_messages_that_come_late_for_the_first_time_are_written(spark, tmp_path)
     assert rows(tables.read_archive(spark, f"{root}/raw"), "seq") == [(1,), (2,), (3,), (4,)]
     assert spark.read.parquet(f"{root}/dlq").count() == 3
     # what is out of reach is forgotten
-    assert not os.path.exists(tmp_path / "cp" / "delivered" / "keys" / "batch_id=0")
+    assert not list((tmp_path / "cp" / "delivered" / "keys").glob("*/batch_id=0"))
     with pytest.raises(Exception):
         pipeline.Delivered(spark, str(tmp_path / "d"), "some time")
 
@@ -364,16 +364,16 @@ def test_compaction_keeps_rows_and_finishes_a_cut_job(spark, tmp_path, monkeypat
         sinks.append_batch(df.filter(f"seq % 3 = {n} OR seq % 2 = {n}"), path, "s", n)
     before = sorted(tables.read_readings(spark, path).collect())
     first = sorted(f.name for f in (tmp_path / "t").iterdir() if f.name.startswith("event_date="))[0]
-    real = sinks._replacing
+    real = sinks.replacing
 
     def cut(*_):
         raise OSError("cut short")
 
-    monkeypatch.setattr(sinks, "_replacing", cut)
+    monkeypatch.setattr(sinks, "replacing", cut)
     with pytest.raises(OSError):  # after the date's folder went
         sinks.compact(spark, path, [first.split("=")[1]])
     assert tables.read_readings(spark, path).count() < len(before)
-    monkeypatch.setattr(sinks, "_replacing", real)
+    monkeypatch.setattr(sinks, "replacing", real)
     for _ in range(2):
         sinks.compact(spark, path, [first.split("=")[1]])
         assert sorted(tables.read_readings(spark, path).collect()) == before
@@ -399,11 +399,11 @@ def test_a_write_that_dies_leaves_the_table_and_a_repeat_completes_it(spark, tmp
 
 
 def test_a_batch_of_many_folders(spark, tmp_path):
-    data = [reading(60 * i, seq=i, pole_id=f"pole_{i % 7}") for i in range(1500)]
+    data = [reading(60 * i, seq=i, pole_id=f"pole_{i % 7}") for i in range(300)]
     for _ in range(2):
         sinks.archive_batch(readings(spark, *data), str(tmp_path / "raw"), "s", 3, files_per_folder=1)
-    assert sorted(r.seq for r in tables.read_archive(spark, str(tmp_path / "raw")).collect()) == list(range(1500))
-    assert len(list((tmp_path / "raw").glob("pole_id=*/dt=*/hr=*/min=*/stream=s/batch=3"))) == 1500
+    assert sorted(r.seq for r in tables.read_archive(spark, str(tmp_path / "raw")).collect()) == list(range(300))
+    assert len(list((tmp_path / "raw").glob("pole_id=*/dt=*/hr=*/min=*/stream=s/batch=3"))) == 300
 
 
 def test_rows_without_a_time_are_merged_like_others(spark, tmp_path):
@@ -443,3 +443,76 @@ def test_readers_find_a_version_while_the_next_is_written(spark, tmp_path):
     assert sorted(f.name for f in (tmp_path / "r").glob("version=*")) == ["version=2", "version=3", "version=4"]
     sinks.replace_table(spark.range(5), path)
     assert spark.read.parquet(sinks.current(spark, path)).count() == 5
+
+
+def test_a_batch_reads_only_the_time_of_its_messages(spark, tmp_path):
+    sent = datetime(2025, 12, 26, 12)
+    row = lambda i, hours: (bytearray(b"%d" % i), {}, None if hours is None else sent + timedelta(hours=6 * hours))
+    make = lambda *r: spark.createDataFrame(list(r), ENVELOPE)
+    delivered = pipeline.Delivered(spark, str(tmp_path / "d"), "30 days")
+    for n in range(6):
+        batch = make(row(n, n), row(n, n), row(100 + n, None))
+        assert delivered.first_time(batch, n).count() == 2
+        delivered.remember(delivered.first_time(batch, n), n)
+    assert [f.split("/keys/")[1] for f in delivered.reads(make(row(9, 6)), 6)] == []
+    assert [f.split("/keys/")[1] for f in delivered.reads(make(row(3, 3), row(9, 6)), 6)] == ["_span=81797/batch_id=3"]
+    assert delivered.first_time(make(row(3, 3), row(9, 3), row(103, None)), 6).count() == 1
+
+
+def test_a_message_from_the_future_does_not_stop_forgetting(spark, tmp_path):
+    sent = datetime(2025, 12, 26, 12, tzinfo=timezone.utc)
+    delivered = pipeline.Delivered(spark, str(tmp_path / "d"), "1 hour")
+    for n in range(6):
+        at = sent + timedelta(hours=n)
+        times = [at, datetime(2999, 1, 1, tzinfo=timezone.utc)] if n == 1 else [at]
+        batch = spark.createDataFrame([(bytearray(b"%d" % n), {}, t) for t in times], ENVELOPE)
+        delivered.remember(delivered.first_time(batch, n), n, at)
+    assert sorted(int(f.name.split("=")[1]) for f in (tmp_path / "d" / "marks").iterdir()) == [3, 4, 5]
+    assert sorted(f.name for f in (tmp_path / "d" / "keys").glob("*/*")) == ["batch_id=3", "batch_id=4", "batch_id=5"]
+
+
+def test_panes_are_told_by_the_watermark(spark, tmp_path):
+    write = pipeline.pane_writer(str(tmp_path / "m"), 60, "10 seconds")
+    parts = [[0, 30], [40, 65], [50, 75], [20, 200], [100]]  # seconds of the readings of each batch
+    for n, seconds in enumerate(parts):
+        for _ in range(2 if n == 3 else 1):  # one is repeated
+            write(readings(spark, *[reading(s) for s in seconds]), n)
+    got = spark.read.parquet(str(tmp_path / "m")).filter("metric = 'power_total_kw'")
+    shown = rows(got.withColumn("end", F.unix_seconds("end_time") - F.lit(1766750400)), "batch_id", "end", "pane", "value")
+    assert shown == [
+        (0, 60, "EARLY", 2.0), (1, 60, "EARLY", 1.0), (1, 120, "EARLY", 1.0), (2, 60, "ON_TIME", 1.0), (2, 120, "EARLY", 1.0),
+        (3, 60, "LATE", 1.0), (3, 240, "EARLY", 1.0), (4, 120, "LATE", 1.0),
+    ]
+
+
+def test_corrections_bring_back_what_windows_drop(spark, tmp_path):
+    root, data = str(tmp_path), [[1, 2], [300], [600], [3, 301], [900]]
+    for n, seconds in enumerate(data):
+        land(readings(spark, *[reading(s, meter=f"m{n}") for s in seconds]), tmp_path / "in")
+        stream = streams.readings_stream(spark, str(tmp_path / "in"))
+        writers = {"table": pipeline.table_writer(f"{root}/t", "x"), "late": windows.late_rows(f"{root}/late", delay="0 seconds")}
+        pipeline.start_fan_out(stream, writers, f"{root}/c1", once=True).awaitTermination()
+        pipeline.start_minute_aggregates(stream, f"{root}/agg", f"{root}/c2", once=True, delay="0 seconds").awaitTermination()
+    count = lambda df: rows(df.orderBy("window_start"), "reading_count")
+    stored = tables.read_table(spark, f"{root}/agg")
+    assert count(stored) == [(1,), (1,), (2,)]  # 0, 300 and 600 seconds
+    for _ in range(2):
+        windows.correct_windows(spark, f"{root}/late", f"{root}/t", f"{root}/corrections")
+        fixed = windows.corrected(stored, tables.read_table(spark, f"{root}/corrections"))
+        batch = rollups.pole_window_stats(tables.read_readings(spark, f"{root}/t")).filter("window_start < '2025-12-26 12:15:00'")
+        assert rows(fixed) == rows(batch) and count(fixed) == [(1,), (2,), (3,)]
+
+
+@pytest.mark.parametrize("gap", [15, 40])
+def test_sag_stream_splits_at_long_gaps_like_batch(spark, tmp_path, gap):
+    rnd, at, data = random.Random(gap), 0, []
+    for i in range(120):
+        at += rnd.choice([5, 10, 30, 60])
+        data.append(reading(at, rnd.choice([199.0, 212.0, 215.0, 235.0]), f"m{i % 2}", seq=i))
+    state = sags.SagState(str(tmp_path / "state"), delay_seconds=0, slice_seconds=60, max_gap_seconds=gap)
+    for n in range(4):
+        state.step(readings(spark, *data[n * 30 : n * 30 + 30]), n)
+    columns = ("meter_id", "pole_id", "event_start", "reading_count", "min_voltage_v", "severity")
+    batch = voltage.sag_events(readings(spark, *data), slice_seconds=60, max_gap_seconds=gap)
+    assert events_of(spark, state, 3) == rows(batch, *columns)
+    assert batch.count() != voltage.sag_events(readings(spark, *data)).count()

@@ -147,3 +147,14 @@ def test_event_rows_layout(spark):
     stored = voltage.event_rows(events, "sag", "2025-12-27 00:00:00")
     assert stored.columns == VOLTAGE_EVENTS.names
     assert (stored.first().severity, len(stored.first().event_id)) == ("critical", 64)
+
+
+def test_long_gaps_split_a_run_only_if_asked(spark):
+    data = readings(spark, *[reading(s, 210.0) for s in (0, 10, 20, 100, 110, 131)])
+    shown = lambda **more: rows(voltage.sag_events(data, min_duration_seconds=1, slice_seconds=50, **more), "reading_count")
+    assert shown() == [(6,)]
+    assert shown(max_gap_seconds=80) == [(6,)]
+    assert shown(max_gap_seconds=79) == [(3,), (3,)]
+    assert shown(max_gap_seconds=20) == [(1,), (2,), (3,)]
+    with pytest.raises(ValueError):
+        shown(max_gap_seconds=0)

@@ -186,9 +186,9 @@ SERIES = (
 )
 
 
-def _shown(series: DataFrame) -> DataFrame:
+def _shown(series: DataFrame, *more: str) -> DataFrame:
     return series.select(
-        "metric", F.col("labels")["pole_id"].alias("pole_id"), "end_time", "value", "value_type"
+        "metric", F.col("labels")["pole_id"].alias("pole_id"), "end_time", "value", "value_type", *more
     )
 
 
@@ -233,9 +233,7 @@ def gauge_panes(spark, sf_dir):
         lambda rows: pipeline.start_gauge_panes(rows, path, checkpoint, once=True, delay="1 hour"),
         closing=False,
     )
-    panes = spark.read.schema(f"{METRIC_SCHEMA.toDDL()}, pane STRING").parquet(path)
-    labels = F.col("labels")["pole_id"].alias("pole_id")
-    return panes.select("metric", labels, "end_time", "value", "value_type", "pane")
+    return _shown(spark.read.schema(f"{METRIC_SCHEMA.toDDL()}, pane STRING").parquet(path), "pane")
 
 
 @query(
@@ -438,12 +436,38 @@ def corrected_windows(spark, sf_dir):
     return windows.corrected(aggregates, corrections)
 
 
-@query("st09_redelivered_messages", LANDED, MEASURED)
+LETTERS = (
+    f"letters AS (SELECT error_type, event_ts AS letter_event_ts, meter_id AS letter_meter_id, seq AS letter_seq FROM ({PAYLOADS}))"
+)
+LANDED_CTE = f"landed AS ({LANDED})"
+
+
+def _labelled(**sinks_rows: DataFrame) -> DataFrame:
+    """Rows of several sinks under one another; columns that a sink does not have are null."""
+    parts = [rows.select(F.lit(name).alias("sink"), "*") for name, rows in sinks_rows.items()]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    return found
+
+
+def _letters(spark, path: str) -> DataFrame:
+    shown = shown_payloads(spark.read.schema("value BINARY").parquet(path))
+    return shown.toDF("error_type", "letter_event_ts", "letter_meter_id", "letter_seq")
+
+
+@query(
+    "st09_redelivered_messages",
+    "SELECT 'raw' AS sink, * FROM landed UNION ALL BY NAME SELECT 'readings' AS sink, * FROM landed "
+    "UNION ALL BY NAME SELECT 'dead_letters' AS sink, * FROM letters",
+    MEASURED,
+    (LANDED_CTE, LETTERS),
+)
 def redelivered_messages(spark, sf_dir):
     """A fifth of the messages comes twice, and those of a part's last hour again with the next part.
     An eleventh comes for the first time with the part after its own, days late.
 
-    Rows that archive and table both hold, on every column.
+    All rows of archive, table and dead letters, on every column but the arrival time.
     """
     rows, source = messages(spark, sf_dir), scratch_dir(spark, "staged")
     root, checkpoint = scratch_dir(spark, "lake"), scratch_dir(spark, "checkpoint")
@@ -461,12 +485,20 @@ def redelivered_messages(spark, sf_dir):
         part.unionByName(part.filter(twice)).write.mode("append").parquet(source)
         stream = streams.message_stream(spark, source)
         started = pipeline.start_pipeline(
-            stream, root, checkpoint, repeats_within="2 hours", once=True, archive_folders=("pole_id",)
+            stream,
+            root,
+            checkpoint,
+            dead_letter_path=f"{root}/dead_letters",
+            repeats_within="2 hours",
+            once=True,
+            archive_folders=("pole_id",),
         )
         _finish(*started.values())
-    archive = tables.read_archive(spark, f"{root}/raw")
-    stored = tables.read_readings(spark, f"{root}/readings").select(*archive.columns)
-    return archive.intersectAll(stored).drop("ingest_ts")
+    return _labelled(
+        raw=tables.read_archive(spark, f"{root}/raw").drop("ingest_ts"),
+        readings=tables.read_readings(spark, f"{root}/readings").drop("ingest_ts", "event_date"),
+        dead_letters=_letters(spark, f"{root}/dead_letters"),
+    )
 
 
 @query(
@@ -499,16 +531,25 @@ def fan_out(spark, sf_dir):
     return spark.read.parquet(f"{root}/stats").drop("batch_id").join(counts, ["pole_id", "window_start"])
 
 
+DAY_BUCKET = "time_bucket(INTERVAL 1 DAY, event_ts)"
+
+
 @query(
     "st12_pipeline",
-    "SELECT 'dead_letters' AS sink, count(*) AS rows_written FROM messages WHERE class <> 'ok' "
-    "UNION ALL SELECT 'raw', count(*) FROM messages WHERE class = 'ok' "
-    "UNION ALL SELECT 'readings', count(*) FROM messages WHERE class = 'ok' "
-    "UNION ALL SELECT 'minute_agg', count(*) FROM (SELECT DISTINCT pole_id, time_bucket(INTERVAL 1 DAY, ts) AS d "
-    "FROM messages WHERE class = 'ok' AND time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= "
-    "(SELECT max(ts) FROM messages WHERE class = 'ok')) "
-    "UNION ALL SELECT 'metrics', 7 * count(*) FROM (SELECT DISTINCT pole_id, time_bucket(INTERVAL 1 DAY, ts) "
-    "FROM messages WHERE class = 'ok')",
+    "SELECT 'raw' AS sink, * FROM landed UNION ALL BY NAME SELECT 'readings' AS sink, * FROM landed "
+    "UNION ALL BY NAME SELECT 'dead_letters' AS sink, * FROM letters "
+    "UNION ALL BY NAME SELECT 'minute_agg' AS sink, * FROM daily "
+    "WHERE window_start + INTERVAL 1 DAY <= (SELECT max(event_ts) FROM landed) "
+    f"UNION ALL BY NAME SELECT 'metrics' AS sink, *, CASE WHEN end_time <= (SELECT max(event_ts) FROM landed) "
+    f"THEN 'ON_TIME' ELSE 'EARLY' END AS pane FROM ({SERIES})",
+    f"{MEASURED} {WINDOW_DOUBLES} value",
+    (
+        LANDED_CTE,
+        LETTERS,
+        f"daily AS ({WINDOW_STATS.replace('FROM readings', 'FROM landed')})".replace("date_trunc('minute', event_ts)", DAY_BUCKET),
+        MINUTE.replace("date_trunc('minute', event_ts) + INTERVAL 1 MINUTE", f"{DAY_BUCKET} + INTERVAL 1 DAY").replace("FROM readings", "FROM landed"),
+        LONG,
+    ),
 )
 def whole_pipeline(spark, sf_dir):
     """Every sink of the pipeline over one message stream, with daily windows."""
@@ -527,20 +568,10 @@ def whole_pipeline(spark, sf_dir):
         archive_folders=DAILY,
     )
     _finish(*started.values())
-    columns = {
-        "raw": ("json", "meter_id STRING"),
-        "readings": ("parquet", "meter_id STRING"),
-        "minute_agg": ("parquet", "pole_id STRING"),
-        "metrics": ("parquet", "metric STRING"),
-        "dead_letters": ("parquet", "value BINARY"),
-    }
-    parts = [
-        spark.read.schema(schema).format(form).load(f"{root}/{name}").select(
-            F.lit(name).alias("sink")
-        )
-        for name, (form, schema) in columns.items()
-    ]
-    landed = parts[0]
-    for part in parts[1:]:
-        landed = landed.unionByName(part)
-    return landed.groupBy("sink").agg(F.count(F.lit(1)).alias("rows_written"))
+    return _labelled(
+        raw=tables.read_archive(spark, f"{root}/raw").drop("ingest_ts"),
+        readings=tables.read_readings(spark, f"{root}/readings").drop("ingest_ts", "event_date"),
+        dead_letters=_letters(spark, f"{root}/dead_letters"),
+        minute_agg=tables.read_table(spark, f"{root}/minute_agg"),
+        metrics=_shown(spark.read.schema(f"{METRIC_SCHEMA.toDDL()}, pane STRING").parquet(f"{root}/metrics"), "pane"),
+    )

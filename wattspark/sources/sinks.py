@@ -30,6 +30,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _files(spark, path).exists(_path(spark, path))
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that match a pattern."""
+    found = _files(spark, pattern).globStatus(_path(spark, pattern)) or []
+    return [s.getPath().toString() for s in found]
+
+
 def require_table(spark: SparkSession, path: str) -> None:
     """Raise unless the target is there: its sink only ever appends."""
     if not exists(spark, path):
@@ -55,10 +61,10 @@ def write_clustered(
         {"event_date": F.to_date(ts), "stream": F.lit(stream), "batch": F.lit(str(uuid.uuid4().hex if batch is None else batch))}
     )
     ranged = named.repartitionByRange("event_date", *keys, ts).sortWithinPartitions("event_date", *keys, ts)
-    _replacing(ranged, LAYOUT).parquet(path)
+    replacing(ranged, LAYOUT).parquet(path)
 
 
-def _replacing(df: DataFrame, folders: tuple[str, ...]) -> DataFrameWriter:
+def replacing(df: DataFrame, folders: tuple[str, ...]) -> DataFrameWriter:
     """Writer that replaces the folders of which ``df`` has rows, and no others."""
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
 
@@ -84,7 +90,7 @@ def archive_batch(
     spread = F.pmod(F.hash("meter_id"), F.lit(files_per_folder))
     named = archive_columns(readings).drop(*unused).withColumns({"stream": F.lit(stream), "batch": F.lit(str(batch))})
     dealt = named.repartition(*[F.col(c) for c in folders], spread)
-    _replacing(dealt, (*folders, "stream", "batch")).options(**ARCHIVE_OPTIONS).json(path)
+    replacing(dealt, (*folders, "stream", "batch")).options(**ARCHIVE_OPTIONS).json(path)
 
 
 def merge_rows(df: DataFrame, path: str, keys: tuple[str, ...] = ("event_id",), ts: str = "event_start") -> None:
@@ -154,7 +160,7 @@ def _finish_pending(spark: SparkSession, path: str) -> None:
         remove(spark, f"{path}/{folder}")
     rows = spark.read.parquet(f"{path}/_pending/rows")
     ranged = rows.repartitionByRange("event_date", *note["order"]).sortWithinPartitions("event_date", *note["order"])
-    _replacing(ranged, tuple(note["layout"])).parquet(path)
+    replacing(ranged, tuple(note["layout"])).parquet(path)
     remove(spark, f"{path}/_pending/note")
     remove(spark, f"{path}/_pending")
 

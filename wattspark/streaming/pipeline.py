@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattspark.operators import gauges, ingest
@@ -203,22 +203,30 @@ def start_fan_out(
     return _run(writer, once, interval).start()
 
 
-class Delivered:
-    """Keys of the messages of earlier micro-batches, in folders named by batch under ``root``.
+SPAN = "_span"  # of a message's publish time, in parts of a day; -1 without one
+SPAN_HOURS = 6
+
+
+def _publish_span() -> Column:
+    return F.coalesce(F.floor(F.unix_micros("publish_ts") / (SPAN_HOURS * 3_600_000_000)), F.lit(-1)).cast("long")
 
-    A message is dropped only if its key is known, never for its age, so what comes late for the
-    first time passes. A batch's keys are kept until the newest publish time of the batches that
-    followed is more than ``within`` past the newest one up to that batch; a message that comes again
-    after that is taken for new. A retry of a batch sees what its first try saw.
+
+class Delivered:
+    """Keys of the messages of earlier micro-batches, in folders of publish time and batch under ``root``.
+
+    A message that is delivered again has the publish time it had, so a batch looks only into the spans
+    of its own messages: what it reads does not grow with ``within``. A message is dropped only if its key is
+    known, never for its age, so what comes late for the first time passes. A batch's keys are kept
+    until the newest publish time of the batches that followed is more than ``within`` past the newest one
+    up to that batch; a message that comes again after that is taken for new. A publish time later than
+    its arrival counts as the arrival, so that one wrong clock cannot hold up what is forgotten. A retry of
+    a batch sees what its first try saw.
     """
 
     def __init__(self, spark: SparkSession, root: str, within: str):
         self.root = root.rstrip("/")
         self.micros = windows.interval_micros(spark, within)
 
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.root}/{kind}/batch_id={batch_id}"
-
     def _marks(self, spark: SparkSession, batch_id: int) -> dict[int, int | None]:
         """Newest publish time up to each earlier batch that is still kept: a row a batch."""
         if not sinks.exists(spark, f"{self.root}/marks"):
@@ -230,28 +238,39 @@ class Delivered:
         newest = marks[max(marks)] if marks else None
         return [b for b, m in marks.items() if newest is None or m is None or m >= newest - self.micros]
 
+    def reads(self, batch: DataFrame, batch_id: int) -> list[str]:
+        """The folders whose keys a batch is compared with."""
+        spark = batch.sparkSession
+        known = set(self._known(self._marks(spark, batch_id)))
+        spans = [r[0] for r in batch.select(_publish_span()).distinct().collect()]  # a row a span of the batch
+        found = [f for n in spans for f in sinks.folders(spark, f"{self.root}/keys/{SPAN}={n}/batch_id=*")]
+        return [f for f in found if int(f.rsplit("=", 1)[1]) in known]
+
     def first_time(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """One of each message that no earlier batch brought, with its key."""
-        spark = batch.sparkSession
         fresh = batch.withColumn(windows.MESSAGE, windows.message_key()).dropDuplicates([windows.MESSAGE])
-        paths = [self._folder("keys", b) for b in self._known(self._marks(spark, batch_id))]
+        paths = self.reads(batch, batch_id)
         if not paths:
             return fresh
-        known = spark.read.schema(f"{windows.MESSAGE} string").parquet(*paths)
+        known = batch.sparkSession.read.schema(f"{windows.MESSAGE} string").parquet(*paths)
         return fresh.join(known, windows.MESSAGE, "left_anti")
 
-    def remember(self, fresh: DataFrame, batch_id: int) -> None:
+    def remember(self, fresh: DataFrame, batch_id: int, arrival: datetime | None = None) -> None:
         """Keep the keys of a batch once its sinks are written, and forget what is out of reach."""
         spark = fresh.sparkSession
         marks = self._marks(spark, batch_id)
-        newest = fresh.agg(F.max(F.unix_micros("publish_ts"))).first()[0]
+        now = int((arrival or datetime.now(timezone.utc)).timestamp() * 1_000_000)
+        newest = fresh.agg(F.max(F.least(F.unix_micros("publish_ts"), F.lit(now)))).first()[0]
         seen = [t for t in (newest, marks[max(marks)] if marks else None) if t is not None]
-        fresh.select(windows.MESSAGE).write.mode("overwrite").parquet(self._folder("keys", batch_id))
+        keys = fresh.select(windows.MESSAGE, _publish_span().alias(SPAN), F.lit(batch_id).alias("batch_id"))
+        # few files a span, and many tasks where most keys are of one
+        sinks.replacing(keys.hint("rebalance", SPAN), (SPAN, "batch_id")).parquet(f"{self.root}/keys")
         mark = spark.range(1).select(F.lit(max(seen, default=None)).cast("long").alias("newest"))
-        mark.write.mode("overwrite").parquet(self._folder("marks", batch_id))
+        mark.write.mode("overwrite").parquet(f"{self.root}/marks/batch_id={batch_id}")
         for old in set(marks) - set(self._known(marks)):
-            for kind in ("marks", "keys"):
-                sinks.remove(spark, self._folder(kind, old))
+            for folder in sinks.folders(spark, f"{self.root}/keys/{SPAN}=*/batch_id={old}"):
+                sinks.remove(spark, folder)
+            sinks.remove(spark, f"{self.root}/marks/batch_id={old}")
 
 
 def start_pipeline(
@@ -294,7 +313,8 @@ def start_pipeline(
         delivered = Delivered(messages.sparkSession, f"{checkpoint}/delivered", repeats_within)
 
     def write_all(batch: DataFrame, batch_id: int) -> None:
-        seen = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(" ")
+        arrival = datetime.now(timezone.utc)
+        seen = arrival.replace(tzinfo=None).isoformat(" ")
         fresh = batch if delivered is None else delivered.first_time(batch, batch_id)
         checked = ingest.validate(ingest.parse(fresh), seen).persist()
         try:
@@ -309,7 +329,7 @@ def start_pipeline(
             if metrics:
                 to_panes(valid, batch_id)
             if delivered is not None:
-                delivered.remember(checked, batch_id)
+                delivered.remember(checked, batch_id, arrival)
         finally:
             checked.unpersist()
 
