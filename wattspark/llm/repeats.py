@@ -10,10 +10,10 @@ all text with all text into many small ones, the reference shards: a key with it
    the second reading drop the other segments where it finds them; if the map fills, more segments
    go on and the result is the same.
 2. Segments of equal content are aggregated to one representative with a count.
-3. Where a key has several contents, the representatives' symbols are fetched and compared by the
-   operator's own method, a bounded number of contents of a key at a time. A key with more than
+3. The symbols of every content whose key occurs twice are fetched, also of those that only have copies,
+   and the operator's own method decides which of their windows occur again. A key with more than
    ``HOT_KEY`` contents is split into its windows instead, which are aggregated by their hash.
-4. What is found becomes spans of the documents, which are applied to the whole texts.
+4. What is found becomes spans of all places of the content, which are applied to the whole texts.
 
 Documents are named by ``doc`` and ``sub``; ``sub`` is 0 where ids are unique.
 """
@@ -154,7 +154,8 @@ class Method:
     """What an operator brings: symbols, window and gram length, and how contents are compared.
 
     ``cut`` gives the bytes of a run of symbols. ``compare`` takes the contents of whole keys, with
-    their windows, counts and places, and gives the flagged windows as runs ``(row, offset, windows)``.
+    their windows, counts and first places, and gives the flagged windows as runs ``(row, offset, windows,
+    copies)``: of the content's first place, or of all its other places.
     """
 
     length: int
@@ -162,7 +163,7 @@ class Method:
     symbols: Callable[[bytes], np.ndarray]
     units: Callable[[bytes], list[bytes] | bytes]
     cut: Callable[[list[bytes] | bytes, int, int], bytes]
-    compare: Callable[[list[bytes], np.ndarray, np.ndarray, list[tuple]], list[tuple[int, int, int]]]
+    compare: Callable[[list[bytes], np.ndarray, np.ndarray, list[tuple]], list[tuple[int, int, int, bool]]]
     keep_first: bool
 
 
@@ -243,13 +244,13 @@ def _found(rows: DataFrame, m: Method, keys: np.ndarray | None) -> DataFrame:
     return rows.select("doc", "sub", "text").mapInArrow(run, "key long" if keys is None else _PLACE)
 
 
-_CUT = "key long, salt long, window long, n long, doc long, sub long, start int, windows int, bytes binary"
+_CUT = "key long, salt long, window long, n long, doc long, sub long, start int, windows int, content long, bytes binary"
 
 
 def _fetched(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
     """Contents of the representatives ``wanted``, or the hashes of their windows for a hot key."""
     lists = wanted.groupBy("doc", "sub").agg(
-        F.collect_list(F.struct("start", "windows", "key", "n", F.col("hot"))).alias("wanted")
+        F.collect_list(F.struct("start", "windows", "key", "n", "content", "hot")).alias("wanted")
     )
     both = packed.join(lists.hint("merge"), ["doc", "sub"], "left")
 
@@ -268,12 +269,12 @@ def _fetched(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
                     start, windows, key, n = w["start"], w["windows"], w["key"], w["n"]
                     if not w["hot"]:
                         part = m.cut(units, start, start + windows + m.length - 1)
-                        out.append((key, None, None, n, docs[i], subs[i], start, windows, part))
+                        out.append((key, None, None, n, docs[i], subs[i], start, windows, w["content"], part))
                         continue
                     seq = seq or Sequences(m.symbols(text))
                     at = np.arange(start, start + windows)
                     for p, h in zip(at.tolist(), seq.runs(at, at + m.length).view(np.int64).tolist(), strict=True):
-                        out.append((key, h ^ docs[i] ^ p, h, n, docs[i], subs[i], p, 1, None))
+                        out.append((key, h ^ docs[i] ^ p, h, n, docs[i], subs[i], p, 1, None, None))
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema)
                     out = []
@@ -294,40 +295,44 @@ def _windows(fetched: DataFrame) -> DataFrame:
     return fetched.mapInArrow(run, "key long, window long, n long, doc long, sub long, start int")
 
 
-_SPAN = "doc long, sub long, start int, windows int"
+_SPAN = "doc long, sub long, start int, windows int, copies boolean, first int, key long, content long"
 SHARD_BYTES = 1 << 20
 
 
 def _compared(fetched: DataFrame, m: Method) -> DataFrame:
-    """Flagged windows of the contents of keys that are not hot, shard by shard."""
+    """Flagged windows of the contents of keys that are not hot, shard by shard: of the first place
+    ``doc, sub, first``, or with ``copies`` of all others; ``start`` is within the content."""
     rows = fetched.sortWithinPartitions("key")
 
     def shard(held: list[tuple]) -> pa.RecordBatch:
-        contents = [r[8] for r in held]
+        contents = [r[9] for r in held]
         windows = np.array([r[7] for r in held], np.int64)
         counts = np.array([r[3] for r in held], np.int64)
-        places = [r[4:7] for r in held]
-        found = m.compare(contents, windows, counts, places)
+        found = m.compare(contents, windows, counts, [r[4:7] for r in held])
         columns = [
-            pa.array([places[r][0] for r, _, _ in found], pa.int64()),
-            pa.array([places[r][1] for r, _, _ in found], pa.int64()),
-            pa.array([places[r][2] + at for r, at, _ in found], pa.int32()),
-            pa.array([n for _, _, n in found], pa.int32()),
+            pa.array([held[r][4] for r, *_ in found], pa.int64()),
+            pa.array([held[r][5] for r, *_ in found], pa.int64()),
+            pa.array([at for _, at, *_ in found], pa.int32()),
+            pa.array([n for _, _, n, _ in found], pa.int32()),
+            pa.array([copies for *_, copies in found], pa.bool_()),
+            pa.array([held[r][6] for r, *_ in found], pa.int32()),
+            pa.array([held[r][0] for r, *_ in found], pa.int64()),
+            pa.array([held[r][8] for r, *_ in found], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["doc", "sub", "start", "windows"])
+        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SPAN.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if r[8] is None:
+                if r[9] is None:
                     continue
                 if size > SHARD_BYTES and r[0] != held[-1][0]:  # a shard holds whole keys
                     yield shard(held)
                     held, size = [], 0
                 held.append(r)
-                size += len(r[8])
+                size += len(r[9])
         if held:
             yield shard(held)
 
@@ -351,31 +356,34 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
         ),
         "contents",
     )
-    known = written(contents.where("n >= 2").select("key", "content", "first"), "known")
+    known = written(contents.where("n >= 2").select("content"), "known")
     again = _matching(places.select("doc", "sub", "start", "windows", "key", "content"), "content", _bits(known, "content"))
-    known = known.select(F.col("key").alias("_key"), F.col("content").alias("_content"), "first")
-    copies = again.join(known, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
-    if m.keep_first:
-        copies = copies.where(place != F.col("first"))
-    several = contents.groupBy("key").agg(F.count("*").alias("k")).where("k >= 2")
-    several = written(several, "several")
-    hot = several.where(F.col("k") > HOT_KEY).select(F.col("key").alias("_key"), F.lit(True).alias("hot"))
-    wanted = _matching(
-        contents.select("first.doc", "first.sub", "first.start", "windows", "key", "n"), "key", _bits(several, "key")
-    )
-    wanted = wanted.join(written(hot, "hot"), F.col("key") == F.col("_key"), "left")
-    wanted = wanted.select("doc", "sub", "start", "windows", "key", "n", F.coalesce("hot", F.lit(False)).alias("hot"))
+    hot = contents.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > HOT_KEY)
+    hot = written(hot.select(F.col("key").alias("_key"), F.lit(True).alias("hot")), "hot")
+    wanted = contents.select("first.*", "windows", "key", "n", "content").join(hot, F.col("key") == F.col("_key"), "left")
+    wanted = written(wanted.drop("_key").withColumn("hot", F.coalesce("hot", F.lit(False))), "wanted")
     packed = _packed(rows)
     fetched = _fetched(packed, wanted, m)
     parts = _windows(fetched)
     same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
     same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
-    hot = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
+    split = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
     if m.keep_first:
-        hot = hot.where(place != F.col("first"))
-    spans = copies.select("doc", "sub", "start", "windows")
-    spans = spans.unionByName(hot.select("doc", "sub", "start", F.lit(1).alias("windows")))
-    return packed, spans.unionByName(_compared(fetched, m))
+        split = split.where(place != F.col("first"))
+    compared = written(_compared(fetched, m), "compared")
+    # copies of a content: by what was found in it, and whole where its key is hot
+    found = compared.where("copies").select("key", "content", "doc", "sub", "first", F.col("start").alias("at"), "windows")
+    whole = wanted.where("hot AND n >= 2").select("key", "content", "doc", "sub", F.col("start").alias("first"), F.lit(0).alias("at"), "windows")
+    found = found.unionByName(whole)
+    if not m.keep_first:  # nor does the first of them stay
+        found = found.unionByName(whole.withColumn("doc", F.lit(None).cast("long")))
+    found = found.select(*(F.col(c).alias(f"_{c}") for c in found.columns))
+    copies = again.join(found, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
+    other = ~(F.col("doc").eqNullSafe(F.col("_doc")) & F.col("sub").eqNullSafe(F.col("_sub")) & F.col("start").eqNullSafe(F.col("_first")))
+    copies = copies.where(other).select("doc", "sub", (F.col("start") + F.col("_at")).alias("start"), F.col("_windows").alias("windows"))
+    spans = copies.unionByName(split.select("doc", "sub", "start", F.lit(1).alias("windows")))
+    first = compared.where("NOT copies").select("doc", "sub", (F.col("first") + F.col("start")).alias("start"), "windows")
+    return packed, spans.unionByName(first)
 
 
 def covered(n: int, spans: list[dict], length: int) -> np.ndarray:

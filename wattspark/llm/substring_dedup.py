@@ -89,8 +89,9 @@ class Automaton:
 
 def repeats_in(
     contents: list[bytes], windows: np.ndarray, counts: np.ndarray, places: list[tuple], length: int = WORDS
-) -> list[tuple[int, int, int]]:
-    """Spans ``(content, offset, windows)`` of repeated windows in contents that occur once."""
+) -> list[tuple[int, int, int, bool]]:
+    """Spans ``(content, offset, windows, copies)`` of repeated windows, by the matching statistics; where a
+    content occurs more than once, for its first place and for the others."""
     automaton = Automaton()
     texts = [c.split() for c in contents]
     for words, n in zip(texts, counts.tolist(), strict=True):
@@ -98,11 +99,10 @@ def repeats_in(
     often = automaton.finish()
     out = []
     for i, words in enumerate(texts):
-        if counts[i] >= 2:  # repeated as a whole
-            continue
         hit = np.array(automaton.statistics(words, often)[length - 1 :]) >= length
         edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
-        out += [(i, int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            out += [(i, a, b - a, copies) for copies in ((False, True) if counts[i] >= 2 else (False,))]
     return out
 
 

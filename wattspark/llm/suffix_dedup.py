@@ -86,8 +86,10 @@ def window_buckets(text: np.ndarray, asked: np.ndarray, length: int = BYTES) ->
 
 def repeats_in(
     contents: list[bytes], windows: np.ndarray, counts: np.ndarray, places: list[tuple], length: int = BYTES
-) -> list[tuple[int, int, int]]:
-    """Spans ``(content, offset, windows)`` of windows that also start at an earlier place."""
+) -> list[tuple[int, int, int, bool]]:
+    """Spans ``(content, offset, windows, copies)`` of windows that also start at an earlier place: of the
+    content's first place those whose bucket has an earlier one, of its other places those whose bucket
+    has more than one, as the first place is in it."""
     sizes = np.array([len(c) for c in contents], np.int64)
     bases = np.cumsum(sizes) - sizes
     # contents in the order of their places
@@ -100,12 +102,17 @@ def repeats_in(
     turn = np.lexsort((offset, rank[row], mine))
     again = np.zeros(len(row), bool)
     again[turn[1:]] = mine[turn[1:]] == mine[turn[:-1]]
-    edge = again.copy()
-    edge[1:] &= ~(again[:-1] & (row[1:] == row[:-1]))
-    starts = np.flatnonzero(edge)
-    last = again.copy()
-    last[:-1] &= ~(again[1:] & (row[1:] == row[:-1]))
-    ends = np.flatnonzero(last)
+    shared = (np.bincount(mine, counts[row], minlength=1)[mine] >= 2) & (counts[row] >= 2)
+    return [(*r, False) for r in _runs(again, row, offset)] + [(*r, True) for r in _runs(shared, row, offset)]
+
+
+def _runs(flagged: np.ndarray, row: np.ndarray, offset: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs ``(content, offset, windows)`` of flagged windows, which do not cross contents."""
+    edge, last = flagged.copy(), flagged.copy()
+    together = flagged[:-1] & flagged[1:] & (row[1:] == row[:-1])
+    edge[1:] &= ~together
+    last[:-1] &= ~together
+    starts, ends = np.flatnonzero(edge), np.flatnonzero(last)
     return list(zip(row[starts].tolist(), offset[starts].tolist(), (ends - starts + 1).tolist(), strict=True))
 
 
