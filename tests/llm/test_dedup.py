@@ -64,11 +64,29 @@ def test_window_buckets_equal_windows():
 def test_matching_statistics_count_runs_that_occur_twice():
     a = substring_dedup.Automaton()
     first, second = "a b c d e".split(), "x b c d y b c".split()
-    a.add(first, 1)
-    a.add(second, 1)
-    often = a.finish()
-    assert a.statistics(first, often) == [0, 1, 2, 3, 0]
-    assert a.statistics(second, often) == [0, 1, 2, 3, 0, 1, 2]
+    paths = [a.add(first, 1), a.add(second, 1)]
+    often = np.array(a.finish())
+    assert a.statistics(paths[0], often).tolist() == [0, 1, 2, 3, 0]
+    assert a.statistics(paths[1], often).tolist() == [0, 1, 2, 3, 0, 1, 2]
+
+
+def test_added_sequences_keep_the_states_of_their_prefixes():
+    rnd = random.Random(5)
+    sequences = [[rnd.choice("abc") for _ in range(rnd.randint(1, 30))] for _ in range(60)]
+    a = substring_dedup.Automaton()
+    paths = [a.add(s, 1) for s in sequences]
+    assert [a.read(s) for s in sequences] == paths
+
+
+def test_every_removed_word_and_byte_comes_from_the_methods(spark, monkeypatch):
+    """Without what automata and buckets find, nothing is removed, copies included."""
+    texts = data.texts()
+    for module, length in ((substring_dedup, 35), (suffix_dedup, 100)):
+        docs = data.frame(spark, texts)
+        m = module.method(length)
+        nothing = repeats.Method(m.length, m.gram, m.symbols, m.units, m.cut, lambda *a: [], m.keep_first)
+        assert repeats.repeated(docs, nothing)[1].count() == 0
+        assert repeats.repeated(docs, m)[1].count() > 0
 
 
 def test_simhash_equals_brute_force(spark):

@@ -20,6 +20,7 @@ Documents are named by ``doc`` and ``sub``; ``sub`` is 0 where ids are unique.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
@@ -305,6 +306,8 @@ def _compared(fetched: DataFrame, m: Method) -> DataFrame:
     rows = fetched.sortWithinPartitions("key")
 
     def shard(held: list[tuple]) -> pa.RecordBatch:
+        alone = Counter(r[0] for r in held)  # keys that the bit map let through have one place
+        held = [r for r in held if r[3] > 1 or alone[r[0]] > 1]
         contents = [r[9] for r in held]
         windows = np.array([r[7] for r in held], np.int64)
         counts = np.array([r[3] for r in held], np.int64)

@@ -2,8 +2,8 @@
 
 A reference shard is a set of text pieces that share anchors (see ``repeats``). Its suffix automaton
 accepts every run of words of the shard and knows how often each run occurs. The pieces are
-streamed through it for their matching statistics: for every word, the length of the longest run
-ending there that the shard holds twice or more. Where that reaches the threshold, the window
+streamed through it, and the states they pass give their matching statistics: for every word, the length
+of the longest run ending there that the shard holds twice or more. Where that reaches the threshold, the window
 ending there is repeated; maximal spans of such windows are removed.
 
 Every automaton goes to the pieces that can match it, not to all documents: broadcasting all
@@ -12,6 +12,7 @@ automata would make the work grow with the square of the corpus.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -52,54 +53,78 @@ class Automaton:
             p = self.link[p]
         return part
 
-    def add(self, words: list, times: int) -> None:
-        last = 0
+    def add(self, words: list, times: int) -> list[int]:
+        """Add a sequence; gives the state of each of its prefixes, which is the longest run of that state
+        and so stays there when states are split."""
+        following, link, longest, count = self.next, self.link, self.longest, self.count
+        last, path = 0, []
         for word in words:
-            if word in self.next[last]:
-                last = self._split(last, self.next[last][word], word)
-            else:
-                state = self._state(self.longest[last] + 1, 0, {})
+            state = following[last].get(word)
+            if state is None:
+                state = len(following)
+                following.append({})
+                link.append(0)
+                longest.append(longest[last] + 1)
+                count.append(0)
                 p = last
-                while p >= 0 and word not in self.next[p]:
-                    self.next[p][word] = state
-                    p = self.link[p]
+                while p >= 0 and word not in following[p]:
+                    following[p][word] = state
+                    p = link[p]
                 if p >= 0:
-                    self.link[state] = self._split(p, self.next[p][word], word)
-                last = state
-            self.count[last] += times
+                    q = following[p][word]
+                    link[state] = q if longest[q] == longest[p] + 1 else self._split(p, q, word)
+            elif longest[state] != longest[last] + 1:
+                state = self._split(last, state, word)
+            last = state
+            count[last] += times
+            path.append(last)
+        return path
 
     def finish(self) -> list[int]:
         """Add up occurrences; for every state, the longest suffix of its runs that occurs twice."""
         order = np.argsort(self.longest, kind="stable").tolist()
+        link, longest, count = self.link, self.longest, self.count
         for s in reversed(order[1:]):
-            self.count[self.link[s]] += self.count[s]
+            count[link[s]] += count[s]
         often = [0] * len(order)
         for s in order[1:]:
-            often[s] = self.longest[s] if self.count[s] >= 2 else often[self.link[s]]
+            often[s] = longest[s] if count[s] >= 2 else often[link[s]]
         return often
 
-    def statistics(self, words: list, often: list[int]) -> list[int]:
-        """For every word of a sequence that was added, the longest run ending there that occurs twice."""
+    def read(self, words: list) -> list[int]:
+        """The states of a sequence's prefixes, of one that was added."""
         out, state = [], 0
-        for i, word in enumerate(words):
+        for word in words:
             state = self.next[state][word]
-            out.append(min(often[state], i + 1))
+            out.append(state)
         return out
 
+    @staticmethod
+    def statistics(path: list[int], often: np.ndarray) -> np.ndarray:
+        """For every word of a sequence, given by its states, the longest run ending there that occurs twice."""
+        return np.minimum(often[path], np.arange(1, len(path) + 1))
+
 
 def repeats_in(
     contents: list[bytes], windows: np.ndarray, counts: np.ndarray, places: list[tuple], length: int = WORDS
 ) -> list[tuple[int, int, int, bool]]:
     """Spans ``(content, offset, windows, copies)`` of repeated windows, by the matching statistics; where a
     content occurs more than once, for its first place and for the others."""
-    automaton = Automaton()
-    texts = [c.split() for c in contents]
-    for words, n in zip(texts, counts.tolist(), strict=True):
-        automaton.add(words, n)
-    often = automaton.finish()
+    automaton, number = Automaton(), {}
+    paths = []
+    watched = gc.isenabled()
+    gc.disable()  # many small tables without cycles
+    try:
+        for content, n in zip(contents, counts.tolist(), strict=True):
+            words = [number.setdefault(w, len(number)) for w in content.split()]
+            paths.append(automaton.add(words, n))
+    finally:
+        if watched:
+            gc.enable()
+    often = np.array(automaton.finish())
     out = []
-    for i, words in enumerate(texts):
-        hit = np.array(automaton.statistics(words, often)[length - 1 :]) >= length
+    for i, path in enumerate(paths):
+        hit = automaton.statistics(path, often)[length - 1 :] >= length
         edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             out += [(i, a, b - a, copies) for copies in ((False, True) if counts[i] >= 2 else (False,))]
@@ -111,7 +136,7 @@ def _symbols(text: bytes) -> np.ndarray:
     return hashes(words, len(words))
 
 
-def method(length: int = WORDS, gram: int = 8) -> Method:
+def method(length: int = WORDS, gram: int = 6) -> Method:
     return Method(
         length,
         min(gram, length),
