@@ -39,7 +39,8 @@ def refine(bucket: np.ndarray, offset: int, by: np.ndarray, asked: np.ndarray |
         return bucket
     later = todo + offset
     second = np.where(later < len(by), by[np.minimum(later, len(by) - 1)], 0)
-    order = np.lexsort((second, bucket[todo]))
+    # one number for both, which is below the square of the shard's size
+    order = np.argsort(bucket[todo] * np.int64(len(by) + 1) + second)
     first, second = bucket[todo][order], second[order]
     new = np.ones(len(order), bool)
     new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
@@ -64,7 +65,7 @@ def window_buckets(text: np.ndarray, asked: np.ndarray, length: int = BYTES) ->
     for i in range(gram):
         code <<= np.uint64(8)
         code[: len(text) - i] |= text[i:]
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     sorted_code = code[order]
     new = np.ones(len(order), bool)
     new[1:] = sorted_code[1:] != sorted_code[:-1]
@@ -94,12 +95,12 @@ def repeats_in(
     bases = np.cumsum(sizes) - sizes
     # contents in the order of their places
     order = sorted(range(len(contents)), key=places.__getitem__)
-    rank = np.empty(len(contents), np.int64)
-    rank[order] = np.arange(len(contents))
     row = np.repeat(np.arange(len(contents)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
     mine = window_buckets(np.frombuffer(b"".join(contents), np.uint8), bases[row] + offset, length)
-    turn = np.lexsort((offset, rank[row], mine))
+    before = np.empty(len(order), np.int64)  # windows of the contents whose place is earlier
+    before[order] = np.cumsum(windows[order]) - windows[order]
+    turn = np.argsort(mine * np.int64(len(row) + 1) + before[row] + offset)
     again = np.zeros(len(row), bool)
     again[turn[1:]] = mine[turn[1:]] == mine[turn[:-1]]
     shared = (np.bincount(mine, counts[row], minlength=1)[mine] >= 2) & (counts[row] >= 2)
