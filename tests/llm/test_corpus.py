@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute, data
@@ -126,19 +127,71 @@ def test_rollup_is_additive_and_batches_are_idempotent(spark, tmp_path):
         rollup.commit("../x", token_rollup.inserted(counted, "v", "w"))
 
 
-def test_an_unfinished_batch_does_not_count(spark, tmp_path):
+def test_a_batch_counts_by_its_own_commit(spark, tmp_path):
     rollup = token_rollup.Rollup(spark, str(tmp_path / "r"))
     counted = token_rollup.counts(data.frame(spark, ["a b", "c"]), {"w": token_rollup.words})
     rollup.commit("a", token_rollup.inserted(counted, "v", "w"))
-    os.remove(tmp_path / "r" / "batch=a" / "_SUCCESS")
+    for part in (tmp_path / "r" / "deltas").rglob("_SUCCESS"):  # a cluster may be set to write none
+        part.unlink()
+    assert not rollup.commit("a", token_rollup.inserted(counted, "v", "w"))
+    with pytest.raises(ValueError, match="other changes"):
+        rollup.commit("a", token_rollup.deleted(counted, "v", "w"))
+    assert rollup.totals().agg({"tokens": "sum"}).first()[0] == 3
+    # a commit that was cut short: the delta is there, its note is missing or empty
+    os.remove(tmp_path / "r" / "commits" / "a")
+    assert rollup.totals().count() == 0 and not rollup.committed("a")
+    (tmp_path / "r" / "commits" / "a").write_text("")
     assert rollup.totals().count() == 0
     assert rollup.commit("a", token_rollup.inserted(counted, "v", "w"))
     assert rollup.totals().agg({"tokens": "sum"}).first()[0] == 3
 
 
-@pytest.mark.skipif(not os.path.exists(token_rollup.VOCABULARY), reason="no vocabulary")
+def test_folded_batches_stay_committed(spark, tmp_path):
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "r"))
+    counted = token_rollup.counts(data.frame(spark, data.texts(13, 9)), {"w": token_rollup.words})
+    rollup.compact()
+    rollup.commit("a", token_rollup.inserted(counted, "v", "w"))
+    rollup.commit("b", token_rollup.inserted(counted, "u", "w"))
+    before = sorted(map(tuple, rollup.totals().collect()), key=str)
+    rollup.compact()
+    assert sorted(map(tuple, rollup.totals().collect()), key=str) == before
+    assert not rollup.commit("a", token_rollup.inserted(counted, "v", "w"))
+    rollup.commit("c", token_rollup.deleted(counted, "u", "w"))
+    rollup.compact()
+    assert sorted(map(tuple, rollup.totals().collect()), key=str) == [r for r in before if r[2] == "v"]
+
+
+def test_token_counts_query_equals_brute_force(spark, tmp_path):
+    """Repeated rows, repeated ids, no ids, empty documents, nulls in every column."""
+    texts = [*data.texts(14, 20), "same text !", "same text !", "same text !", "same text !", None, "", "again", "again"]
+    n = len(data.texts(14, 20))
+    ids = [*range(n), 5, 5, None, None, None, 9000, 3, 3]
+    docs = data.frame(spark, texts, ids).withColumn("text_hash", F.lit("clash")).withColumn("words", F.lit(1))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.token_counts(spark, str(tmp_path))
+    bpe = token_rollup.Bpe.from_file(queries.VOCABULARY)
+    best = {}
+    for r in docs.collect():
+        none = lambda x: (x is not None, x or "")
+        key = (r.doc_id is None, r.doc_id or 0, none(r.source), none(r.lang))
+        best[r.text or ""] = min(best.get(r.text or "", (key, r)), (key, r), key=lambda x: x[0])
+    want = {}
+    for text, (_, r) in best.items():
+        letters = [w for w in text.encode().split() if any(c >= 128 or chr(c).isalnum() for c in w)]
+        for version, tokens in (("byte_bpe_50k", bpe([text])[0]), ("words", len(letters))):
+            docs_, tokens_ = want.get((r.source, r.lang, version), (0, 0))
+            want[r.source, r.lang, version] = (docs_ + 1, tokens_ + tokens)
+    assert {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in got.collect()} == want
+    empty = tmp_path / "empty"
+    docs.where("false").write.parquet(f"{empty}/documents.parquet")
+    assert queries.token_counts(spark, str(empty)).count() == 0
+    with pytest.raises(FileNotFoundError, match="vocabulary"):
+        queries.token_counts(spark, str(tmp_path), "/nowhere")
+
+
+@pytest.mark.skipif(not os.path.exists(queries.VOCABULARY), reason="no vocabulary")
 def test_bpe_counts_go_back_to_the_text():
-    bpe = token_rollup.Bpe.from_file(token_rollup.VOCABULARY)
+    bpe = token_rollup.Bpe.from_file(queries.VOCABULARY)
     texts = ["", "Hello there, it's 2024!", "ñandú  über\n\nça"]
     found = bpe(texts)
     assert found == [len(bpe._encoding.encode_ordinary(t)) for t in texts]

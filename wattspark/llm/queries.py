@@ -209,33 +209,37 @@ def sharding_by_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 9 ---------------------------------------------------------------------------------------------
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 @query("op9_token_counts")
-def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """A rollup after a load, the removal of exact copies and a revised word count.
 
-    All documents are inserted under two tokenizer versions. Then copies go: of equal texts that
-    of the smallest id stays. Then the remaining counts of ``words`` are revised to leave out runs
-    of mere punctuation. Two batches are committed twice, which changes nothing.
+    All documents are inserted under two tokenizer versions. Then copies go: all rows are deleted and
+    one of each text is inserted again, that of the smallest id (ids before none, then the first source
+    and language), in one signed batch. Then the remaining counts of ``words`` are revised to leave out
+    runs of mere punctuation. Two batches are committed twice, which changes nothing. ``vocabulary``
+    is read by the driver. Null and empty texts are copies of one another, with 0 tokens.
     """
     counters = {
-        "bpe": token_rollup.Bpe.from_file(token_rollup.VOCABULARY),
+        "bpe": token_rollup.Bpe.from_file(vocabulary),
         "words": token_rollup.words,
         "letter_words": token_rollup.letter_words,
     }
     counted = written(token_rollup.counts(table(spark, sf_dir, "documents"), counters), "token_counts")
-    first = counted.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
-    marked = counted.join(first, "text_hash")
-    copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
-    copies, kept = marked.where(copy), marked.where(~copy)
+    kept = written(token_rollup.without_copies(counted), "one_of_each_text")
     rollup = token_rollup.Rollup(spark, scratch_dir(spark, "token_rollup"))
     versions = (("byte_bpe_50k", "bpe"), ("words", "words"))
     load = [token_rollup.inserted(counted, v, c) for v, c in versions]
-    removal = [token_rollup.deleted(copies, v, c) for v, c in versions]
+    removal = [token_rollup.deleted(counted, v, c) for v, c in versions]
+    removal += [token_rollup.inserted(kept, v, c) for v, c in versions]
     rollup.commit("load", *load)
     rollup.commit("removal", *removal)
     rollup.commit("load", *load)
     rollup.commit("recount", token_rollup.revised(kept, "words", "words", "letter_words"))
     rollup.commit("removal", *removal)
+    rollup.compact()
     return rollup.totals()
 
 
