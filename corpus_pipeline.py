@@ -38,14 +38,14 @@ def told_apart(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, whatever the ids: rows that repeat an id or have none are
-    judged each on its own text. A row without an id stands for its group if there is one, else the
-    smallest id; the row number decides between equal ids."""
+    judged each on its own text. The row of the smallest id stands for its group, one without an id only
+    where no row has one; the row number decides between equal ids."""
     rows, row = told_apart(docs, "doc_id")
     groups = simhash.near_duplicates(rows.select(column(row).alias("doc_id"), "text"))
     ids = rows.select(column(row).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
     # merged at any size: ids grow with the documents, so a broadcast would only be right for small ones
     groups = groups.join(ids.hint("merge"), F.col("doc_id") == F.col("_row"))
-    first = groups.groupBy("component_id").agg(F.min(F.struct("_id", "_row")).alias("first"))
+    first = groups.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("first"))
     name = unused("_id", rows.columns)
     chosen = written(first.select(F.col("first._row").alias(name)), "chosen")
     return rows.join(chosen.hint("merge"), column(row) == F.col(name), "left_semi").drop(row)
