@@ -37,9 +37,40 @@ def test_texts_without_letters_are_und_and_columns_stay(spark):
     assert all(r.rejected for r in langid.identify(docs, none).collect())
 
 
-def test_parts_of_a_long_text_are_read_whole():
-    text = b"word " * 1000
-    assert b"".join(langid._parts(text, 64)) == text
+def test_parts_of_a_long_text_have_its_subwords():
+    rnd = random.Random(5)
+    texts = [b"word " * 1000, b"x" * 500, "äöü".encode() * 90, b"a\n" * 99, b" " * 200, b"ab cd" + b"e" * 64 + b" f"]
+    texts += [bytes(rnd.choice(b"abc \n\t") for _ in range(rnd.randint(30, 400))) for _ in range(200)]
+    texts += [bytes(rnd.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randint(30, 400))) for _ in range(400)]
+    sizes = (2, 3, 4)
+    for text in texts:
+        for size in (7, 16, 33):
+            parts = list(langid._parts(text, 4, size))
+            found = [langid.subwords(p, sizes, *ends) for p, *ends in parts]
+            assert sorted(np.concatenate(found).tolist()) == sorted(langid.subwords(text, sizes).tolist()), (text, size)
+            assert max(len(p) for p, *_ in parts) <= size + 3
+
+
+def test_texts_of_no_learned_language_are_rejected(spark):
+    rnd = random.Random(1)
+    kinds = {"xx": "abcdefgh", "yy": "ghijklmn", "zz": "äöüabxyz"}
+    rows = [(i, prose(rnd, kinds[k], rnd.randint(20, 80)), k) for i, k in enumerate(sorted(kinds) * 60)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), SMALL)
+    other = [(i, prose(rnd, "опрстуфх", 60)) for i in range(40)]
+    told = langid.identify(spark.createDataFrame(other, "doc_id long, text string"), model).collect()
+    known = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert np.mean([r.rejected for r in told]) >= 0.9 and not any(r.rejected for r in known)
+
+
+def test_repeated_ids_train_alike_in_any_order(spark):
+    rnd = random.Random(6)
+    rows = [(i % 3, prose(rnd, "abcdefgh" if i % 2 else "ghijklmn", 30), "xx" if i % 2 else "yy") for i in range(900)]
+    few = langid.Settings(docs_per_lang=10, chars_per_doc=200, buckets=1 << 12)
+    tables = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows[::-1] if parts > 1 else rows, "doc_id long, text string, lang string")
+        tables.append(langid.fit(docs.repartition(parts), few).table)
+    assert np.array_equal(*tables)
 
 
 def tiny():
