@@ -2,7 +2,9 @@
 
 How many rows of every input partition go to every shard is drawn first: row p of the matrix is a
 multivariate hypergeometric draw of that partition's rows from the places that the shards have
-left. Column sums are then the shard sizes, exactly, and no task has to know what others do. Each
+left. Column sums are then the shard sizes, exactly. The draw has two levels, so that nobody holds the
+matrix: the driver draws how many rows of each block of partitions go to each shard, and a task draws
+the rows of its partition's block from the block's totals; blocks are as many as partitions in one. Each
 partition permutes its rows and deals them out by its row of the matrix; after the exchange each
 shard permutes what it received. Permutations are keyed bijections on 0 .. n-1, computed for a
 row by itself, so nothing is gathered to be shuffled.
@@ -10,6 +12,7 @@ row by itself, so nothing is gathered to be shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +78,24 @@ def communication_matrix(rows: np.ndarray, sizes: np.ndarray, seed: int) -> np.n
     return out
 
 
+def block_width(parts: int) -> int:
+    """Partitions in a block."""
+    return max(1, math.isqrt(max(parts - 1, 0)) + 1)
+
+
+def block_totals(rows: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
+    """Rows of each block of partitions that go to each shard."""
+    starts = np.arange(0, len(rows), block_width(len(rows)))
+    in_block = np.add.reduceat(rows, starts) if len(rows) else rows
+    return communication_matrix(in_block, sizes, seed)
+
+
+def block_matrix(rows: np.ndarray, totals: np.ndarray, block: int, seed: int) -> np.ndarray:
+    """The matrix's rows for the partitions of one block, whose columns add up to the block's totals."""
+    width = block_width(len(rows))
+    return communication_matrix(rows[block * width : (block + 1) * width], totals[block], seed * 1_000_003 + block + 1)
+
+
 def shard_sizes(n: int, shards: int, seed: int) -> np.ndarray:
     """Near-equal sizes; which shards get one more is drawn."""
     out = np.full(shards, n // shards, np.int64)
@@ -106,14 +127,13 @@ def shuffle_to_shards(
     parts = np.array(sorted(counts), np.int64)
     rows = np.array([counts[p] for p in parts.tolist()], np.int64)
     sizes = shard_sizes(int(rows.sum()), shards, seed)
-    matrix = communication_matrix(rows, sizes, seed)
-    sent = df.sparkSession.sparkContext.broadcast((parts, rows, matrix, sizes))
+    sent = df.sparkSession.sparkContext.broadcast((parts, rows, block_totals(rows, sizes, seed), sizes))
     schema = fixed.drop("at").schema.add("shard", "integer").add("slot", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, rows, matrix, sizes = sent.value
-        upto = np.cumsum(matrix, axis=1)  # within a partition
-        before = np.cumsum(matrix, axis=0) - matrix  # within a shard
+        parts, rows, totals, sizes = sent.value
+        width = block_width(len(rows))
+        drawn = -1
         for batch in batches:
             at = batch.column(batch.num_columns - 1).to_numpy()
             where = np.searchsorted(parts, at >> INDEX_BITS)
@@ -123,9 +143,15 @@ def shuffle_to_shards(
                 mine = np.flatnonzero(where == p)
                 index = at[mine] & ((1 << INDEX_BITS) - 1)
                 local = permuted(index, int(rows[p]), seed * 2_000_003 + 2 * int(parts[p]))
-                to = np.searchsorted(upto[p], local, side="right")
+                if p // width != drawn:
+                    drawn = p // width
+                    matrix = block_matrix(rows, totals, drawn, seed)
+                    upto = np.cumsum(matrix, axis=1)  # within a partition
+                    before = np.cumsum(matrix, axis=0) - matrix + totals[:drawn].sum(axis=0)  # within a shard
+                q = p % width
+                to = np.searchsorted(upto[q], local, side="right")
                 shard[mine] = to
-                slot[mine] = before[p, to] + local - (upto[p, to] - matrix[p, to])
+                slot[mine] = before[q, to] + local - (upto[q, to] - matrix[q, to])
             for s in np.unique(shard).tolist():
                 mine = shard == s
                 slot[mine] = permuted(slot[mine], int(sizes[s]), seed * 2_000_003 + 2 * s + 1)
