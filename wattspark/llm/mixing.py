@@ -7,8 +7,9 @@ with a, and so does the number of times the most repeated source is read.
 Each source is then read in epochs. An epoch is a permutation of the source: its documents are
 ordered by a seeded hash and fall into blocks of neighbouring places. Whole epochs are read while
 the source's part of the budget lasts; of the last one, whole blocks and then documents up to the
-budget. Only sums per source and block decide that, so a source of any size is never gathered in
-one task: what is left is one number per source, the last place that is read.
+budget. Only sums decide that: of spans of blocks, of the blocks of one span, of the documents of one
+block. So a source of any size is never gathered in one task, and what is left is one number per
+source, the last place that is read.
 
 DataFrame functions only.
 """
@@ -23,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 STEPS = 60  # of the bisection
 PLACES = 1 << 60  # of a permutation: 15 hexadecimal digits
 DOCS_PER_BLOCK = 4096
+BLOCKS_PER_SPAN = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -74,8 +76,10 @@ def weights(
 
     One row per source comes in and goes out; the exponent is the larger of those that the entropy
     target (a share of the largest entropy, that of equal weights) and the limit on repeats ask
-    for. Where even 1 fails, 1 is used. Without a budget it is the least under which every source
-    is read whole at least once. Sources without tokens get weight 0.
+    for. Where even 1 misses the entropy, 1 is used. A budget that reads all tokens more than
+    ``max_repeats`` times breaks the limit whatever the weights: it raises when the rows are computed.
+    Without a budget it is the least under which every source is read whole at least once. Sources
+    without tokens get weight 0.
     """
     tokens = F.col("all_tokens")
     one = (
@@ -98,11 +102,14 @@ def weights(
             )
         exponent = F.greatest(exponent, _bisect(lambda a: repeats(a) > F.lit(float(max_repeats))))
     one = one.withColumn("exponent", exponent).withColumn("z", _sums(shares, F.col("exponent"))["z"])
-    budget = (
-        F.lit(float(budget_tokens))
-        if budget_tokens is not None
-        else tokens * F.col("z") * F.exp((1 - F.col("exponent")) * most)
-    )
+    if budget_tokens is None:
+        budget = tokens * F.col("z") * F.exp((1 - F.col("exponent")) * most)
+    else:
+        budget = F.lit(float(budget_tokens))
+    if budget_tokens is not None and max_repeats is not None:
+        over = budget > tokens * F.lit(float(max_repeats))
+        message = f"a budget of {budget_tokens} tokens reads some source more than {max_repeats} times"
+        budget = F.when(over, F.raise_error(F.lit(message)).cast("double")).otherwise(budget)
     one = one.withColumn("budget", budget)
     each = one.select("exponent", "z", "budget", "all_tokens", F.explode("l").alias("x")).select(
         F.col("x.source").alias("source"), F.col("x.tokens").alias("tokens"), "exponent", "z", "budget", "all_tokens"
@@ -120,6 +127,15 @@ def weights(
     )
 
 
+def _crossed(sums: DataFrame, level: str, start: Column) -> DataFrame:
+    """``source, <level>, before, rest``: the first of a source's parts in which its tokens pass
+    ``rest``, if there is one, and the tokens ahead of it. ``start`` counts what the rows leave out."""
+    upto = start + F.sum("tokens").over(Window.partitionBy("source").orderBy(level))
+    found = sums.withColumn("before", upto - F.col("tokens")).where("before + tokens > rest AND before <= rest")
+    first = found.groupBy("source").agg(F.min(F.struct(level, "before", "rest")).alias("c"))
+    return written(first.select("source", "c.*"), "cut")
+
+
 def plan(
     docs: DataFrame,
     entropy_share: float | None = None,
@@ -149,11 +165,14 @@ def plan(
     last = sized.join(keyed, F.col("source").eqNullSafe(F.col("_source")))
     last = last.withColumn("place", place(F.col("doc_id"), F.col("full_epochs"), seed))
     last = last.select("source", "tokens", "rest", F.expr("place div width").alias("block"), "place")
-    per_block = last.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("tokens"))
-    before = F.sum("tokens").over(Window.partitionBy("source").orderBy("block"))
-    cut = per_block.withColumn("before", before - F.col("tokens")).where("before + tokens > rest AND before <= rest")
-    cut = written(cut.groupBy("source").agg(F.min(F.struct("block", "before", "rest")).alias("c")), "cut")
-    cut = cut.select(F.col("source").alias("_source"), "c.block", "c.before", F.col("c.rest").alias("_rest"))
+    per_block = written(last.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("tokens")), "blocks")
+    per_block = per_block.withColumn("span", F.expr(f"block div {BLOCKS_PER_SPAN}"))
+    per_span = per_block.groupBy("source", "span", "rest").agg(F.sum("tokens").alias("tokens"))
+    spans = _crossed(per_span, "span", F.lit(0).cast("long"))
+    spans = spans.select(F.col("source").alias("_source"), F.col("span").alias("_span"), F.col("before").alias("start"))
+    near = per_block.join(spans, F.col("source").eqNullSafe(F.col("_source")) & (F.col("span") == F.col("_span")))
+    cut = _crossed(near, "block", F.col("start"))
+    cut = cut.select(F.col("source").alias("_source"), "block", "before", F.col("rest").alias("_rest"))
     inside = last.withColumnRenamed("block", "_block").join(
         cut, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_block") == F.col("block"))
     )
