@@ -102,3 +102,8 @@ def float_list(text: Column) -> Column:
 def device_type_of(device_id: Column) -> Column:
     """Kind of resource from an id such as ``DER-wind-3``."""
     return F.split_part(device_id, F.lit("-"), F.lit(2))
+
+
+def readable_prefix(data: Column, characters: int = 1000) -> Column:
+    """The first characters of a binary body as text; what is not UTF-8 shows as U+FFFD."""
+    return F.substring(F.make_valid_utf8(data.cast("string")), 1, characters)

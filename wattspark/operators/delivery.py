@@ -107,7 +107,7 @@ def out_of_band(latency: Column) -> Column:
 def latency_by_profile(readings: DataFrame) -> DataFrame:
     ms = F.col("latency_ms")
     slim = readings.select(PROFILE, latency_ms().alias("latency_ms"))
-    p95 = exact_quantiles(slim, [PROFILE], "latency_ms", {"p95_latency_ms": 0.95}, width=10.0)
+    p95 = exact_quantiles(slim, [PROFILE], "latency_ms", {"p95_latency_ms": 0.95})
     p95 = p95.withColumnRenamed(PROFILE, "_profile")
     stats = (
         slim.groupBy(PROFILE)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, functions as F
 
+from wattspark.functions import columns as c
 from wattspark.operators import ingest, strict
-from wattspark.plans.projections import messages, readings
+from wattspark.plans.projections import events, messages, readings
 from wattspark.plans.registry import query
 
 SEEN_AT = "2024-01-31 00:00:00"
@@ -245,3 +248,41 @@ def violation_counts(spark, sf_dir):
 def unknown_properties(spark, sf_dir):
     valid, _ = ingest.parse_and_validate(messages(spark, sf_dir))
     return strict.unknown_properties(valid).select("publish_ts", "unknown_properties")
+
+
+@query(
+    "f23_readable_prefix",
+    "SELECT ts AS publish_ts, meter_id, substring(concat(meter_id, chr(65533), chr(228), chr(65533), "
+    "repeat(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), event_id % 60)), 1, 1000) AS shown FROM messages",
+)
+def readable_prefix(spark, sf_dir):
+    """Bodies with a byte that no character has and a character cut short; most are longer than is shown."""
+    sent = events(spark, sf_dir).select(
+        "event_id",
+        F.col("ts").alias("publish_ts"),
+        F.concat(F.lit("m_"), F.col("user_id").cast("string")).alias("meter_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("iso"),
+    )
+    times = F.expr("CAST(event_id % 60 AS INT)")
+    body = F.concat(
+        F.encode("meter_id", "UTF-8"), F.unhex(F.lit("FFC3A4E282")), F.encode(F.repeat("iso", times), "UTF-8")
+    )
+    return sent.select("publish_ts", "meter_id", c.readable_prefix(body).alias("shown"))
+
+
+@query(
+    "f21_stamped_now",
+    "SELECT meter_id, count(*) AS readings, CAST(1 AS BIGINT) AS stamps, true AS in_time FROM messages "
+    "WHERE class = 'ok' GROUP BY meter_id",
+)
+def stamped_now(spark, sf_dir):
+    """Readings enriched without a given time carry that of the query: one for all, and not before its start."""
+    begun = datetime.now(timezone.utc)
+    found = ingest.enrich(ingest.successes(ingest.validate(ingest.parse(messages(spark, sf_dir)))))
+    now = F.col("ingest_ts")
+    late = F.lit(begun + timedelta(days=1)).cast("timestamp")
+    return found.groupBy("meter_id").agg(
+        F.count(F.lit(1)).alias("readings"),
+        (F.count_distinct(now) + F.count_if(now.isNull())).alias("stamps"),
+        F.min((now >= F.lit(begun).cast("timestamp")) & (now < late)).alias("in_time"),
+    )

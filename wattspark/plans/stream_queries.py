@@ -262,6 +262,40 @@ def discarding_panes(spark, sf_dir):
     )
 
 
+@query(
+    "st07_flush_each_minute",
+    SERIES.replace("SELECT metric", "SELECT CAST(part AS BIGINT) AS pane, metric"),
+    "value",
+    (
+        f"parted AS (SELECT *, CASE WHEN ingest_ts < TIMESTAMP '{PARTS[0]}' THEN 0 ELSE 1 END AS part FROM readings)",
+        PANES,
+        LONG.replace("SELECT pole_id", "SELECT part, pole_id"),
+    ),
+)
+def flush_each_minute(spark, sf_dir):
+    """A running stream that flushes every 60 seconds: the first flush has what is there, what comes before
+    the next one stays buffered, and the flush at the end has it."""
+    path, checkpoint, staged = (scratch_dir(spark, n) for n in ("metrics", "checkpoint", "staged"))
+    rows, bound = readings(spark, sf_dir), F.lit(PARTS[0]).cast("timestamp")
+    rows.filter(F.col("ingest_ts") < bound).write.parquet(staged)
+    source = streams.readings_stream(spark, staged)
+    running = pipeline.start_gauge_panes(source, path, checkpoint, flush_seconds=60)
+    while running.isActive and not running.recentProgress:
+        running.awaitTermination(1)
+    rows.filter(F.col("ingest_ts") >= bound).write.mode("append").parquet(staged)
+    running.stop()
+    _finish(pipeline.start_gauge_panes(source, path, checkpoint, once=True))
+    panes = spark.read.schema(f"{METRIC_SCHEMA.toDDL()}, batch_id BIGINT").parquet(path)
+    return panes.select(
+        F.col("batch_id").alias("pane"),
+        "metric",
+        F.col("labels")["pole_id"].alias("pole_id"),
+        "end_time",
+        "value",
+        "value_type",
+    )
+
+
 @query("k04_dead_letters", PAYLOADS)
 def dead_letters(spark, sf_dir):
     path = scratch_dir(spark, "dead_letters")

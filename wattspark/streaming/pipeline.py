@@ -150,12 +150,16 @@ def start_gauge_panes(
     window_seconds: int = 60,
     once: bool = False,
     delay: str | None = None,
+    flush_seconds: int | None = None,
 ) -> StreamingQuery:
-    """Gauges of each pane into the metric table, a pane every half window."""
+    """Gauges of each pane into the metric table, a pane every half window or every ``flush_seconds``.
+
+    What comes between two flushes is buffered by the source; after a stop, ``once`` flushes the rest.
+    """
     writer = readings.writeStream.foreachBatch(pane_writer(path, window_seconds, delay)).option(
         "checkpointLocation", checkpoint
     )
-    return _run(writer, once, f"{max(1, window_seconds // 2)} seconds").start()
+    return _run(writer, once, f"{flush_seconds or max(1, window_seconds // 2)} seconds").start()
 
 
 def start_gauges(
