@@ -2,9 +2,9 @@
 
 The positions of a shard of text pieces that share anchors (see ``repeats``) are sorted by what
 follows them. They first fall into buckets by their q-gram. A bucket is refined by sorting its
-positions on the bucket identifiers at the offset to which the bucket is already sorted; the new
-identifiers are used by the next refinement, which so reaches twice as far. Positions alone in their
-bucket are done and are not sorted again. Refinement ends at the window length: positions that then
+positions on the bucket identifiers at the offsets behind what the bucket is already sorted by; the new
+identifiers are used by the next refinement, which so reaches two or three times as far. Positions alone
+in their bucket are done and are not sorted again. Refinement ends at the window length: positions that then
 share a bucket start equal windows.
 """
 
@@ -24,26 +24,23 @@ BYTES = 100
 GRAM = 8  # bytes of the initial buckets
 
 
-def refine(bucket: np.ndarray, offset: int, by: np.ndarray, asked: np.ndarray | None = None) -> np.ndarray:
-    """New bucket identifiers, in order: by the old ones, then by identifiers ``by`` at ``offset``.
+def refine(bucket: np.ndarray, later: list[np.ndarray], bits: int) -> np.ndarray:
+    """New bucket identifiers, in order: by the old ones, then by those at ``later`` offsets.
 
-    Only the positions ``asked`` for are refined (all by default); others keep what they have.
-
-    Identifiers leave gaps of the bucket's size, so that positions alone keep theirs and a refined
-    bucket has room for its parts.
+    Identifiers have ``bits`` bits; all that decide together fit into 64. They leave gaps of the bucket's
+    size, so that positions alone keep theirs and a refined bucket has room for its parts.
     """
-    sizes = np.bincount(bucket, minlength=len(bucket))
-    asked = np.arange(len(bucket)) if asked is None else asked
-    todo = asked[sizes[bucket[asked]] > 1]
+    todo = np.flatnonzero(np.bincount(bucket)[bucket] > 1) if len(bucket) else bucket
     if not len(todo):
         return bucket
-    later = todo + offset
-    second = np.where(later < len(by), by[np.minimum(later, len(by) - 1)], 0)
-    # one number for both, which is below the square of the shard's size
-    order = np.argsort(bucket[todo] * np.int64(len(by) + 1) + second)
-    first, second = bucket[todo][order], second[order]
+    code = bucket[todo].astype(np.uint64)
+    for by in later:
+        code <<= np.uint64(bits)
+        code |= by[todo].astype(np.uint64)
+    order = np.argsort(code)
+    code, first = code[order], bucket[todo[order]]
     new = np.ones(len(order), bool)
-    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    new[1:] = code[1:] != code[:-1]
     head = np.ones(len(order), bool)
     head[1:] = first[1:] != first[:-1]
     at = np.arange(len(order))
@@ -57,8 +54,9 @@ def refine(bucket: np.ndarray, offset: int, by: np.ndarray, asked: np.ndarray |
 def window_buckets(text: np.ndarray, asked: np.ndarray, length: int = BYTES) -> np.ndarray:
     """Bucket of each position ``asked``: equal exactly where the next ``length`` bytes are equal.
 
-    Windows must end within ``text``. While buckets reach less than half as far as the windows they
-    are refined everywhere, as later refinements look them up; from there on only where asked.
+    Windows must end within ``text``. A refinement looks up as many later offsets as fit into one number
+    beside the bucket itself: two where the text is below 2 MB. The first ones refine all positions, as
+    later ones look them up; the last cover the rest of the window and only sort what was asked for.
     """
     gram = min(GRAM, length)
     code = np.zeros(len(text), np.uint64)
@@ -71,18 +69,18 @@ def window_buckets(text: np.ndarray, asked: np.ndarray, length: int = BYTES) ->
     new[1:] = sorted_code[1:] != sorted_code[:-1]
     bucket = np.empty(len(text), np.int64)
     bucket[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    depth, known = gram, [(gram, bucket)]
-    while 4 * depth <= length:
-        bucket = refine(bucket, depth, bucket)
-        depth *= 2
-        known.append((depth, bucket))
-    for size, by in reversed(known):  # the rest, in pieces that are sorted already
-        while depth + size <= length:
-            bucket = refine(bucket, depth, by, asked)
-            depth += size
-    if depth < length:
-        bucket = refine(bucket, length - gram, known[0][1], asked)
-    return bucket[asked]
+    depth, bits = gram, len(text).bit_length()
+    looks = 64 // bits - 1
+    while 2 * depth * (looks + 1) <= length:
+        past = np.zeros(looks * depth, np.int64)  # no window that was asked for reaches there
+        ahead = np.concatenate([bucket, past])
+        bucket = refine(bucket, [ahead[i * depth : i * depth + len(text)] for i in range(1, looks + 1)], bits)
+        depth *= looks + 1
+    mine = bucket[asked]
+    offsets = [*range(depth, length - depth, depth), length - depth] if depth < length else []
+    for i in range(0, len(offsets), looks):
+        mine = refine(mine, [bucket[asked + o] for o in offsets[i : i + looks]], bits)
+    return mine
 
 
 def repeats_in(
@@ -100,7 +98,8 @@ def repeats_in(
     mine = window_buckets(np.frombuffer(b"".join(contents), np.uint8), bases[row] + offset, length)
     before = np.empty(len(order), np.int64)  # windows of the contents whose place is earlier
     before[order] = np.cumsum(windows[order]) - windows[order]
-    turn = np.argsort(mine * np.int64(len(row) + 1) + before[row] + offset)
+    met = np.flatnonzero(np.bincount(mine, minlength=1)[mine] > 1)  # the others are alone in their bucket
+    turn = met[np.argsort(mine[met] * np.int64(len(row) + 1) + before[row[met]] + offset[met])]
     again = np.zeros(len(row), bool)
     again[turn[1:]] = mine[turn[1:]] == mine[turn[:-1]]
     shared = (np.bincount(mine, counts[row], minlength=1)[mine] >= 2) & (counts[row] >= 2)
