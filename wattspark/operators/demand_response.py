@@ -58,19 +58,22 @@ def baseline(
     holidays: DataFrame | None = None,
 ) -> DataFrame:
     """Baseline statistics per pole and slot of the day, ordered by them."""
+    return slot_statistics(historical_load(readings, as_of, lookback_days, holidays), computed_at)
+
+
+def slot_statistics(
+    days: DataFrame, computed_at: str | datetime | Column | None = None
+) -> DataFrame:
+    """Baseline statistics over the load of each slot and day."""
     load = F.col("total_power_kw")
     quantiles = F.percentile_approx(load, [0.1, 0.5, 0.9], QUANTILE_ACCURACY)
-    stats = (
-        historical_load(readings, as_of, lookback_days, holidays)
-        .groupBy(*SLOT)
-        .agg(
-            F.avg(load).alias("baseline_avg_kw"),
-            quantiles.alias("_q"),
-            F.stddev(load).alias("baseline_stddev_kw"),
-            round_stable(F.avg("meter_count")).cast("long").alias("avg_meter_count"),
-            # one row per slot and day, so counting rows counts days
-            F.count("event_date").alias("baseline_days_count"),
-        )
+    stats = days.groupBy(*SLOT).agg(
+        F.avg(load).alias("baseline_avg_kw"),
+        quantiles.alias("_q"),
+        F.stddev(load).alias("baseline_stddev_kw"),
+        round_stable(F.avg("meter_count")).cast("long").alias("avg_meter_count"),
+        # one row per slot and day, so counting rows counts days
+        F.count("event_date").alias("baseline_days_count"),
     )
     when = F.current_timestamp() if computed_at is None else instant(computed_at)
     return stats.select(
