@@ -2,14 +2,16 @@ import json
 import os
 import random
 import time
+import zlib
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.build import reading, readings, rows
-from wattspark.operators import gauges, rollups, voltage
-from wattspark.schemas import ENVELOPE, MINUTE_AGG
+from tests.build import START, reading, readings, rows
+from wattspark.operators import gauges, ingest, rollups, voltage
+from wattspark.plans import stream_queries
+from wattspark.schemas import ENVELOPE, MINUTE_AGG, READINGS
 from wattspark.sources import sinks, streams, tables
 from wattspark.streaming import pipeline, sags, windows
 
@@ -516,3 +518,34 @@ def test_sag_stream_splits_at_long_gaps_like_batch(spark, tmp_path, gap):
     batch = voltage.sag_events(readings(spark, *data), slice_seconds=60, max_gap_seconds=gap)
     assert events_of(spark, state, 3) == rows(batch, *columns)
     assert batch.count() != voltage.sag_events(readings(spark, *data)).count()
+
+
+def test_deliveries_are_staged_by_parts_in_one_pass(spark):
+    sent = [datetime(2024, 1, d, h, 30) for d in (1, 8, 9, 15, 16, 22, 23, 30) for h in (0, 23)] * 10
+    made = [(bytearray(b"%d" % i), {}, t) for i, t in enumerate(sent)] + [(None, {}, sent[2]), (bytearray(b"x"), {}, None)]
+    bounds = [datetime.fromisoformat(t) for t in stream_queries.PARTS]
+    want = []
+    for data, _, at in made:
+        crc = None if data is None else zlib.crc32(bytes(data))
+        late = crc is not None and crc % 11 == 1
+        for n in range(4) if at is not None else ():
+            since, until = bounds[n - 1] if n else datetime.min, bounds[n] if n < 3 else datetime.max
+            due = at < until and (n == 3 or not late) and (n == 0 or at >= since - timedelta(hours=1))
+            missed = n > 0 and late and at < since and (n == 1 or at >= bounds[n - 2])
+            if due or missed:
+                want += [(data and bytes(data), n)] * (2 if crc is not None and crc % 5 == 0 else 1)
+    # random numbers of a row differ each time the rows are computed: each row is computed once
+    rows_made = spark.createDataFrame(made, ENVELOPE).withColumn("once", F.rand())
+    got = stream_queries._deliveries(rows_made)
+    key = lambda r: (r[0] is None, r[0] or b"", r[1])
+    assert sorted(((r.data and bytes(r.data), r.part) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert got.select("data", "once").distinct().count() == len({k for k, _ in want})
+
+
+def test_sinks_keep_neither_bodies_nor_members(spark, tmp_path):
+    messages(spark, tmp_path, 10)
+    checked = ingest.validate(ingest.parse(spark.read.schema(ENVELOPE).parquet(str(tmp_path))), START)
+    kept = ingest.sorted_out(checked, START)
+    assert kept.columns == ["status", *READINGS.names, "value"]
+    assert rows(ingest.sorted_readings(kept)) == rows(ingest.enrich(ingest.successes(checked), START))
+    assert rows(ingest.sorted_letters(kept)) == rows(ingest.error_bytes(ingest.errors(checked)))

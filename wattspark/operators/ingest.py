@@ -259,6 +259,11 @@ def enrich(
     The network profile comes from the message attributes only; missing quality
     flags become an empty list.
     """
+    return valid.select(*reading_columns(ingest_ts), *carried)
+
+
+def reading_columns(ingest_ts: str | datetime | Column | None = None) -> list[Column]:
+    """The columns of a typed reading, from those of a valid message."""
     flags = F.from_json(_text("quality_flags"), "array<string>")
     columns = {
         "event_ts": _event_time(),
@@ -269,9 +274,28 @@ def enrich(
         "quality_flags": F.coalesce(flags, F.array().cast("array<string>")),
         "network_profile": F.try_element_at(F.col("attributes"), F.lit("network_profile")),
     }
-    return valid.select(
-        *[columns.get(f.name, _number(f.name)).cast(f.dataType).alias(f.name) for f in READINGS], *carried
-    )
+    return [columns.get(f.name, _number(f.name)).cast(f.dataType).alias(f.name) for f in READINGS]
+
+
+def sorted_out(
+    validated: DataFrame, ingest_ts: str | datetime | Column | None = None, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """Typed readings and dead letters side by side, to be kept for several sinks: the columns of a reading are
+    null for an error, ``value`` (its payload) for a valid message. Neither body nor members are kept."""
+    valid = F.col("status") == "success"
+    typed = [
+        F.when(valid, c).alias(f.name) for c, f in zip(reading_columns(ingest_ts), READINGS.fields, strict=True)
+    ]
+    letter = F.when(F.col("status") == "error", _payload())
+    return validated.select("status", *typed, letter.alias("value"), *carried)
+
+
+def sorted_readings(sorted_rows: DataFrame) -> DataFrame:
+    return sorted_rows.filter(F.col("status") == "success").select(*READINGS.names)
+
+
+def sorted_letters(sorted_rows: DataFrame) -> DataFrame:
+    return sorted_rows.filter(F.col("status") == "error").select("value")
 
 
 def json_lines(readings: DataFrame) -> DataFrame:
@@ -283,5 +307,8 @@ def json_lines(readings: DataFrame) -> DataFrame:
 
 def error_bytes(error_records: DataFrame) -> DataFrame:
     """Dead-letter payloads: UTF-8 JSON. ``body`` is the whole message as it came, in base64."""
-    body = F.to_json(F.struct(*ERROR_COLUMNS))
-    return error_records.select(F.encode(body, "UTF-8").alias("value"))
+    return error_records.select(_payload().alias("value"))
+
+
+def _payload() -> Column:
+    return F.encode(F.to_json(F.struct(*ERROR_COLUMNS)), "UTF-8")

@@ -9,8 +9,13 @@ from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """All instants are UTC; the rest of the session is the cluster's business."""
+    """All instants are UTC; the rest of the session is the cluster's business.
+
+    HotSpot does not compile methods beyond 8,000 bytes of code, as the parse of messages becomes in one stage:
+    such a stage runs expression by expression, each of them compiled.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

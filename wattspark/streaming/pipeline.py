@@ -320,15 +320,16 @@ def start_pipeline(
         arrival = datetime.now(timezone.utc)
         seen = arrival.replace(tzinfo=None).isoformat(" ")
         fresh = batch if delivered is None else delivered.first_time(batch, batch_id)
-        checked = ingest.validate(ingest.parse(fresh), seen).persist()
+        carried = () if delivered is None else (windows.MESSAGE, "publish_ts")
+        checked = ingest.sorted_out(ingest.validate(ingest.parse(fresh), seen), seen, carried).persist()
         try:
-            valid = ingest.enrich(ingest.successes(checked), seen)
+            valid = ingest.sorted_readings(checked)
             sinks.archive_batch(valid, f"{root}/raw", name, batch_id, archive_folders)
             to_table(valid, batch_id)
             if keep_late is not None:
                 keep_late(valid, batch_id)
             if dead_letter_path is not None:
-                payloads = ingest.error_bytes(ingest.errors(checked))
+                payloads = ingest.sorted_letters(checked)
                 payloads.write.mode("overwrite").parquet(f"{dead_letter_path}/batch_id={batch_id}")
             if metrics:
                 to_panes(valid, batch_id)
