@@ -123,3 +123,19 @@ def test_components_of_paths_and_hubs(spark):
     assert {r.node: r.root for r in got} == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
     assert len(got) == 101
     assert connected(spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))).count() == 0
+
+
+@pytest.mark.parametrize("m", [substring_dedup.method(), suffix_dedup.method()])
+def test_texts_are_fetched_again_only_for_hot_keys(spark, monkeypatch, m):
+    docs = data.frame(spark, data.texts(4, 25))
+    read_texts = lambda: "packed" in repeats.repeated(docs, m)[1]._jdf.queryExecution().analyzed().toString()
+    assert not read_texts()
+    monkeypatch.setattr(repeats, "HOT_KEY", 1)
+    assert read_texts()
+
+
+def test_first_places_are_ordered_by_document_then_place():
+    text = bytes(range(97, 123)) * 5
+    places = [(2, 0, 0), (1, 0, 9), (1, 0, 3)]
+    got = suffix_dedup.repeats_in([text[:110], text[:105], text[:100]], np.array([11, 6, 1]), np.ones(3, np.int64), places)
+    assert sorted(got) == [(0, 0, 6, False), (1, 0, 1, False)]

@@ -20,7 +20,6 @@ Documents are named by ``doc`` and ``sub``; ``sub`` is 0 where ids are unique.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
@@ -245,55 +244,71 @@ def _found(rows: DataFrame, m: Method, keys: np.ndarray | None) -> DataFrame:
     return rows.select("doc", "sub", "text").mapInArrow(run, "key long" if keys is None else _PLACE)
 
 
-_CUT = "key long, salt long, window long, n long, doc long, sub long, start int, windows int, content long, bytes binary"
+_CUT = "key long, n long, doc long, sub long, start int, windows int, content long, bytes binary"
+_HASHED = "key long, window long, n long, doc long, sub long, start int"
+_WANTED = ("start", "windows", "key", "n", "content")
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _with_wanted(packed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc, sub, packed, wanted``: the texts of the representatives ``wanted``, with the list of these."""
+    lists = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct(*_WANTED)).alias("wanted"))
+    return packed.join(lists.hint("merge"), ["doc", "sub"])
+
+
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """How many representatives each text of the batch has, and their columns under one another."""
+    lists = batch.column(3)
+    columns = (c.to_numpy() for c in lists.flatten().flatten())
+    return pc.list_value_length(lists).to_numpy(), dict(zip(_WANTED, columns, strict=True))
 
 
 def _fetched(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
-    """Contents of the representatives ``wanted``, or the hashes of their windows for a hot key."""
-    lists = wanted.groupBy("doc", "sub").agg(
-        F.collect_list(F.struct("start", "windows", "key", "n", "content", "hot")).alias("wanted")
-    )
-    both = packed.join(lists.hint("merge"), ["doc", "sub"], "left")
+    """Contents of the representatives ``wanted``, by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _CUT.split(", ")]
-        types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-        schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in _CUT.split(", ")])
         for batch in batches:
-            out: list[tuple] = []
-            docs, subs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            some = np.flatnonzero(batch.column(3).is_valid().to_numpy(zero_copy_only=False))
-            for i in some.tolist():
-                text = unpack(batch.column(2)[i].as_py())
-                units, seq = m.units(text), None
-                for w in batch.column(3)[i].as_py():
-                    start, windows, key, n = w["start"], w["windows"], w["key"], w["n"]
-                    if not w["hot"]:
-                        part = m.cut(units, start, start + windows + m.length - 1)
-                        out.append((key, None, None, n, docs[i], subs[i], start, windows, w["content"], part))
-                        continue
-                    seq = seq or Sequences(m.symbols(text))
-                    at = np.arange(start, start + windows)
-                    for p, h in zip(at.tolist(), seq.runs(at, at + m.length).view(np.int64).tolist(), strict=True):
-                        out.append((key, h ^ docs[i] ^ p, h, n, docs[i], subs[i], p, 1, None, None))
-                if len(out) > 20_000:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema)
-                    out = []
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema)
-
-    return both.mapInArrow(run, _CUT).repartition("key", "salt")
-
-
-def _windows(fetched: DataFrame) -> DataFrame:
-    """The windows of hot keys. A plain filter would be pushed below the exchange, which could then
-    not be shared with the contents."""
+            sizes, w = _lists(batch)
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            stops = w["start"] + w["windows"] + (m.length - 1)
+            doc, sub = (batch.column(i).to_numpy() for i in (0, 1))
+            begun, parts = 0, []
+            for text, end in zip(batch.column(2), np.cumsum(sizes).tolist(), strict=True):
+                units, at = m.units(unpack(text.as_py())), begun + len(parts)
+                runs = zip(w["start"][at:end].tolist(), stops[at:end].tolist(), strict=True)
+                parts += [m.cut(units, a, b) for a, b in runs]
+                if len(parts) > 20_000 or end == len(row):
+                    r = slice(begun, end)
+                    columns = (w["key"][r], w["n"][r], doc[row[r]], sub[row[r]], w["start"][r], w["windows"][r], w["content"][r])
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(parts, pa.binary())], _names(_CUT))
+                    begun, parts = end, []
+
+    return _with_wanted(packed, wanted).mapInArrow(run, _CUT).repartition("key")
+
+
+def _windows(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
+    """The hashes of all windows of the representatives ``wanted``, by key and window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.filter(pc.is_valid(batch.column("window")))
-            yield rows.select(["key", "window", "n", "doc", "sub", "start"])
+            sizes, w = _lists(batch)
+            doc, sub = (batch.column(i).to_numpy() for i in (0, 1))
+            for i, end in enumerate(np.cumsum(sizes).tolist()):
+                seq, first = Sequences(m.symbols(unpack(batch.column(2)[i].as_py()))), end - sizes[i]
+                row = np.repeat(np.arange(first, end), w["windows"][first:end])
+                for at in range(0, len(row), CHUNK):
+                    r = row[at : at + CHUNK]
+                    ahead = np.cumsum(w["windows"][first:end], dtype=np.int64) - w["windows"][first:end]
+                    start = w["start"][r] + np.arange(at, at + len(r)) - ahead[r - first]
+                    hashed = seq.runs(start, start + m.length).view(np.int64)
+                    of = np.full(len(r), i)
+                    columns = (w["key"][r], hashed, w["n"][r], doc[of], sub[of], start.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], _names(_HASHED))
 
-    return fetched.mapInArrow(run, "key long, window long, n long, doc long, sub long, start int")
+    return _with_wanted(packed, wanted).mapInArrow(run, _HASHED).repartition("key", "window")
 
 
 _SPAN = "doc long, sub long, start int, windows int, copies boolean, first int, key long, content long"
@@ -305,43 +320,45 @@ def _compared(fetched: DataFrame, m: Method) -> DataFrame:
     ``doc, sub, first``, or with ``copies`` of all others; ``start`` is within the content."""
     rows = fetched.sortWithinPartitions("key")
 
-    def shard(held: list[tuple]) -> pa.RecordBatch:
-        alone = Counter(r[0] for r in held)  # keys that the bit map let through have one place
-        held = [r for r in held if r[3] > 1 or alone[r[0]] > 1]
-        contents = [r[9] for r in held]
-        windows = np.array([r[7] for r in held], np.int64)
-        counts = np.array([r[3] for r in held], np.int64)
-        found = m.compare(contents, windows, counts, [r[4:7] for r in held])
-        columns = [
-            pa.array([held[r][4] for r, *_ in found], pa.int64()),
-            pa.array([held[r][5] for r, *_ in found], pa.int64()),
-            pa.array([at for _, at, *_ in found], pa.int32()),
-            pa.array([n for _, _, n, _ in found], pa.int32()),
-            pa.array([copies for *_, copies in found], pa.bool_()),
-            pa.array([held[r][6] for r, *_ in found], pa.int32()),
-            pa.array([held[r][0] for r, *_ in found], pa.int64()),
-            pa.array([held[r][8] for r, *_ in found], pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SPAN.split(", ")])
+    def shard(held: pa.RecordBatch) -> pa.RecordBatch:
+        key, n = held.column("key").to_numpy(), held.column("n").to_numpy()
+        same = key[1:] == key[:-1]
+        # keys that the bit map let through have one place
+        some = (n > 1) | np.append(same, False) | np.insert(same, 0, False)
+        held = held.filter(pa.array(some))
+        key, n, doc, sub, first, windows, content = (c.to_numpy() for c in held.columns[:7])
+        places = list(zip(doc.tolist(), sub.tolist(), first.tolist(), strict=True))
+        found = m.compare(held.column("bytes").to_pylist(), windows.astype(np.int64), n, places)
+        row, at, many, copies = np.array(found, np.int64).reshape(-1, 4).T
+        columns = (doc[row], sub[row], at.astype(np.int32), many.astype(np.int32), copies == 1, first[row], key[row], content[row])
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns)], _names(_SPAN))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if r[9] is None:
-                    continue
-                if size > SHARD_BYTES and r[0] != held[-1][0]:  # a shard holds whole keys
-                    yield shard(held)
-                    held, size = [], 0
-                held.append(r)
-                size += len(r[9])
+            key = batch.column("key").to_numpy()
+            ends = np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy(), dtype=np.int64)
+            last = held[-1].column("key")[-1].as_py() if held else None
+            begun = done = 0  # rows and bytes of this batch that went into shards
+            for at in np.flatnonzero(np.append(len(key) > 0 and last is not None and key[0] != last, key[1:] != key[:-1])).tolist():
+                upto = int(ends[at - 1]) if at else 0
+                if size + upto - done > SHARD_BYTES:  # a shard holds whole keys
+                    yield shard(_joined([*held, batch.slice(begun, at - begun)]))
+                    held, size, begun, done = [], 0, at, upto
+            if begun < len(key):
+                held.append(batch.slice(begun))
+                size += int(ends[-1]) - done
         if held:
-            yield shard(held)
+            yield shard(_joined(held))
 
     return rows.mapInArrow(run, _SPAN)
 
 
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
     """The packed rows, and the spans ``doc, sub, start, windows`` of windows to remove.
 
@@ -366,27 +383,27 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
     wanted = contents.select("first.*", "windows", "key", "n", "content").join(hot, F.col("key") == F.col("_key"), "left")
     wanted = written(wanted.drop("_key").withColumn("hot", F.coalesce("hot", F.lit(False))), "wanted")
     packed = _packed(rows)
-    fetched = _fetched(packed, wanted, m)
-    parts = _windows(fetched)
-    same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
-    same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
-    split = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
-    if m.keep_first:
-        split = split.where(place != F.col("first"))
-    compared = written(_compared(fetched, m), "compared")
+    compared = written(_compared(_fetched(packed, wanted.where("NOT hot"), m), m), "compared")
+    spans = compared.where("NOT copies").select("doc", "sub", (F.col("first") + F.col("start")).alias("start"), "windows")
     # copies of a content: by what was found in it, and whole where its key is hot
     found = compared.where("copies").select("key", "content", "doc", "sub", "first", F.col("start").alias("at"), "windows")
-    whole = wanted.where("hot AND n >= 2").select("key", "content", "doc", "sub", F.col("start").alias("first"), F.lit(0).alias("at"), "windows")
-    found = found.unionByName(whole)
-    if not m.keep_first:  # nor does the first of them stay
-        found = found.unionByName(whole.withColumn("doc", F.lit(None).cast("long")))
+    if not hot.isEmpty():  # else the texts would be read and dealt again for no window
+        parts = _windows(packed, wanted.where("hot"), m)
+        same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
+        same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
+        split = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
+        if m.keep_first:
+            split = split.where(place != F.col("first"))
+        spans = spans.unionByName(split.select("doc", "sub", "start", F.lit(1).alias("windows")))
+        whole = wanted.where("hot AND n >= 2").select("key", "content", "doc", "sub", F.col("start").alias("first"), F.lit(0).alias("at"), "windows")
+        found = found.unionByName(whole)
+        if not m.keep_first:  # nor does the first of them stay
+            found = found.unionByName(whole.withColumn("doc", F.lit(None).cast("long")))
     found = found.select(*(F.col(c).alias(f"_{c}") for c in found.columns))
     copies = again.join(found, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
     other = ~(F.col("doc").eqNullSafe(F.col("_doc")) & F.col("sub").eqNullSafe(F.col("_sub")) & F.col("start").eqNullSafe(F.col("_first")))
     copies = copies.where(other).select("doc", "sub", (F.col("start") + F.col("_at")).alias("start"), F.col("_windows").alias("windows"))
-    spans = copies.unionByName(split.select("doc", "sub", "start", F.lit(1).alias("windows")))
-    first = compared.where("NOT copies").select("doc", "sub", (F.col("first") + F.col("start")).alias("start"), "windows")
-    return packed, spans.unionByName(first)
+    return packed, spans.unionByName(copies)
 
 
 def covered(n: int, spans: list[dict], length: int) -> np.ndarray:

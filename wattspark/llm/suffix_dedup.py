@@ -92,7 +92,7 @@ def repeats_in(
     sizes = np.array([len(c) for c in contents], np.int64)
     bases = np.cumsum(sizes) - sizes
     # contents in the order of their places
-    order = sorted(range(len(contents)), key=places.__getitem__)
+    order = np.lexsort(np.array(places, np.int64).reshape(-1, 3).T[::-1])
     row = np.repeat(np.arange(len(contents)), windows)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
     mine = window_buckets(np.frombuffer(b"".join(contents), np.uint8), bases[row] + offset, length)
