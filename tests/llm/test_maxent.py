@@ -136,6 +136,41 @@ def test_words_are_split_like_bytes():
     assert words.to_pylist() == [w for e in expected for w in e] and n.tolist() == list(map(len, expected))
 
 
+def test_chunks_are_numbered_in_parts_of_bounded_size(monkeypatch):
+    """Memory follows the part and not the chunk, and the rows are those of the whole chunk."""
+    rnd, sizes, split = random.Random(2), [], maxent.split
+    given = [" ".join(f"w{rnd.randrange(300)}" for _ in range(40)) for _ in range(1000)]
+    n = len(given)
+    rows = pa.record_batch({"doc_id": pa.array(range(n)), "held_out": pa.array([False] * n), "text": pa.array(given)})
+    places, logs = maxent.Places(pa.array([maxent.END, *(f"w{i}" for i in range(200))])), np.log10(np.arange(201) + 2.0)
+    monkeypatch.setattr(maxent, "split", lambda texts: sizes.append(len(texts)) or split(texts))
+
+    def found():
+        sizes.clear()
+        table = pa.Table.from_batches(list(maxent._chunk(rows, places, logs, 50, 7))).to_pylist()
+        texts = [{c: v for c, v in r.items() if c not in ("word", "docs", "times")} for r in table if r["word"] is None]
+        held = {r["word"]: list(zip(r["docs"], r["times"])) for r in table if r["word"]}
+        assert len(texts) + len(held) == len(table)  # a word has one row
+        return max(sizes), texts, held, {r["chunk"] for r in table}
+
+    whole = found()
+    monkeypatch.setattr(maxent, "PART", 2000)
+    parts = found()
+    assert whole[0] == n and parts[0] == 50 and parts[1:] == whole[1:]
+    assert len(whole[1]) == n and sum(t for x in whole[2].values() for _, t in x) == sum(int(w[1:]) >= 200 for t in given for w in t.split())
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_places_are_those_of_the_words(monkeypatch, alike):
+    """Also of words that share a hash with another one."""
+    if alike:
+        monkeypatch.setattr(maxent, "hashes", lambda words, n: np.array([len(w) for w in words], np.uint64))
+    known = [maxent.END, "b", "aa", "a", "ab", "\u00e9"]
+    asked = ["a", "zz", "\u00e9", "aa", "ab", "c", "b", "longer"]
+    got = maxent.Places(pa.array(known)).of(pa.array(asked), asked)
+    assert got.tolist() == [known.index(w) if w in known else -1 for w in asked]
+
+
 def test_held_out_text_is_likelier_than_by_its_counts(spark):
     docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
     found = maxent.scored(docs, queries.remainder(7) == 2).where("held_out")

@@ -33,12 +33,13 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattspark.llm.common import gathered, written
+from wattspark.llm.common import gathered, hashes, written
 
 END = " "  # stands for the end of a text among the words, none of which has a blank
 FLOOR = -30.0  # least logit below the largest: no probability is zero, and none so small that it slows arithmetic
 SLICE = 1 << 20  # bytes of token numbers whose contexts are in memory
-CHUNK = 8 << 20  # bytes of text whose words are counted and numbered together
+CHUNK = 8 << 20  # bytes of text whose words are counted together and whose documents have one chunk's number
+PART = 2 << 20  # bytes of text that are cut into words at once, which takes many times their size
 
 
 @dataclass(frozen=True)
@@ -72,8 +73,8 @@ def counted(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in gathered(batches, "text", CHUNK):
-            words, _ = split(chunk.column("text"))
-            found = pc.value_counts(words)
+            parts = [split(part.column("text"))[0] for part in gathered([chunk], "text", PART)]
+            found = pc.value_counts(pa.chunked_array(parts, pa.string()))
             end = pa.array([END]), pa.array([chunk.num_rows], pa.int64())
             columns = [pa.concat_arrays([found.field(i), end[i]]) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
@@ -112,6 +113,34 @@ def frequent(counts: DataFrame, most: int) -> Words:
     return Words(words.take(pa.array(order)), n[order], total["n"], total["k"], least)
 
 
+class Places:
+    """Where words are among the frequent ones, by their hashes, which are sorted once and not in every task."""
+
+    def __init__(self, words: pa.Array):
+        self.words = words
+        cuts = (words.slice(i, 1 << 16) for i in range(0, len(words), 1 << 16))
+        hashed = np.concatenate([hashes(cut.to_numpy(zero_copy_only=False), len(cut)) for cut in cuts])
+        self.order = np.argsort(hashed, kind="stable").astype(np.int32)
+        self.hashed = hashed[self.order]
+
+    def of(self, words: pa.Array, spelled: list[str]) -> np.ndarray:
+        """The place of each word, which is also given as ``spelled``; -1 where it is not frequent."""
+        hashed = hashes(spelled, len(spelled))
+        turn = np.argsort(hashed)  # what is looked up next is near in memory then
+        at = np.empty(len(hashed), np.int64)
+        at[turn] = np.minimum(np.searchsorted(self.hashed, hashed[turn]), len(self.hashed) - 1)
+        met = np.flatnonzero(self.hashed[at] == hashed)
+        place = self.order[at[met]].astype(np.int64)
+        same = pc.equal(words.take(pa.array(met)), self.words.take(pa.array(place))).to_numpy(zero_copy_only=False)
+        out = np.full(len(words), -1, np.int64)
+        out[met[same]] = place[same]
+        other = met[~same]
+        if len(other):  # words whose hash another one has
+            found = pc.index_in(words.take(pa.array(other)), value_set=self.words)
+            out[other] = found.fill_null(-1).to_numpy()
+        return out
+
+
 _NUMBERED = (
     "chunk long, doc int, doc_id long, held_out boolean, n_tokens long, ids binary, known_log double, outside_log double, "
     "n_known long, word string, docs array<int>, times array<int>"
@@ -125,53 +154,71 @@ def numbered(docs: DataFrame, known: Words, inside: int) -> DataFrame:
     them), the sum of log10(count + 1) over its frequent tokens, and over those that are not among the
     first ``inside``. A word's row has the documents of the chunk that hold it, and how often.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+    sent = docs.sparkSession.sparkContext.broadcast((Places(known.words), np.log10(known.counts + 1.0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = sent.value
-        logs, size = np.log10(words.counts + 1.0), len(words.words)
         chunk = TaskContext.get().partitionId() << 32
         for rows in gathered(batches, "text", CHUNK):
-            flat, n = split(rows.column("text"))
-            coded = flat.dictionary_encode()
-            place = pc.index_in(coded.dictionary, value_set=words.words).fill_null(-1).to_numpy().astype(np.int64)
-            rare = np.flatnonzero(place < 0)
-            spelled = coded.dictionary.take(pa.array(rare)).to_pylist()
-            hashed = np.fromiter((xxhash.xxh32_intdigest(w) & 0xFFFFF for w in spelled), np.int64, len(rare))
-            number = place.copy()
-            number[rare] = size + hashed
-            code = coded.indices.to_numpy()
-            doc = np.repeat(np.arange(len(n)), n)
-            ends = np.cumsum(n + 1)
-            ids = np.zeros(int(ends[-1]), np.int32)
-            inner = np.ones(len(ids), bool)
-            inner[ends - 1] = False
-            ids[inner] = number[code]
-            hit = place[code]
-            at = np.flatnonzero(hit >= 0)
-            log = logs[hit[at]]
-            known_log = np.bincount(doc[at], log, len(n)) + logs[0]
-            outside_log = np.bincount(doc[at], log * (hit[at] >= inside), len(n))
-            raw, starts = ids.tobytes(), np.concatenate([[0], ends])
-            columns = {
-                "chunk": pa.array(np.full(len(n), chunk)),
-                "doc": pa.array(np.arange(len(n), dtype=np.int32)),
-                "doc_id": rows.column("doc_id"),
-                "held_out": rows.column("held_out"),
-                "n_tokens": pa.array(n + 1, pa.int64()),
-                "ids": pa.array([raw[4 * a : 4 * b] for a, b in zip(starts, starts[1:])], pa.binary()),
-                "known_log": pa.array(known_log.astype(float)),
-                "outside_log": pa.array(outside_log.astype(float)),
-                "n_known": pa.array(np.bincount(doc[at], minlength=len(n)) + int(words.counts[0] > 0)),
-            }
-            yield _row_batch(columns, len(n))
-            if len(rare):
-                yield _rare(code, doc, place, rare, coded.dictionary, chunk)
+            yield from _chunk(rows, *sent.value, inside, chunk)
             chunk += 1
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, _NUMBERED)
 
 
+def _chunk(rows: pa.RecordBatch, places: Places, logs: np.ndarray, inside: int, chunk: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk's documents, part by part, and of its rare words."""
+    first, held = 0, []
+    for part in gathered([rows], "text", PART):
+        texts, rare = _part(part, places, logs, inside, chunk, first)
+        yield texts
+        held.append(rare)
+        first += part.num_rows
+    if any(len(words) for words, *_ in held):
+        yield _rare(held, chunk)
+
+
+def _part(rows: pa.RecordBatch, places: Places, logs: np.ndarray, inside: int, chunk: int, first: int):
+    """Rows of some documents of a chunk, of which the first is its document ``first``; and their rare words with, for
+    each document that holds one, the number of the word among these, the document, and how often it does."""
+    flat, n = split(rows.column("text"))
+    coded = flat.dictionary_encode()
+    spelled = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far quicker than ``to_pylist``
+    place = places.of(coded.dictionary, spelled)
+    rare = np.flatnonzero(place < 0)
+    hashed = np.fromiter((xxhash.xxh32_intdigest(spelled[i]) & 0xFFFFF for i in rare.tolist()), np.int64, len(rare))
+    number = place.copy()
+    number[rare] = len(logs) + hashed
+    code = coded.indices.to_numpy()
+    doc = np.repeat(np.arange(len(n)), n)
+    ends = np.cumsum(n + 1)
+    ids = np.zeros(int(ends[-1]), np.int32)
+    inner = np.ones(len(ids), bool)
+    inner[ends - 1] = False
+    ids[inner] = number[code]
+    hit = place[code]
+    at = np.flatnonzero(hit >= 0)
+    log = logs[hit[at]]
+    known_log = np.bincount(doc[at], log, len(n)) + logs[0]
+    outside_log = np.bincount(doc[at], log * (hit[at] >= inside), len(n))
+    raw, starts = ids.tobytes(), [0, *ends.tolist()]
+    columns = {
+        "chunk": pa.array(np.full(len(n), chunk)),
+        "doc": pa.array(np.arange(first, first + len(n), dtype=np.int32)),
+        "doc_id": rows.column("doc_id"),
+        "held_out": rows.column("held_out"),
+        "n_tokens": pa.array(n + 1, pa.int64()),
+        "ids": pa.array([raw[4 * a : 4 * b] for a, b in zip(starts, starts[1:])], pa.binary()),
+        "known_log": pa.array(known_log.astype(float)),
+        "outside_log": pa.array(outside_log.astype(float)),
+        "n_known": pa.array(np.bincount(doc[at], minlength=len(n)) + int(logs[0] > 0)),
+    }
+    at = np.flatnonzero(hit < 0)
+    both, times = np.unique(code[at].astype(np.int64) * len(n) + doc[at], return_counts=True)
+    word, within = np.divmod(both, len(n))
+    found = coded.dictionary.take(pa.array(rare)), np.searchsorted(rare, word), within + first, times
+    return _row_batch(columns, len(n)), found
+
+
 _KINDS = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 
 
@@ -180,21 +227,18 @@ def _row_batch(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, _KINDS[k])) for c, k in names.items()], list(names))
 
 
-def _rare(code, doc, place, rare, dictionary, chunk) -> pa.RecordBatch:
-    """A row for every rare word of a chunk."""
-    at = np.flatnonzero(place[code] < 0)
-    docs = int(doc.max(initial=0)) + 1
-    both, times = np.unique(code[at].astype(np.int64) * docs + doc[at], return_counts=True)
-    word, held = np.divmod(both, docs)
-    offsets = pa.array(np.append(np.searchsorted(word, rare), len(word)), pa.int32())
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (held, times)]
-    columns = {
-        "chunk": pa.array(np.full(len(rare), chunk)),
-        "word": dictionary.take(pa.array(rare)),
-        "docs": lists[0],
-        "times": lists[1],
-    }
-    return _row_batch(columns, len(rare))
+def _rare(held: list[tuple], chunk: int) -> pa.RecordBatch:
+    """A row for every rare word of a chunk, whose parts found ``held``."""
+    words, number, docs, times = zip(*held)
+    coded = pa.concat_arrays(words).dictionary_encode()
+    before = np.cumsum([0, *map(len, words[:-1])])
+    word = coded.indices.to_numpy()[np.concatenate([n + b for n, b in zip(number, before)])]
+    order = np.argsort(word, kind="stable")  # the documents ascend
+    n = len(coded.dictionary)
+    offsets = pa.array(np.searchsorted(word[order], np.arange(n + 1)), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x)[order].astype(np.int32))) for x in (docs, times)]
+    columns = {"chunk": pa.array(np.full(n, chunk)), "word": coded.dictionary, "docs": lists[0], "times": lists[1]}
+    return _row_batch(columns, n)
 
 
 # The model -------------------------------------------------------------------------------------
