@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.llm import brute, data
@@ -139,3 +141,29 @@ def test_first_places_are_ordered_by_document_then_place():
     places = [(2, 0, 0), (1, 0, 9), (1, 0, 3)]
     got = suffix_dedup.repeats_in([text[:110], text[:105], text[:100]], np.array([11, 6, 1]), np.ones(3, np.int64), places)
     assert sorted(got) == [(0, 0, 6, False), (1, 0, 1, False)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_texts_keep_their_marks_however_rows_are_cut(size):
+    given = [(b"one", [(0, 2), (5, 1)]), (b"", []), (b"two", []), (b"three", [(i, 1) for i in range(9)]), (b"four", [(3, 3)])]
+    rows = []
+    for doc, (text, marks) in enumerate(given):
+        rows.append({"doc": doc if doc else repeats.NO_ID, "packed": zstandard.compress(text), "start": None, "windows": None})
+        rows += [{"doc": doc, "packed": None, "start": a, "windows": n} for a, n in marks]
+    kinds = pa.schema({"doc": pa.int64(), "packed": pa.binary(), "start": pa.int32(), "windows": pa.int32()})
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + size], kinds) for i in range(0, len(rows), size)]
+    got = [(i, text, list(zip(a.tolist(), n.tolist()))) for ids, found in repeats.spanned(iter(batches)) for i, (text, a, n) in zip(ids.to_pylist(), found)]
+    assert got == [(doc or None, text, marks) for doc, (text, marks) in enumerate(given)]
+
+
+def test_texts_meet_their_spans_by_one_sort(spark):
+    packed, spans = repeats.repeated(data.frame(spark, data.texts(4, 25)), suffix_dedup.method())
+    plan = repeats.with_spans(packed, spans.localCheckpoint())._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and "Sort [" in plan
+
+
+@pytest.mark.parametrize("m", [substring_dedup.method(), suffix_dedup.method()])
+def test_copies_are_dealt_alike_at_every_size(spark, m):
+    """A table small enough to be sent to all is joined as a large one is."""
+    plan = repeats.repeated(data.frame(spark, data.texts(4, 25)), m)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -246,69 +246,87 @@ def _found(rows: DataFrame, m: Method, keys: np.ndarray | None) -> DataFrame:
 
 _CUT = "key long, n long, doc long, sub long, start int, windows int, content long, bytes binary"
 _HASHED = "key long, window long, n long, doc long, sub long, start int"
-_WANTED = ("start", "windows", "key", "n", "content")
+_WANTED = ("doc", "sub", "start", "windows", "key", "n", "content")
 
 
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _with_wanted(packed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc, sub, packed, wanted``: the texts of the representatives ``wanted``, with the list of these."""
-    lists = wanted.groupBy("doc", "sub").agg(F.collect_list(F.struct(*_WANTED)).alias("wanted"))
-    return packed.join(lists.hint("merge"), ["doc", "sub"])
+def _beside(packed: DataFrame, marks: DataFrame) -> DataFrame:
+    """Each text's row and then the rows of its document, as ``together`` reads them: one sort and neither join nor lists."""
+    rows = packed.unionByName(marks, allowMissingColumns=True)
+    return rows.repartition("doc", "sub").sortWithinPartitions("doc", "sub", "start")
 
 
-def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """How many representatives each text of the batch has, and their columns under one another."""
-    lists = batch.column(3)
-    columns = (c.to_numpy() for c in lists.flatten().flatten())
-    return pc.list_value_length(lists).to_numpy(), dict(zip(_WANTED, columns, strict=True))
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, pa.RecordBatch]]:
+    """Rows of texts, these texts, how many marks each has, and the marks' rows; a text is never parted from its marks."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        texts = np.flatnonzero(batch.column("packed").is_valid().to_numpy(zero_copy_only=False))
+        if held and len(texts):
+            yield _parted([*held, batch.slice(0, texts[-1])])
+            held, batch = [], batch.slice(texts[-1])
+        held.append(batch)
+    if sum(b.num_rows for b in held):
+        yield _parted(held)
+
+
+def _parted(held: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, list[bytes], np.ndarray, pa.RecordBatch]:
+    rows = _joined(held)
+    is_text = rows.column("packed").is_valid()
+    at = np.flatnonzero(is_text.to_numpy(zero_copy_only=False))
+    texts = rows.filter(is_text)
+    unpacked = [unpack(t) for t in texts.column("packed").to_pylist()]
+    return texts, unpacked, np.diff(np.append(at, rows.num_rows)) - 1, rows.filter(pc.invert(is_text))
+
+
+def _columns(marks: pa.RecordBatch, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    return {c: marks.column(c).to_numpy(zero_copy_only=False) for c in names}
 
 
 def _fetched(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
     """Contents of the representatives ``wanted``, by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, w = _lists(batch)
-            row = np.repeat(np.arange(batch.num_rows), sizes)
+        for _, texts, sizes, marks in together(batches):
+            w = _columns(marks, _WANTED)
             stops = w["start"] + w["windows"] + (m.length - 1)
-            doc, sub = (batch.column(i).to_numpy() for i in (0, 1))
             begun, parts = 0, []
-            for text, end in zip(batch.column(2), np.cumsum(sizes).tolist(), strict=True):
-                units, at = m.units(unpack(text.as_py())), begun + len(parts)
-                runs = zip(w["start"][at:end].tolist(), stops[at:end].tolist(), strict=True)
-                parts += [m.cut(units, a, b) for a, b in runs]
-                if len(parts) > 20_000 or end == len(row):
-                    r = slice(begun, end)
-                    columns = (w["key"][r], w["n"][r], doc[row[r]], sub[row[r]], w["start"][r], w["windows"][r], w["content"][r])
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(parts, pa.binary())], _names(_CUT))
+            for text, end in zip(texts, np.cumsum(sizes).tolist(), strict=True):
+                at = begun + len(parts)
+                if at < end:
+                    units = m.units(text)
+                    runs = zip(w["start"][at:end].tolist(), stops[at:end].tolist(), strict=True)
+                    parts += [m.cut(units, a, b) for a, b in runs]
+                if len(parts) > 20_000 or parts and end == marks.num_rows:
+                    columns = [pa.array(w[c][begun:end]) for c in _names(_CUT)[:-1]]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())], _names(_CUT))
                     begun, parts = end, []
 
-    return _with_wanted(packed, wanted).mapInArrow(run, _CUT).repartition("key")
+    return _beside(packed, wanted.select(*_WANTED)).mapInArrow(run, _CUT).repartition("key")
 
 
 def _windows(packed: DataFrame, wanted: DataFrame, m: Method) -> DataFrame:
     """The hashes of all windows of the representatives ``wanted``, by key and window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, w = _lists(batch)
-            doc, sub = (batch.column(i).to_numpy() for i in (0, 1))
+        for _, texts, sizes, marks in together(batches):
+            w = _columns(marks, _WANTED)
             for i, end in enumerate(np.cumsum(sizes).tolist()):
-                seq, first = Sequences(m.symbols(unpack(batch.column(2)[i].as_py()))), end - sizes[i]
+                if not sizes[i]:
+                    continue
+                seq, first = Sequences(m.symbols(texts[i])), end - sizes[i]
                 row = np.repeat(np.arange(first, end), w["windows"][first:end])
                 for at in range(0, len(row), CHUNK):
                     r = row[at : at + CHUNK]
                     ahead = np.cumsum(w["windows"][first:end], dtype=np.int64) - w["windows"][first:end]
                     start = w["start"][r] + np.arange(at, at + len(r)) - ahead[r - first]
                     hashed = seq.runs(start, start + m.length).view(np.int64)
-                    of = np.full(len(r), i)
-                    columns = (w["key"][r], hashed, w["n"][r], doc[of], sub[of], start.astype(np.int32))
+                    columns = (w["key"][r], hashed, w["n"][r], w["doc"][r], w["sub"][r], start.astype(np.int32))
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], _names(_HASHED))
 
-    return _with_wanted(packed, wanted).mapInArrow(run, _HASHED).repartition("key", "window")
+    return _beside(packed, wanted.select(*_WANTED)).mapInArrow(run, _HASHED).repartition("key", "window")
 
 
 _SPAN = "doc long, sub long, start int, windows int, copies boolean, first int, key long, content long"
@@ -400,25 +418,29 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
         if not m.keep_first:  # nor does the first of them stay
             found = found.unionByName(whole.withColumn("doc", F.lit(None).cast("long")))
     found = found.select(*(F.col(c).alias(f"_{c}") for c in found.columns))
-    copies = again.join(found, (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
+    # one plan for every size: sent to all while it is small and dealt later, it would cost a step in between
+    copies = again.join(found.hint("merge"), (F.col("key") == F.col("_key")) & (F.col("content") == F.col("_content")))
     other = ~(F.col("doc").eqNullSafe(F.col("_doc")) & F.col("sub").eqNullSafe(F.col("_sub")) & F.col("start").eqNullSafe(F.col("_first")))
     copies = copies.where(other).select("doc", "sub", (F.col("start") + F.col("_at")).alias("start"), F.col("_windows").alias("windows"))
     return packed, spans.unionByName(copies)
 
 
-def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
+def covered(n: int, starts: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
     """Which of ``n`` symbols lie in a window of the spans."""
-    edge = np.zeros(n + 1, np.int64)
-    starts = np.array([s["start"] for s in spans], np.int64)
-    ends = starts + np.array([s["windows"] for s in spans], np.int64) + length - 1
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, ends, -1)
+    edge = np.bincount(starts, minlength=n + 1) - np.bincount(starts + windows + (length - 1), minlength=n + 1)
     return np.cumsum(edge)[:n] > 0
 
 
 def with_spans(packed: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc_id, packed, spans`` for every row, ``spans`` null where there are none."""
-    lists = spans.groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-    ids = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
-    both = packed.join(lists.hint("merge"), ["doc", "sub"], "left")
-    return both.select(ids, "packed", "spans")
+    """Every row's text and then its spans, for ``spanned``."""
+    return _beside(packed, spans.select("doc", "sub", "start", "windows"))
+
+
+def spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple[bytes, np.ndarray, np.ndarray]]]]:
+    """Ids of some documents of ``with_spans``, and their texts with the starts and windows of their spans."""
+    for rows, texts, sizes, marks in together(batches):
+        doc = rows.column("doc")
+        ids = pc.if_else(pc.equal(doc, NO_ID), pa.scalar(None, pa.int64()), doc)
+        w = {c: x.astype(np.int64) for c, x in _columns(marks, ("start", "windows")).items()}
+        ends = np.cumsum(sizes).tolist()
+        yield ids, [(t, w["start"][a:b], w["windows"][a:b]) for t, a, b in zip(texts, [0, *ends], ends)]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wattspark.llm.common import hashes
-from wattspark.llm.repeats import Method, covered, repeated, unpack, with_spans
+from wattspark.llm.repeats import Method, covered, repeated, spanned, with_spans
 
 WORDS = 35
 
@@ -160,20 +160,20 @@ def deduplicated(docs: DataFrame, length: int = WORDS) -> DataFrame:
     packed, spans = repeated(docs, method(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for ids, found in spanned(batches):
             n_words, n_removed, digest, kept = [], [], [], []
-            for text, found in zip(map(unpack, batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
+            for text, starts, windows in found:
                 words = text.split()
                 n_words.append(len(words))
-                if found:
-                    gone = covered(len(words), found, length)
+                if len(starts):
+                    gone = covered(len(words), starts, windows, length)
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words))
                 digest.append(hashlib.sha256(kept[-1]).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    ids,
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(digest, pa.string()),

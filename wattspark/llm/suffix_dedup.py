@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from wattspark.llm.common import scrambled
-from wattspark.llm.repeats import Method, covered, repeated, unpack, with_spans
+from wattspark.llm.repeats import Method, covered, repeated, spanned, with_spans
 
 BYTES = 100
 GRAM = 8  # bytes of the initial buckets
@@ -147,13 +147,13 @@ def deduplicated(docs: DataFrame, length: int = BYTES) -> DataFrame:
     packed, spans = repeated(docs, method(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for ids, found in spanned(batches):
             n_bytes, n_removed, n_spans, digest, kept = [], [], [], [], []
-            for text, found in zip(map(unpack, batch.column(1).to_pylist()), batch.column(2).to_pylist(), strict=True):
+            for text, starts, windows in found:
                 n_bytes.append(len(text))
                 runs = 0
-                if found:
-                    gone = covered(len(text), found, length)
+                if len(starts):
+                    gone = covered(len(text), starts, windows, length)
                     runs = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_removed.append(n_bytes[-1] - len(text))
@@ -162,7 +162,7 @@ def deduplicated(docs: DataFrame, length: int = BYTES) -> DataFrame:
                 digest.append(hashlib.sha256(text).hexdigest())
             columns = [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, pa.array(digest, pa.string()), pa.array(kept, pa.binary())],
+                [ids, *columns, pa.array(digest, pa.string()), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
