@@ -167,3 +167,15 @@ def test_copies_are_dealt_alike_at_every_size(spark, m):
     """A table small enough to be sent to all is joined as a large one is."""
     plan = repeats.repeated(data.frame(spark, data.texts(4, 25)), m)[1]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_only_texts_with_windows_of_hot_keys_are_dealt_again(spark, monkeypatch):
+    rnd, passed, windows = random.Random(6), [], repeats._windows
+    hot = data.words(rnd, 12)  # one anchor with many surroundings
+    given = [data.words(rnd, 90) for _ in range(60)]
+    given[:20] = [f"{data.words(rnd, 60)} {hot} {data.words(rnd, 60)}" for _ in range(20)]
+    monkeypatch.setattr(repeats, "HOT_KEY", 5)
+    monkeypatch.setattr(repeats, "_windows", lambda packed, *a: passed.append(packed) or windows(packed, *a))
+    repeats.repeated(data.frame(spark, given), substring_dedup.method())
+    found = {r.doc for r in passed[0].select("doc").collect()}
+    assert len(found) > 5 and found <= set(range(20))

@@ -178,12 +178,15 @@ def named(docs: DataFrame) -> DataFrame:
     return numbered.select("doc_id", doc, "sub", "text")
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """``doc, sub, packed``: the texts compressed, as they cross the network for the joins by document."""
+def _packed(rows: DataFrame, docs: np.ndarray | None = None) -> DataFrame:
+    """``doc, sub, packed``: the texts compressed, as they cross the network; with ``docs`` those whose bit is set."""
+    sent = rows.sparkSession.sparkContext.broadcast(docs) if docs is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
+            if sent is not None:
+                batch = batch.filter(pa.array(in_map(batch.column(0).to_numpy().view(np.uint64), sent.value)))
             texts = pa.array([pack(t) for t in batch.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], texts], ["doc", "sub", "packed"])
 
@@ -262,7 +265,7 @@ def _beside(packed: DataFrame, marks: DataFrame) -> DataFrame:
 def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, pa.RecordBatch]]:
     """Rows of texts, these texts, how many marks each has, and the marks' rows; a text is never parted from its marks."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in batches:  # sorted: a text is the first row of its document
         texts = np.flatnonzero(batch.column("packed").is_valid().to_numpy(zero_copy_only=False))
         if held and len(texts):
             yield _parted([*held, batch.slice(0, texts[-1])])
@@ -405,8 +408,9 @@ def repeated(docs: DataFrame, m: Method) -> tuple[DataFrame, DataFrame]:
     spans = compared.where("NOT copies").select("doc", "sub", (F.col("first") + F.col("start")).alias("start"), "windows")
     # copies of a content: by what was found in it, and whole where its key is hot
     found = compared.where("copies").select("key", "content", "doc", "sub", "first", F.col("start").alias("at"), "windows")
-    if not hot.isEmpty():  # else the texts would be read and dealt again for no window
-        parts = _windows(packed, wanted.where("hot"), m)
+    if not hot.isEmpty():  # else the texts would be read again for no window; only those that hold some are dealt
+        holders = written(wanted.where("hot").select("doc").distinct(), "holders")
+        parts = _windows(_packed(rows, _bits(holders, "doc")), wanted.where("hot"), m)
         same = parts.groupBy("key", "window").agg(F.sum("n").alias("all"), F.min(place).alias("first"), F.count("*").alias("k"))
         same = same.where("k >= 2").select(F.col("key").alias("_key"), F.col("window").alias("_window"), "first")
         split = parts.join(same, (F.col("key") == F.col("_key")) & (F.col("window") == F.col("_window")))
